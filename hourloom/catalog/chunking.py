@@ -40,7 +40,8 @@ from hourloom.sources.store import read_chunks
     from ({i.clean_sql("hu_full", LOW, HIGH)}) c"""))
 def demand_features(spark, sf_dir):
     """The flagship: grid, cap, impute, calendar features, holiday flag."""
-    cleaned = clean(fill_grid(i.hourly_users(spark, sf_dir)), LOW, HIGH)
+    series = i.hourly_users(spark, sf_dir)
+    cleaned = clean(fill_grid(series), LOW, HIGH, fit_on=series)
     return rounded(add_holiday_flag(add_calendar_features(cleaned), us_holidays(spark)), "d")
 
 
@@ -177,8 +178,8 @@ cleaned as ({i.clean_sql("whole", i.DAILY_LOW, i.DAILY_HIGH)})
 
 
 @query("model_input", with_tables("ds_full ds_raw", "with " + MODEL_INPUT_SQL + f"""
-    select s.series_id, s.ts, round(s.d, 6) as d, {CALENDAR_SQL.replace("(ts)", "(s.ts)")},
-      round(l1.d, 6) as lag_1y, round(l2.d, 6) as lag_2y, round(l3.d, 6) as lag_3y, 0 as is_holiday
+    select s.series_id, s.ts, round(s.d, 8) as d, {CALENDAR_SQL.replace("(ts)", "(s.ts)")},
+      round(l1.d, 8) as lag_1y, round(l2.d, 8) as lag_2y, round(l3.d, 8) as lag_3y, 0 as is_holiday
     from cleaned s left join cleaned l1 on l1.series_id = s.series_id and l1.ts = s.ts - interval 364 day
     left join cleaned l2 on l2.series_id = s.series_id and l2.ts = s.ts - interval 728 day
     left join cleaned l3 on l3.series_id = s.series_id and l3.ts = s.ts - interval 1092 day
@@ -197,7 +198,8 @@ def model_input_query(spark, sf_dir):
         i.DAILY_LOW,
         i.DAILY_HIGH,
     )
-    return rounded(frame, "d", "lag_1y", "lag_2y", "lag_3y")
+    # Means of 32 or 64 values end in a 5 at the seventh or eighth decimal.
+    return rounded(frame, "d", "lag_1y", "lag_2y", "lag_3y", places=8)
 
 
 @query("refresh_pipeline", with_tables("he_full he_raw", "with " + HYBRID_SQL + """

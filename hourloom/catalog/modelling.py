@@ -142,7 +142,7 @@ def _variants_sql() -> str:
 @query("cv_rank", with_tables("he_full", _variants_sql() + """,
     t as (select series_id, param_set, avg(score) as mean_score, stddev_pop(score) as std_score from scores group by 1, 2)
     select series_id, param_set, round(mean_score, 6) as mean_score, round(std_score, 6) as std_score,
-      cast(rank() over (partition by series_id order by mean_score desc) as integer) as rank from t"""))
+      cast(rank() over (partition by series_id order by round(mean_score, 9) desc) as integer) as rank from t"""))
 def cv_rank(spark, sf_dir):
     frame = staged(add_calendar_features(fill_grid(i.hourly_types(spark, sf_dir))), "cv")
     scores = evaluate.baseline_variant_scores(frame, n_splits=SPLITS, test_size=TEST_HOURS)
@@ -178,9 +178,10 @@ marked as (select f.series_id, f.ts, d, hour(f.ts) as hour, month(f.ts) as month
     select series_id, ts, round(d, 6) as d, round(pred, 6) as pred from marked left join fitted using (series_id, hour, month)"""))
 def baseline_pipeline(spark, sf_dir):
     """Register the baseline (saved and reloaded), then predict the cleaned series."""
-    filled = fill_grid(i.hourly_types(spark, sf_dir))
+    series = i.hourly_types(spark, sf_dir)
+    filled = fill_grid(series)
     model = pipelines.fit_baseline(filled, work_path(spark, "baseline"), HOUR, TEST_HOURS, LOW, HIGH)
-    frame = add_calendar_features(clean(filled, LOW, HIGH))
+    frame = add_calendar_features(clean(filled, LOW, HIGH, fit_on=series))
     predicted = evaluate.predict_baseline(frame, model, strict=True)
     return rounded(predicted.select("series_id", "ts", "d", "pred"), "d", "pred")
 
@@ -212,7 +213,8 @@ def _compare_sql() -> str:
 @query("compare_pipeline", with_tables("he_full", "with " + CLEAN_SPLIT_SQL + "," + _compare_sql()))
 def compare_pipeline(spark, sf_dir):
     """Three baseline variants scored on the held-out hours, logged and compared."""
-    cleaned = clean(fill_grid(i.hourly_types(spark, sf_dir)), LOW, HIGH)
+    series = i.hourly_types(spark, sf_dir)
+    cleaned = clean(fill_grid(series), LOW, HIGH, fit_on=series)
     rows = staged(holdout_split(add_calendar_features(cleaned), TEST_HOURS, HOUR), "compare")
     train, test = rows.filter("is_train"), rows.filter("not is_train")
     parts = []
@@ -240,7 +242,8 @@ def compare_pipeline(spark, sf_dir):
 
 
 def _gbt_frame(spark, sf_dir):
-    cleaned = clean(fill_grid(i.hourly_types(spark, sf_dir)), LOW, HIGH)
+    series = i.hourly_types(spark, sf_dir)
+    cleaned = clean(fill_grid(series), LOW, HIGH, fit_on=series)
     frame = add_features(cleaned, us_holidays(spark))
     return staged(holdout_split(frame, TEST_HOURS, HOUR), "gbt")
 

@@ -260,8 +260,9 @@ def missing_ranges_query(spark, sf_dir):
     return missing_ranges(i.hourly_users(spark, sf_dir), HOUR)
 
 
-# Every line item occupies its supplier from shipment for quantity / 10 days.
-SPANS_SQL = """select cast(l_suppkey as varchar) as series_id, cast(l_shipdate as timestamp) as start_ts,
+# Every line item occupies its supplier from shipment for quantity / 10 days. Distinct,
+# so that the order of equal spans cannot matter to the windows of the SQL.
+SPANS_SQL = """select distinct cast(l_suppkey as varchar) as series_id, cast(l_shipdate as timestamp) as start_ts,
     cast(l_shipdate as timestamp) + to_days(cast(floor(l_quantity / 10) as integer)) as end_ts from lineitem"""
 
 

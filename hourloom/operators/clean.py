@@ -44,6 +44,16 @@ def impute_month_hour(df: DataFrame, col: str = "d", fit_on: DataFrame | None =
     )
 
 
-def clean(df: DataFrame, low: float = MIN_DEMAND, high: float = MAX_DEMAND) -> DataFrame:
-    """Cap, then impute from the capped values."""
-    return impute_month_hour(cap_outliers(df, "d", low, high))
+def clean(
+    df: DataFrame,
+    low: float = MIN_DEMAND,
+    high: float = MAX_DEMAND,
+    fit_on: DataFrame | None = None,
+) -> DataFrame:
+    """Cap, then impute from the capped values.
+
+    `fit_on` may name the rows that carry the values when `df` is a filled grid over
+    them: nulls do not count in a mean, so the grid need not be built twice.
+    """
+    learned = None if fit_on is None else cap_outliers(fit_on, "d", low, high)
+    return impute_month_hour(cap_outliers(df, "d", low, high), fit_on=learned)

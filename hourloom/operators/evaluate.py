@@ -162,12 +162,13 @@ def baseline_variant_scores(
 def cv_results(scores: DataFrame, key: str = "series_id") -> DataFrame:
     """Mean and population deviation over the folds and the rank of each parameter set.
 
-    Equal means share the lowest rank. The window sees one row per parameter set.
+    Equal means share the lowest rank; means that differ by less than floating-point
+    noise (the tenth decimal) count as equal. The window sees one row per parameter set.
     """
     table = scores.groupBy(key, "param_set").agg(
         F.avg("score").alias("mean_score"), F.stddev_pop("score").alias("std_score")
     )
-    best_first = Window.partitionBy(key).orderBy(F.desc_nulls_last("mean_score"))
+    best_first = Window.partitionBy(key).orderBy(F.desc_nulls_last(F.round("mean_score", 9)))
     return table.withColumn("rank", F.rank().over(best_first))
 
 

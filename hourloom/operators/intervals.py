@@ -17,49 +17,52 @@ def merge_intervals(df: DataFrame, bucket: Column | None = None) -> DataFrame:
     """Merge overlapping or touching intervals (series_id, start_ts, end_ts).
 
     Intervals that start together collapse to the longest before any ordering. The
-    running maximum and the island count are then taken inside (series, bucket)
-    groups, with one carry row per bucket crossing the series. `bucket` must not
-    decrease with start_ts; it defaults to the calendar month.
+    running maximum is taken inside (series, bucket) groups, where it starts from how
+    far the earlier buckets reach, and gives partial islands. Only the first and the
+    last island of a bucket can go on across a border, so only those meet in one group
+    per series. `bucket` must not decrease with start_ts; it defaults to the month.
     """
+    bucket = month_bucket("start_ts") if bucket is None else bucket
     starts = (
         df.groupBy("series_id", "start_ts")
         .agg(F.max("end_ts").alias("end_ts"))
-        .withColumn("_bucket", month_bucket("start_ts") if bucket is None else bucket)
+        .withColumn("_bucket", bucket)
+    )
+    earlier = (
+        Window.partitionBy("series_id")
+        .orderBy("_bucket")
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
-    by_bucket = Window.partitionBy("series_id").orderBy("_bucket")
-    earlier = by_bucket.rowsBetween(Window.unboundedPreceding, -1)
     carry = (
-        starts.groupBy("series_id", "_bucket")
+        df.groupBy("series_id", bucket.alias("_bucket"))
         .agg(F.max("end_ts").alias("_end"))
-        .select("series_id", "_bucket", F.max("_end").over(earlier).alias("_carry_end"))
+        .select("series_id", "_bucket", F.max("_end").over(earlier).alias("_carry"))
     )
     inside = Window.partitionBy("series_id", "_bucket").orderBy("start_ts")
     reached = F.greatest(
-        "_carry_end", F.max("end_ts").over(inside.rowsBetween(Window.unboundedPreceding, -1))
+        "_carry", F.max("end_ts").over(inside.rowsBetween(Window.unboundedPreceding, -1))
     )
-    flagged = (
+    islands = (
         starts.join(carry, ["series_id", "_bucket"])
-        .withColumn("_reached", reached)
-        .withColumn(
-            "_opens",
-            F.when(F.col("_reached") >= F.col("start_ts"), F.lit(0)).otherwise(F.lit(1)),
-        )
+        .withColumn("_opens", F.when(reached >= F.col("start_ts"), 0).otherwise(1))
         .withColumn("_local", F.sum("_opens").over(inside))
-    )
-    opened = (
-        flagged.groupBy("series_id", "_bucket")
-        .agg(F.sum("_opens").alias("_n"))
-        .select(
-            "series_id",
-            "_bucket",
-            F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
+        .groupBy("series_id", "_bucket", "_local")
+        .agg(
+            F.min("start_ts").alias("start_ts"),
+            F.max("end_ts").alias("end_ts"),
+            F.max("_opens").alias("_opens"),
         )
+        .withColumn("_last", F.max("_local").over(Window.partitionBy("series_id", "_bucket")))
     )
+    # Islands inside a bucket are final; each is a group of its own.
+    inner = (F.col("_opens") == 1) & (F.col("_local") < F.col("_last"))
+    grouped = islands.withColumn("_inner", F.when(inner, F.struct("_bucket", "_local")))
+    along = Window.partitionBy("series_id", "_inner").orderBy("_bucket", "_local")
     return (
-        flagged.join(opened, ["series_id", "_bucket"])
-        .groupBy("series_id", (F.col("_before") + F.col("_local")).alias("_island"))
+        grouped.withColumn("_island", F.sum("_opens").over(along))
+        .groupBy("series_id", "_inner", "_island")
         .agg(F.min("start_ts").alias("start_ts"), F.max("end_ts").alias("end_ts"))
-        .drop("_island")
+        .select("series_id", "start_ts", "end_ts")
     )
 
 

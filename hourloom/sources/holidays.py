@@ -59,7 +59,7 @@ def us_holidays(spark: SparkSession, first: int = FIRST_YEAR, last: int = LAST_Y
     rules.append((INAUGURATION, swears_in & (F.year(day) % 4 == 1)))
     rules.append((CHRISTMAS_EVE, falls_on(day, 12, 24) & F.year(day).isin(*CHRISTMAS_EVE_YEARS)))
 
-    days = spark.range(1).select(
+    days = spark.range(0, 1, 1, 1).select(
         F.explode(
             F.sequence(F.make_date(F.lit(first), F.lit(1), F.lit(1)), F.make_date(F.lit(last), F.lit(12), F.lit(31)))
         ).alias("holiday_date")

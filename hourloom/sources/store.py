@@ -161,17 +161,22 @@ def upsert_chunks(
 def fetch_raw(raw: DataFrame, ranges: DataFrame, step: timedelta = HOUR) -> DataFrame:
     """Typed raw records inside each series' (start_ts, end_ts), both ends included.
 
-    The source is asked for whole days around the range and the answer is trimmed back.
+    The source is asked for whole days around all ranges, as one filter that can
+    reach the scan, and the answer is trimmed back to each series' own range.
     """
     wanted = ranges.select(
         "series_id",
         F.col("start_ts").alias("_start"),
         F.col("end_ts").alias("_end"),
-        (steps_between(quantize_start("start_ts"), quantize_end("end_ts"), step) + 1).alias("n_rows"),
+        (steps_between("start_ts", "end_ts", step) + 1).alias("n_rows"),
     )
+    span = ranges.agg(
+        F.min(quantize_start("start_ts")).alias("low"), F.max(quantize_end("end_ts")).alias("high")
+    ).first()
+    typed = typed_raw(raw)
+    asked = typed.filter(F.lit(False)) if span.low is None else time_range(typed, span.low, span.high)
     return (
-        lookup(typed_raw(raw), wanted, ["series_id"], rows="n_rows", how="inner")
-        .filter(F.col("ts").between(quantize_start("_start"), quantize_end("_end")))
+        lookup(asked, wanted, ["series_id"], rows="n_rows", how="inner")
         .filter(F.col("ts").between(F.col("_start"), F.col("_end")))
         .drop("_start", "_end")
     )
