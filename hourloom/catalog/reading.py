@@ -23,6 +23,7 @@ from hourloom.sources.store import (
     read_chunk_index,
     read_chunks,
     read_range,
+    staged,
     upsert_chunks,
 )
 
@@ -85,7 +86,7 @@ def paged_read(spark, sf_dir):
     select respondent as series_id, type, cast(value as double) as value, position,
       strptime(period, '%Y-%m-%dT%H') as ts from ({NUMBERED.format(raw="hu_raw")}) n"""))
 def parse_pages(spark, sf_dir):
-    pages = i.json_pages(i.raw_records(i.hourly_users(spark, sf_dir)), PAGE)
+    pages = staged(i.json_pages(i.raw_records(i.hourly_users(spark, sf_dir)), PAGE), "json-pages")
     first, later = F.col("offset") == 0, F.col("offset") > 0
     return concat(
         [typed_raw(paged.parse_pages(pages.filter(part), offset="offset")) for part in (first, later)]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourloom.consts import HOUR
@@ -135,8 +135,9 @@ def chunk_diff_report(old: DataFrame, new: DataFrame) -> DataFrame:
     rows = chunk_diff(old, new).select(
         "series_id", "action", "year", "quarter", "start_ts", "end_ts", "complete"
     )
-    counts = rows.groupBy("series_id", "action").agg(F.count("*").alias("n_chunks"))
-    return rows.join(counts, ["series_id", "action"])
+    # A group holds the chunks of one series, four per year.
+    same_action = Window.partitionBy("series_id", "action")
+    return rows.withColumn("n_chunks", F.count("*").over(same_action))
 
 
 def chunk_stats(df: DataFrame) -> DataFrame:

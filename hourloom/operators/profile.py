@@ -48,112 +48,77 @@ def skew_report(
 def exact_quantiles(df: DataFrame, probs: Sequence[float], col: str = "d") -> DataFrame:
     """Exact quantiles with linear interpolation, as columns q0, q1, ... per series.
 
-    Equal values are counted first. The two order statistics around each quantile
-    are then found by refining value slots: powers of two split in 256, next 4096
-    equal parts of the slot that holds the rank, and only the values of that part are
-    ordered. No task ever sees more of a series than one such part, and no series is
-    held in a sketch or a map.
+    The order statistics around each quantile are found by counting in ever finer
+    value slots: powers of two cut in 256, then 4096 equal parts of the slots that hold
+    a wanted rank. Only rows of such slots are shuffled by value, equal values as one
+    row, and only the values of a wanted part are put in order. No series is held by
+    one task, in a sketch or in a map.
     """
-    values = (
-        df.filter(F.col(col).isNotNull())
-        .groupBy("series_id", F.col(col).alias("_v"))
-        .agg(F.count("*").alias("_n"))
-    )
+    valued = df.filter(F.col(col).isNotNull()).select("series_id", F.col(col).alias("_v"))
     magnitude = F.floor(F.log2(F.abs("_v")) * 256)
     offset = 1_000_000  # keeps slots of values below 1 on their side of zero
-    coarse = (
+    slotted = valued.withColumn(
+        "_slot",
         F.when(F.col("_v") > 0, magnitude + offset)
         .when(F.col("_v") < 0, -(magnitude + offset))
-        .otherwise(F.lit(0))
+        .otherwise(F.lit(0)),
     )
-    slotted = values.withColumn("_slot", coarse)
 
     def before(*by: str):
-        return Window.partitionBy(*by[:-1]).orderBy(by[-1]).rowsBetween(Window.unboundedPreceding, -1)
+        earlier = Window.partitionBy(*by[:-1]).orderBy(by[-1])
+        counted = F.sum("_n").over(earlier.rowsBetween(Window.unboundedPreceding, -1))
+        return F.coalesce(counted, F.lit(0))
 
     slots = (
         slotted.groupBy("series_id", "_slot")
-        .agg(F.sum("_n").alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
-        .withColumn("_before", F.coalesce(F.sum("_n").over(before("series_id", "_slot")), F.lit(0)))
+        .agg(F.count("*").alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
+        .withColumn("_start", before("series_id", "_slot"))
         .withColumn("_total", F.sum("_n").over(Window.partitionBy("series_id")))
     )
+    # Two ranks per quantile with their weights in the result.
     ranks = []
     for i, p in enumerate(probs):
         at = F.lit(float(p)) * (F.col("_total") - 1)
         lower = F.floor(at).cast("bigint")
-        weight = at - lower
-        ranks.append(F.struct(F.lit(i).alias("i"), lower.alias("rank"), (1 - weight).alias("weight")))
-        ranks.append(
-            F.struct(
-                F.lit(i).alias("i"),
-                F.least(lower + 1, F.col("_total") - 1).alias("rank"),
-                weight.alias("weight"),
-            )
-        )
-    holds = (F.col("_rank.rank") >= F.col("_before")) & (
-        F.col("_rank.rank") < F.col("_before") + F.col("_n")
-    )
-    wanted = slots.withColumn("_rank", F.explode(F.array(*ranks))).filter(holds)
-    targets = wanted.select(
-        "series_id",
-        "_slot",
-        "_low",
-        "_high",
-        "_before",
-        F.struct(F.col("_rank.rank").alias("rank"), F.col("_rank.i").alias("i"), F.col("_rank.weight").alias("weight")).alias("_rank"),
-    )
-    # A handful of ranks per slot: at most two per quantile.
-    slot_targets = targets.groupBy("series_id", "_slot").agg(
-        F.first("_low").alias("_low"),
-        F.first("_high").alias("_high"),
-        F.first("_before").alias("_before"),
-        F.collect_list("_rank").alias("_ranks"),
+        upper = F.least(lower + 1, F.col("_total") - 1)
+        for rank, weight in ((lower, 1 - (at - lower)), (upper, at - lower)):
+            ranks.append(F.struct(F.lit(i).alias("i"), rank.alias("rank"), weight.alias("weight")))
+    held = "filter({0}, r -> r.rank >= _start and r.rank < _start + _n)"
+    targets = (
+        slots.withColumn("_ranks", F.array(*ranks))
+        .withColumn("_ranks", F.expr(held.format("_ranks")))
+        .filter(F.size("_ranks") > 0)
+        .select("series_id", "_slot", "_low", "_high", "_start", "_ranks", F.col("_n").alias("n_rows"))
     )
+    spread = (F.col("_v") - F.col("_low")) / (F.col("_high") - F.col("_low"))
+    part = F.when(F.col("_high") > F.col("_low"), F.floor(spread * 4096)).otherwise(F.lit(0))
     fine = (
-        slotted.join(slot_targets, ["series_id", "_slot"])
-        .withColumn(
-            "_part",
-            F.when(F.col("_high") == F.col("_low"), F.lit(1)).otherwise(
-                F.floor((F.col("_v") - F.col("_low")) / (F.col("_high") - F.col("_low")) * 4096)
-            ),
-        )
+        lookup(slotted, targets, ["series_id", "_slot"], rows="n_rows", how="inner")
+        .groupBy("series_id", "_slot", part.alias("_part"), "_v")
+        .agg(F.count("*").alias("_n"), F.first("_start").alias("_base"), F.first("_ranks").alias("_ranks"))
     )
     parts = (
         fine.groupBy("series_id", "_slot", "_part")
         .agg(
             F.sum("_n").alias("_n"),
-            F.first("_before").alias("_before"),
+            F.first("_base").alias("_base"),
             F.first("_ranks").alias("_ranks"),
         )
-        .withColumn(
-            "_start",
-            F.col("_before")
-            + F.coalesce(F.sum("_n").over(before("series_id", "_slot", "_part")), F.lit(0)),
-        )
-        .withColumn(
-            "_ranks",
-            F.expr("filter(_ranks, r -> r.rank >= _start and r.rank < _start + _n)"),
-        )
-        .filter(F.size("_ranks") > 0)
-        .select("series_id", "_slot", "_part", "_start", F.col("_ranks").alias("_wanted"))
+        .withColumn("_start", F.col("_base") + before("series_id", "_slot", "_part"))
+        .withColumn("_wanted", F.expr(held.format("_ranks")))
+        .filter(F.size("_wanted") > 0)
+        .select("series_id", "_slot", "_part", F.col("_start").alias("_from"), "_wanted")
     )
     in_part = Window.partitionBy("series_id", "_slot", "_part").orderBy("_v")
     found = (
         fine.select("series_id", "_slot", "_part", "_v", "_n")
         .join(parts, ["series_id", "_slot", "_part"])
-        .withColumn("_end", F.col("_start") + F.sum("_n").over(in_part))
-        .withColumn(
-            "_rank",
-            F.explode(
-                F.expr("filter(_wanted, r -> r.rank >= _end - _n and r.rank < _end)")
-            ),
-        )
+        .withColumn("_start", F.col("_from") + F.sum("_n").over(in_part) - F.col("_n"))
+        .withColumn("_rank", F.explode(F.expr(held.format("_wanted"))))
     )
+    weighted = F.col("_v") * F.col("_rank.weight")
     return found.groupBy("series_id").agg(
-        *[
-            F.sum(F.when(F.col("_rank.i") == i, F.col("_v") * F.col("_rank.weight"))).alias(f"q{i}")
-            for i in range(len(probs))
-        ]
+        *[F.sum(F.when(F.col("_rank.i") == i, weighted)).alias(f"q{i}") for i in range(len(probs))]
     )
 
 

@@ -114,15 +114,11 @@ def strip_history(df: DataFrame, start: datetime) -> DataFrame:
 
 def first_last(df: DataFrame) -> DataFrame:
     """First and last row of each series."""
-    row = F.struct("ts", "d")
     return df.groupBy("series_id").agg(
-        F.min_by(row, "ts").alias("_first"), F.max_by(row, "ts").alias("_last")
-    ).select(
-        "series_id",
-        F.col("_first.ts").alias("first_ts"),
-        F.col("_first.d").alias("first_d"),
-        F.col("_last.ts").alias("last_ts"),
-        F.col("_last.d").alias("last_d"),
+        F.min("ts").alias("first_ts"),
+        F.min_by("d", "ts").alias("first_d"),
+        F.max("ts").alias("last_ts"),
+        F.max_by("d", "ts").alias("last_d"),
     )
 
 
