@@ -203,10 +203,14 @@ def model_input_query(spark, sf_dir):
 
 
 @query("refresh_pipeline", with_tables("he_full he_raw", "with " + HYBRID_SQL + """
-    select series_id, ts, d from stored union all select series_id, ts, d from fetched"""))
+    , closed as (select series_id, unnest(generate_series(last_ts + interval 1 hour, m, interval 1 hour)) as ts
+      from last join (select series_id, max(ts) as m from missing group by 1) x using (series_id))
+    select series_id, ts, d from stored
+    union all select c.series_id, c.ts, f.d from closed c left join fetched f using (series_id, ts)"""))
 def refresh_pipeline(spark, sf_dir):
+    """The gap between stored and fetched rows is closed: sparse tables have one."""
     series = i.hourly_types(spark, sf_dir)
     store = i.new_store(i.until(fill_grid(series), datetime(2024, 1, 20, 23)), HOUR)
     requests = requests_for(series, datetime(2024, 1, 5), datetime(2024, 1, 28, 12))
-    refresh(spark, i.raw_records(series), store, requests)
+    refresh(spark, i.raw_records(series), store, requests, close_gap=True)
     return read_chunks(spark, store).select("series_id", "ts", "d")

@@ -35,8 +35,10 @@ marked as (select f.series_id, f.ts, d, hour(f.ts) as hour, month(f.ts) as month
   from he_full f join (select series_id, max(ts) as e from he_full group by 1) m on m.series_id = f.series_id),
 fitted as (select series_id, hour, month, avg(d) as pred, count(*) as n_rows from marked where is_train group by 1, 2, 3)
 """
-METRICS_SQL = """count(*) as example_count,
-  case when var_pop(d) > 0 then round(1 - avg(power(d - p, 2)) / var_pop(d), 6) end as r2_score,
+R2_SQL = """case when var_pop(d) > 0 then 1 - avg(power(d - p, 2)) / var_pop(d)
+  when count(*) > 1 then case when sum(power(d - p, 2)) = 0 then 1.0 else 0.0 end end"""
+METRICS_SQL = f"""count(*) as example_count,
+  round({R2_SQL}, 6) as r2_score,
   round(avg(power(d - p, 2)), 6) as mean_squared_error,
   round(sqrt(avg(power(d - p, 2))), 6) as root_mean_squared_error,
   round(avg(abs(d - p)), 6) as mean_absolute_error,
@@ -133,7 +135,7 @@ def _variants_sql() -> str:
             sql = sql.replace(f"join {cte} ", f"join {cte}_{name} ")
         ctes.append(sql)
         parts.append(
-            f"select series_id, '{name}' as param_set, fold, 1 - avg(power(d - p, 2)) / var_pop(d) as score "
+            f"select series_id, '{name}' as param_set, fold, {R2_SQL} as score "
             f"from known_{name} group by 1, 2, 3"
         )
     return "with " + ",".join(ctes) + ", scores as (" + " union all ".join(parts) + ")"
@@ -199,7 +201,7 @@ def _compare_sql() -> str:
         )
     return f"""
     preds as ({" union all ".join(parts)}),
-    scored as (select v, 1 - avg(power(d - p, 2)) / var_pop(d) as r2_score, sqrt(avg(power(d - p, 2))) as root_mean_squared_error,
+    scored as (select v, {R2_SQL} as r2_score, sqrt(avg(power(d - p, 2))) as root_mean_squared_error,
       avg(power(d - p, 2)) as mean_squared_error,
       avg(abs(d - p) / greatest(abs(d), 2.220446049250313e-16)) as mean_absolute_percentage_error from preds group by 1)
     unpivot (select 'baseline' as model_name, v as model_version, 'baseline-v' || v || '-fB___' as label,
@@ -319,6 +321,6 @@ def refresh_and_train(spark, sf_dir):
     store = i.new_store(i.until(fill_grid(series), datetime(2024, 1, 20, 23)), HOUR)
     requests = pipelines.requests_for(series, datetime(2024, 1, 2), datetime(2024, 1, 28, 12))
     _, results, _ = pipelines.refresh_and_train(
-        spark, i.raw_records(series), store, requests, **_train_options(spark)
+        spark, i.raw_records(series), store, requests, close_gap=True, **_train_options(spark)
     )
     return results

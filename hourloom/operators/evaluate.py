@@ -66,10 +66,14 @@ def regression_metrics(
         F.sum(target).alias("sum_on_target"),
     )
     mse = F.col("_sse") / F.col("n")
+    # Undefined for a single row; for a constant target 1 if every guess is right, else 0.
+    r2 = F.when(F.col("_var") > 0, 1 - mse / F.col("_var")).when(
+        F.col("n") > 1, F.when(F.col("_sse") == 0, 1.0).otherwise(0.0)
+    )
     return sums.select(
         *by,
         F.col("n").alias("example_count"),
-        F.when(F.col("_var") > 0, 1 - mse / F.col("_var")).alias("r2_score"),
+        r2.alias("r2_score"),
         mse.alias("mean_squared_error"),
         F.sqrt(mse).alias("root_mean_squared_error"),
         "mean_absolute_error",

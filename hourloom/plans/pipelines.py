@@ -145,10 +145,13 @@ def refresh(
     requests: DataFrame,
     step: timedelta = HOUR,
     on_fail: str = "report",
+    close_gap: bool = False,
 ) -> DataFrame:
     """Fetch what the store lacks of the requested ranges and merge it in.
 
     Returns the applied chunk diff; raises RedundantExtraction when nothing is missing.
+    If the first missing steps are absent from the source as well, the new rows do not
+    join the stored ones, which is an error unless `close_gap` fills them with nulls.
     """
     split = hit_miss(read_chunk_index(spark, store), requests, step)
     misses = staged(
@@ -159,7 +162,7 @@ def refresh(
     )
     if misses.isEmpty():
         raise RedundantExtraction("the requested ranges are already stored")
-    rows = fetch_range(spark, store, raw, misses, step, use_store=False)
+    rows = fetch_range(spark, store, raw, misses, step, use_store=False, close_gap=close_gap)
     return upsert_chunks(rows, store, step, on_fail=on_fail)
 
 
@@ -209,14 +212,28 @@ def train(
     return PipelineModel.load(model_path), results, training_params(frame)
 
 
-def refresh_and_train(spark: SparkSession, raw: DataFrame, store: str, requests: DataFrame, **options):
-    """Make sure the data is stored, then train on it."""
+def refresh_and_train(
+    spark: SparkSession,
+    raw: DataFrame,
+    store: str,
+    requests: DataFrame,
+    close_gap: bool = False,
+    **options,
+):
+    """Make sure the data is stored, then train on it.
+
+    Where the source has nothing up to the requested end, training stops at the stored end.
+    """
     step = options.get("step", HOUR)
     try:
-        refresh(spark, raw, store, requests, step)
+        refresh(spark, raw, store, requests, step, close_gap=close_gap)
     except RedundantExtraction:
         pass
-    return train(spark, store, raw, requests, **options)
+    stored = stored_bounds(spark, store).select("series_id", F.col("end_ts").alias("_stored_end"))
+    windows = requests.join(stored, "series_id").select(
+        "series_id", "start_ts", F.least("end_ts", "_stored_end").alias("end_ts")
+    )
+    return train(spark, store, raw, windows, **options)
 
 
 def compare(

@@ -189,12 +189,16 @@ def fetch_range(
     requests: DataFrame,
     step: timedelta = HOUR,
     use_store: bool = True,
+    close_gap: bool = False,
 ) -> DataFrame:
     """Rows of the requested (series_id, start_ts, end_ts) from the store and the raw source.
 
     The stored part comes from the chunks, the rest from `raw` (transformed first);
     with ``use_store=False`` everything comes from `raw`. Stored rows win. Raises
     DataUnavailable when raw rows are needed and there is none.
+
+    The raw part spans what the source returned, so a hole before its first record stays
+    out of sight; with `close_gap` its grid starts where the missing range starts.
     """
     if use_store:
         split = staged(hit_miss(read_chunk_index(spark, store), requests, step), "hit-miss")
@@ -217,7 +221,11 @@ def fetch_range(
     fetched = staged(fetch_raw(raw, misses, step), "fetched")
     if fetched.isEmpty():
         raise DataUnavailable("the raw source has no rows in the missing range")
-    parts.append(typed_to_warehouse(fetched, step))
+    bounds = time_bounds(fetched)
+    if close_gap:
+        wanted = misses.select("series_id", F.col("start_ts").alias("_from"))
+        bounds = bounds.join(wanted, "series_id").withColumn("start_ts", F.least("start_ts", "_from"))
+    parts.append(typed_to_warehouse(fetched, step, bounds))
     return concat_series(parts) if len(parts) > 1 else parts[0]
 
 

@@ -126,6 +126,14 @@ def test_metrics_against_numpy(series):
     assert (m.max_error, m.sum_on_target) == (pytest.approx(abs(a - b).max()), pytest.approx(a.sum()))
 
 
+def test_r2_of_a_constant_target(spark):
+    rows = [("wrong", 1.0, 2.0), ("wrong", 1.0, 1.0), ("right", 1.0, 1.0), ("right", 1.0, 1.0), ("single", 1.0, 2.0)]
+    df = spark.createDataFrame(rows, "series_id string, d double, pred double")
+    assert dict(collected(e.regression_metrics(df), "series_id", "r2_score")) == {
+        "wrong": 0.0, "right": 1.0, "single": None,
+    }
+
+
 def test_baseline(series):
     ts = hours("2024-01-01", 72)
     frame = add_calendar_features(series([(t, t.hour + (100 if t.day == 2 else 0)) for t in ts]))

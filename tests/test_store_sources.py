@@ -122,6 +122,16 @@ def test_refresh_is_idempotent(spark, stored):
         pl.refresh(spark, raw, stored, request(spark, "2016-12-10", "2017-01-05"), DAY)
 
 
+def test_a_late_first_record_is_a_gap_unless_closed(spark, stored):
+    raw = raw_rows(spark, days("2016-12-25", 20, 7))
+    wanted = request(spark, "2016-12-10", "2017-01-05")
+    with pytest.raises(Exception, match="gap"):
+        pl.refresh(spark, raw, stored, wanted, DAY)
+    pl.refresh(spark, raw, stored, wanted, DAY, close_gap=True)
+    got = contents(spark, stored)
+    assert [got[t] for t in hours("2016-12-20", 6, DAY)] == [1.0, None, None, None, None, 7.0]
+
+
 def test_model_input_has_history_and_strips_it(spark, series):
     path = work_path(spark, "store")
     st.write_store(series([(t, 100 + k) for k, (t, _) in enumerate(days("2015-01-01", 1500, 0))]), path, DAY)
