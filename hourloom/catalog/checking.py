@@ -57,7 +57,7 @@ def dq_suite_model_input(spark, sf_dir):
 
 
 @query("full_index_check", with_tables("he", """
-    select series_id, count(*) as n_rows, date_diff('hour', min(ts), max(ts)) + 1 as n_expected,
+    select series_id, min(ts) as start_ts, max(ts) as end_ts, count(*) as n_rows, date_diff('hour', min(ts), max(ts)) + 1 as n_expected,
       count(*) = date_diff('hour', min(ts), max(ts)) + 1 as full_index
     from (select * from he union all select cast(user_id as varchar), cast(date_trunc('hour', ts) as timestamp), null
           from events group by 1, 2) a group by 1"""))

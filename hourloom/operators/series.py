@@ -139,6 +139,8 @@ def full_index_check(df: DataFrame, step: timedelta = HOUR) -> DataFrame:
     expected = steps_between("start_ts", "end_ts", step) + 1
     return found.select(
         "series_id",
+        "start_ts",
+        "end_ts",
         "n_rows",
         expected.alias("n_expected"),
         (

@@ -123,8 +123,9 @@ def model_input(
 ) -> DataFrame:
     """Fetch, back-fill, clean, add features, strip the history again and validate."""
     base = staged(fetch_range(spark, store, raw, requests, step), "model-base")
-    history = with_backfill(spark, base, store, step)
-    featured = add_features(clean(history, low, high), holidays)
+    # Cleaning reads its input more than once.
+    whole = staged(with_backfill(spark, base, store, step), "model-history")
+    featured = add_features(clean(whole, low, high), holidays)
     starts = requests.select("series_id", F.col("start_ts").alias("_from"))
     sizes = base.groupBy("series_id").agg(F.count("*").alias("n_rows"))
     frame = (

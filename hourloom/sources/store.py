@@ -20,6 +20,7 @@ from hourloom.operators.chunks import chunk_diff, chunk_index, hit_miss, update_
 from hourloom.operators.lookup import lookup
 from hourloom.operators.quality import assert_full_index, validate, warehouse_suite
 from hourloom.operators.series import (
+    concat,
     concat_series,
     full_index_check,
     time_bounds,
@@ -137,11 +138,12 @@ def upsert_chunks(
     """
     spark = df.sparkSession
     rows = staged(df.select(*[f.name for f in SERIES]), "upsert")
-    assert_full_index(full_index_check(rows, step))
+    checked = staged(full_index_check(rows, step), "index-check")
+    assert_full_index(checked)
     validate(rows, "warehouse", warehouse_suite(step), on_fail)
 
     old = read_chunk_index(spark, store)
-    bounds = time_bounds(rows)
+    bounds = checked.select("series_id", "start_ts", "end_ts")
     diff = staged(chunk_diff(old, chunk_index(bounds, step)), "chunk-diff")
     # Fails here, before anything is written, if the new rows leave a gap.
     updated = staged(update_chunk_index(old, bounds, step), "chunk-index")
@@ -226,7 +228,8 @@ def fetch_range(
         wanted = misses.select("series_id", F.col("start_ts").alias("_from"))
         bounds = bounds.join(wanted, "series_id").withColumn("start_ts", F.least("start_ts", "_from"))
     parts.append(typed_to_warehouse(fetched, step, bounds))
-    return concat_series(parts) if len(parts) > 1 else parts[0]
+    # The two parts never share a step, so no de-duplication is needed.
+    return concat(parts)
 
 
 def read_ranges(
