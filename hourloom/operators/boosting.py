@@ -12,11 +12,11 @@ from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from hourloom.consts import CV_SPLITS, GBT_EARLY_STOP, GBT_PARAMS, HOUR, TEST_SET_HOURS
-from hourloom.operators.evaluate import regression_metrics
+from hourloom.operators.evaluate import cv_results, regression_metrics
 from hourloom.operators.folds import with_segment
 
 
@@ -73,8 +73,6 @@ def predict_gbt(model: PipelineModel, df: DataFrame) -> DataFrame:
 
 def feature_importances(model: PipelineModel) -> DataFrame:
     """One row per model input, most important first."""
-    from pyspark.sql import SparkSession
-
     columns = model.stages[-2].getInputCols()
     weights = model.stages[-1].featureImportances.toArray()
     rows = [Row(feature=c, importance=float(w)) for c, w in zip(columns, weights, strict=True)]
@@ -130,8 +128,6 @@ def cross_validate(
 
 def search_results(scores: DataFrame) -> DataFrame:
     """The cross-validation table over parameter sets, best first, with mean fit time."""
-    from hourloom.operators.evaluate import cv_results
-
     times = scores.groupBy("param_set").agg(F.avg("fit_seconds").alias("mean_fit_seconds"))
     ranked = cv_results(scores.withColumn("_all", F.lit("all")), "_all").drop("_all")
     return ranked.join(times, "param_set").orderBy("rank", "param_set")

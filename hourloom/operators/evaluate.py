@@ -186,13 +186,19 @@ def model_label(name: Column, version: Column, features: Column) -> Column:
     return F.concat_ws("-", name, F.concat(F.lit("v"), version.cast("string")), features)
 
 
+def select_runs(runs: DataFrame, specs: DataFrame) -> DataFrame:
+    """Runs of the given (model_name, model_version)."""
+    key = ["model_name", "model_version"]
+    return runs.join(specs.select(*key).distinct(), key, "left_semi")
+
+
 def compare_runs(runs: DataFrame, specs: DataFrame) -> DataFrame:
     """Metrics over time of the chosen (model_name, model_version), one row per metric.
 
     The label carries the feature code of the model version's newest run.
     """
     key = ["model_name", "model_version"]
-    chosen = runs.join(specs.select(*key).distinct(), key, "left_semi")
+    chosen = select_runs(runs, specs)
     newest = chosen.groupBy(*key).agg(
         F.max_by("feature_flags", "start_time").alias("_code"), F.count("*").alias("n_rows")
     )

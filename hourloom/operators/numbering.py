@@ -1,8 +1,8 @@
 """Ordered operators over one series, computed bucket by bucket.
 
 A window over a whole series would put a series that holds a third of all rows
-into one task. Here rows are ordered inside (series, month) buckets, and only one
-summary row per bucket meets in the per-series window.
+into one task. Here rows are ordered inside (series, stretch of time) buckets, and
+only one summary row per bucket meets in the per-series window.
 """
 
 from __future__ import annotations
@@ -12,7 +12,10 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hourloom.functions.time import steps_between
+from hourloom.functions.time import epoch_seconds, steps_between
+
+#: Steps of a grid that are ordered in one group.
+BUCKET_STEPS = 4096
 
 
 def month_bucket(ts: Column | str) -> Column:
@@ -54,8 +57,12 @@ def number_rows(
 
 
 def missing_ranges(df: DataFrame, step: timedelta) -> DataFrame:
-    """Maximal runs of missing steps between the first and last row of each series."""
-    rows = df.select("series_id", "ts", month_bucket("ts").alias("_bucket"))
+    """Maximal runs of missing steps between the first and last row of each series.
+
+    A bucket spans BUCKET_STEPS steps, so that no group of ordered rows is larger.
+    """
+    seconds = int(step.total_seconds()) * BUCKET_STEPS
+    rows = df.select("series_id", "ts", F.floor(epoch_seconds("ts") / seconds).alias("_bucket"))
     within = Window.partitionBy("series_id", "_bucket").orderBy("ts")
     inside = rows.select("series_id", "ts", F.lead("ts").over(within).alias("next_ts"))
     across = (

@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourloom.consts import HISTOGRAM_BINS, MAX_DEMAND, MIN_DEMAND
-from hourloom.functions.values import capped
+from hourloom.functions.values import capped, same_or_both_null
 from hourloom.operators.clean import month_hour_means
 from hourloom.operators.lookup import lookup
 
 
-def outlier_report(df: DataFrame, col: str = "d", low: float = MIN_DEMAND, high: float = MAX_DEMAND):
+def outlier_report(
+    df: DataFrame, col: str = "d", low: float = MIN_DEMAND, high: float = MAX_DEMAND
+) -> DataFrame:
     """How many values lie below and above the caps, and their extremes."""
     value = F.col(col)
     return df.groupBy("series_id").agg(
@@ -24,7 +26,9 @@ def outlier_report(df: DataFrame, col: str = "d", low: float = MIN_DEMAND, high:
     )
 
 
-def outliers(df: DataFrame, col: str = "d", low: float = MIN_DEMAND, high: float = MAX_DEMAND):
+def outliers(
+    df: DataFrame, col: str = "d", low: float = MIN_DEMAND, high: float = MAX_DEMAND
+) -> DataFrame:
     """The rows outside the caps."""
     value = F.col(col)
     side = F.when(value > high, F.lit("above")).when(value < low, F.lit("below"))
@@ -45,17 +49,40 @@ def skew_report(
     )
 
 
-def exact_quantiles(df: DataFrame, probs: Sequence[float], col: str = "d") -> DataFrame:
+#: Up to this many values of a series are counted in one aggregation buffer.
+BUFFERED_VALUES = 1_000_000
+
+
+def exact_quantiles(
+    df: DataFrame, probs: Sequence[float], col: str = "d", buffered: int = BUFFERED_VALUES
+) -> DataFrame:
     """Exact quantiles with linear interpolation, as columns q0, q1, ... per series.
 
-    The order statistics around each quantile are found by counting in ever finer
-    value slots: powers of two cut in 256, then 4096 equal parts of the slots that hold
-    a wanted rank. Only rows of such slots are shuffled by value, equal values as one
-    row, and only the values of a wanted part are put in order. No series is held by
-    one task, in a sketch or in a map.
+    `percentile` keeps the distinct values of a group in one buffer, which suits
+    series of at most `buffered` values. Longer ones, of which there can be only
+    rows / buffered, are found by refinement without any such buffer.
     """
     valued = df.filter(F.col(col).isNotNull()).select("series_id", F.col(col).alias("_v"))
-    magnitude = F.floor(F.log2(F.abs("_v")) * 256)
+    sizes = valued.groupBy("series_id").agg(F.count("*").alias("_n"))
+    long = F.broadcast(sizes.filter(F.col("_n") > buffered).select("series_id"))
+    at_once = F.percentile("_v", F.array(*[F.lit(float(p)) for p in probs]))
+    short = (
+        valued.join(long, "series_id", "left_anti")
+        .groupBy("series_id")
+        .agg(at_once.alias("_q"))
+        .select("series_id", *[F.col("_q")[i].alias(f"q{i}") for i in range(len(probs))])
+    )
+    return short.unionByName(_refined_quantiles(valued.join(long, "series_id", "left_semi"), probs))
+
+
+def _refined_quantiles(valued: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """Quantiles of the non-null values ``_v`` by counting in ever finer value slots.
+
+    Powers of two cut in 64, then 4096 equal parts of the slots that hold a wanted
+    rank. Only rows of such slots are shuffled by value, equal values as one row, and
+    only the values of a wanted part are put in order. No series is held by one task.
+    """
+    magnitude = F.floor(F.log2(F.abs("_v")) * 64)
     offset = 1_000_000  # keeps slots of values below 1 on their side of zero
     slotted = valued.withColumn(
         "_slot",
@@ -76,16 +103,18 @@ def exact_quantiles(df: DataFrame, probs: Sequence[float], col: str = "d") -> Da
         .withColumn("_total", F.sum("_n").over(Window.partitionBy("series_id")))
     )
     # Two ranks per quantile with their weights in the result.
-    ranks = []
+    ranks, in_slot = [], F.lit(False)
     for i, p in enumerate(probs):
         at = F.lit(float(p)) * (F.col("_total") - 1)
         lower = F.floor(at).cast("bigint")
         upper = F.least(lower + 1, F.col("_total") - 1)
+        in_slot = in_slot | ((upper >= F.col("_start")) & (lower < F.col("_start") + F.col("_n")))
         for rank, weight in ((lower, 1 - (at - lower)), (upper, at - lower)):
             ranks.append(F.struct(F.lit(i).alias("i"), rank.alias("rank"), weight.alias("weight")))
     held = "filter({0}, r -> r.rank >= _start and r.rank < _start + _n)"
     targets = (
-        slots.withColumn("_ranks", F.array(*ranks))
+        slots.filter(in_slot)
+        .withColumn("_ranks", F.array(*ranks))
         .withColumn("_ranks", F.expr(held.format("_ranks")))
         .filter(F.size("_ranks") > 0)
         .select("series_id", "_slot", "_low", "_high", "_start", "_ranks", F.col("_n").alias("n_rows"))
@@ -244,7 +273,7 @@ def reconcile(a: DataFrame, b: DataFrame) -> DataFrame:
     other = b.select("series_id", "ts", F.col("d").alias("other_d"))
     return (
         a.join(other, ["series_id", "ts"])
-        .filter(~F.col("d").eqNullSafe(F.col("other_d")))
+        .filter(~same_or_both_null("d", "other_d"))
         .select("series_id", "ts", "d", "other_d")
     )
 
@@ -258,7 +287,7 @@ def reconcile_counts(a: DataFrame, b: DataFrame, adjusted: str = "adjusted_d") -
         .groupBy("series_id")
         .agg(
             F.count("*").alias("n_shared"),
-            F.count_if(~F.col("d").eqNullSafe(F.col("_other"))).alias("n_different"),
+            F.count_if(~same_or_both_null("d", "_other")).alias("n_different"),
             F.count_if(raw_null).alias("n_null_raw"),
             F.count_if(raw_null & F.col(adjusted).isNull()).alias("n_not_adjusted"),
         )

@@ -60,6 +60,19 @@ def requests_for(series: DataFrame, start, end) -> DataFrame:
     )
 
 
+def refresh_requests(
+    series: DataFrame,
+    now: datetime,
+    start: datetime | None = None,
+    end: datetime | None = None,
+    buffer_hours: int = REPORTING_BUFFER_HOURS,
+) -> DataFrame:
+    """What a refresh asks for: by default everything up to the newest usable hour."""
+    return requests_for(
+        series, start or EARLIEST_DATA_HOUR, end or usable_until(ntz(now), buffer_hours)
+    )
+
+
 def training_window(
     bounds: DataFrame,
     now: datetime,
@@ -199,7 +212,8 @@ def train(
 ) -> tuple[PipelineModel, DataFrame, DataFrame]:
     """Train on stored data only: cross-validate, refit the best and save the model.
 
-    Returns the model, the cross-validation table and the training parameters.
+    The cross-validation table goes next to the model, to ``<model_path>-cv``. Returns
+    the reloaded model, that table and the training parameters.
     """
     beyond = hit_miss(read_chunk_index(spark, store), windows, step).filter("miss_start is not null")
     if not beyond.isEmpty():
@@ -210,7 +224,12 @@ def train(
         columns, feature_columns(flags), candidates, n_splits, test_size, step
     )
     model.write().overwrite().save(model_path)
-    return PipelineModel.load(model_path), results, training_params(frame)
+    results.write.mode("overwrite").parquet(f"{model_path}-cv")
+    return (
+        PipelineModel.load(model_path),
+        spark.read.parquet(f"{model_path}-cv"),
+        training_params(frame),
+    )
 
 
 def refresh_and_train(
@@ -237,19 +256,15 @@ def refresh_and_train(
     return train(spark, store, raw, windows, **options)
 
 
-def compare(
-    spark: SparkSession,
-    predictions: DataFrame,
-    train_ends: DataFrame,
-    runs_path: str,
-    now: datetime,
-    specs: DataFrame | None = None,
+def evaluate_models(
+    predictions: DataFrame, train_ends: DataFrame, runs_path: str, now: datetime
 ) -> DataFrame:
-    """Score predictions of several models, append the runs and compare over time.
+    """Score the predictions of one or more models, append the runs and return them.
 
     `predictions` holds (model_name, model_version, input_columns, series_id, ts, d,
     pred) of every model, so that all of them are scored by one aggregation.
-    `train_ends` holds the last training ts per series.
+    `train_ends` holds the last training ts per series; it may not lie behind the
+    first evaluated one.
     """
     starts = predictions.groupBy("series_id").agg(F.min("ts").alias("ts"))
     assert_no_leak(train_ends, starts)
@@ -259,8 +274,20 @@ def compare(
     )
     runs = staged(evaluate.run_rows(scored, ntz(now)), "runs")
     append_run(runs, runs_path)
-    history = read_runs(spark, runs_path)
-    return evaluate.compare_runs(history, runs if specs is None else specs)
+    return runs
+
+
+def compare(
+    spark: SparkSession,
+    predictions: DataFrame,
+    train_ends: DataFrame,
+    runs_path: str,
+    now: datetime,
+    specs: DataFrame | None = None,
+) -> DataFrame:
+    """Evaluate models, then compare the chosen ones (all evaluated ones by default) over time."""
+    runs = evaluate_models(predictions, train_ends, runs_path, now)
+    return evaluate.compare_runs(read_runs(spark, runs_path), runs if specs is None else specs)
 
 
 def stored_bounds(spark: SparkSession, store: str) -> DataFrame:

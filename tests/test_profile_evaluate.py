@@ -30,10 +30,11 @@ def shapes():
     }
 
 
-def test_exact_quantiles(series):
+@pytest.mark.parametrize("buffered", [0, 350, 10**6])
+def test_exact_quantiles(series, buffered):
     data = shapes()
     df = series({k: list(zip(hours("2024-01-01", len(v)), v)) + [(at("2023-01-01"), None)] for k, v in data.items()})
-    for row in p.exact_quantiles(df, PROBS).collect():
+    for row in p.exact_quantiles(df, PROBS, buffered=buffered).collect():
         want = np.quantile(np.array(data[row.series_id]), PROBS)
         got = [row[f"q{k}"] for k in range(len(PROBS))]
         assert got == pytest.approx(list(want), rel=1e-9, abs=1e-12), row.series_id

@@ -152,6 +152,31 @@ def test_training_window_leaves_buffer_and_test_hours(spark):
     assert (start, end) == (row.end_ts, at("2024-11-07T11:00"))
 
 
+def test_default_refresh_request(spark, series):
+    row = pl.refresh_requests(series(days("2016-01-01", 2, 1)), at("2024-11-10T10:31:00")).first()
+    assert (row.start_ts, row.end_ts) == (at("2015-07-01T05:00"), at("2024-11-07T11:00"))
+
+
+def test_evaluation_refuses_a_leak_and_logs_runs(spark, tmp_path):
+    from hourloom.operators.quality import LeakError
+
+    rows = [("m", 1, ["hour"], "a", t, float(k), float(k) + k % 2) for k, t in enumerate(hours("2024-01-02", 10))]
+    predictions = spark.createDataFrame(
+        rows, "model_name string, model_version int, input_columns array<string>, series_id string, "
+        "ts timestamp_ntz, d double, pred double"
+    )
+    ends = spark.createDataFrame([("a", at("2024-01-01T23:00"))], "series_id string, ts timestamp_ntz")
+    path = str(tmp_path / "runs")
+    for day in ("2024-02-01", "2024-02-02"):
+        got = pl.compare(spark, predictions, ends, path, at(day))
+    assert collected(got.filter("metric = 'mean_squared_error'"), "label", "start_time", "metric_value") == [
+        ("m-v1-fB___", at("2024-02-01"), 0.5), ("m-v1-fB___", at("2024-02-02"), 0.5),
+    ]
+    late = spark.createDataFrame([("a", at("2024-01-02T01:00"))], "series_id string, ts timestamp_ntz")
+    with pytest.raises(LeakError):
+        pl.evaluate_models(predictions, late, path, at("2024-02-03"))
+
+
 def test_training_needs_stored_data(spark, stored):
     with pytest.raises(ValueError, match="must be stored"):
         pl.train(spark, stored, raw_rows(spark, []), request(spark, "2016-03-01", "2017-01-05"), us_holidays(spark), "unused", step=DAY)
