@@ -30,7 +30,7 @@ def lookup(
     """
     on = list(on)
     added = [c for c in table.columns if c not in on and c != rows]
-    is_hot = F.col(rows) > hot_rows
+    is_hot = F.coalesce(F.col(rows) > hot_rows, F.lit(False))
     hot = table.filter(is_hot).select(
         *on, F.lit(True).alias("_hot"), *[F.col(c).alias(f"_hot_{c}") for c in added]
     )

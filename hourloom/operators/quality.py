@@ -6,6 +6,7 @@ first, which costs the one shuffle that it needs; all other counts ride along.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from datetime import timedelta
@@ -25,6 +26,9 @@ from hourloom.consts import (
 from hourloom.functions.time import on_step
 
 
+log = logging.getLogger(__name__)
+
+
 class ValidationFailed(ValueError):
     pass
 
@@ -163,12 +167,19 @@ def report(df: DataFrame, suite: str, expectations: Sequence[Expectation]) -> Da
 def validate(
     df: DataFrame, suite: str, expectations: Sequence[Expectation], on_fail: str = "report"
 ) -> DataFrame:
-    """The report; with ``on_fail='raise'`` also an error if any expectation fails."""
+    """The report of a suite; it is lazy unless failures are to be acted on.
+
+    ``on_fail='warn'`` logs failed expectations, ``'raise'`` turns them into an error.
+    """
+    if on_fail not in ("report", "warn", "raise"):
+        raise ValueError(f"on_fail must be report, warn or raise, not {on_fail}")
     result = report(df, suite, expectations)
-    if on_fail == "raise":
-        failed = result.filter("not success").collect()
-        if failed:
-            raise ValidationFailed(f"{suite}: {[r.asDict() for r in failed]}")
+    if on_fail != "report":
+        failed = [row.asDict() for row in result.filter("not success").collect()]
+        if failed and on_fail == "raise":
+            raise ValidationFailed(f"{suite}: {failed}")
+        for row in failed:
+            log.warning("validation failure: %s", row)
     return result
 
 

@@ -51,9 +51,11 @@ def fill_grid(df: DataFrame, step: timedelta = HOUR, bounds: DataFrame | None =
     """Every step of each series, with nulls where `df` has no row.
 
     The grid spans the data unless `bounds` (series_id, start_ts, end_ts) says otherwise.
+    The data are of the grid's own order of size, so they are sort-merged, which can
+    spill, and never broadcast.
     """
     grid = make_grid(time_bounds(df) if bounds is None else bounds, step)
-    return grid.join(df, ["series_id", "ts"], "left").select(*df.columns)
+    return grid.join(df.hint("merge"), ["series_id", "ts"], "left").select(*df.columns)
 
 
 def dedupe_first(df: DataFrame, keys: Sequence[str], priority: str) -> DataFrame:

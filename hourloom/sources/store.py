@@ -129,7 +129,7 @@ def upsert_chunks(
     store: str,
     step: timedelta = HOUR,
     fill_stored_nulls: bool = False,
-    on_fail: str = "report",
+    on_fail: str = "warn",
 ) -> DataFrame:
     """Merge new rows into the store and return the chunk diff that was applied.
 
@@ -195,7 +195,7 @@ def fetch_range(
 ) -> DataFrame:
     """Rows of the requested (series_id, start_ts, end_ts) from the store and the raw source.
 
-    The stored part comes from the chunks, the rest from `raw` (transformed first);
+    One request per series. The stored part comes from the chunks, the rest from `raw` (transformed first);
     with ``use_store=False`` everything comes from `raw`. Stored rows win. Raises
     DataUnavailable when raw rows are needed and there is none.
 

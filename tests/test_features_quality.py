@@ -134,13 +134,17 @@ def test_on_step_examples(spark):
     assert (bad.success, bad.n_unexpected, bad.unexpected_pct) == (False, 3, 100.0)
 
 
-def test_not_null_with_a_required_share(series):
+def test_not_null_with_a_required_share(series, caplog):
     ts = hours("2024-01-01", 10)
     nine = series([(t, None if k == 0 else 1) for k, t in enumerate(ts)])
     eight = series([(t, None if k < 2 else 1) for k, t in enumerate(ts)])
     assert report_of(q.validate(nine, "w", q.warehouse_suite()))["not_null"].success
     failed = report_of(q.validate(eight, "w", q.warehouse_suite()))["not_null"]
     assert (failed.success, failed.n_unexpected, failed.unexpected_pct) == (False, 2, 20.0)
+    q.validate(eight, "w", q.warehouse_suite(), on_fail="warn")
+    assert "not_null" in caplog.text
+    with pytest.raises(ValueError, match="on_fail"):
+        q.validate(eight, "w", q.warehouse_suite(), on_fail="ignore")
     with pytest.raises(q.ValidationFailed, match="not_null"):
         q.validate(eight, "w", q.warehouse_suite(), on_fail="raise")
 

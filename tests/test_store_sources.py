@@ -122,6 +122,17 @@ def test_refresh_is_idempotent(spark, stored):
         pl.refresh(spark, raw, stored, request(spark, "2016-12-10", "2017-01-05"), DAY)
 
 
+def test_refresh_starts_an_empty_store(spark):
+    path = work_path(spark, "store")
+    raw = raw_rows(spark, days("2016-10-01", 150, 7))
+    assert st.read_chunks(spark, path).count() == 0
+    diff = pl.refresh(spark, raw, path, request(spark, "2016-10-01", "2017-01-05"), DAY)
+    assert {r.action for r in diff.collect()} == {"append"}
+    assert contents(spark, path) == {t: 7.0 for t in hours("2016-10-01", 97, DAY)}
+    with pytest.raises(pl.RedundantExtraction):
+        pl.refresh(spark, raw, path, request(spark, "2016-10-01", "2017-01-05"), DAY)
+
+
 def test_a_late_first_record_is_a_gap_unless_closed(spark, stored):
     raw = raw_rows(spark, days("2016-12-25", 20, 7))
     wanted = request(spark, "2016-12-10", "2017-01-05")
