@@ -138,12 +138,13 @@ def model_input(
 
     ``on_fail=None`` leaves the validation out and the frame lazy.
     """
-    base = staged(fetch_range(spark, store, raw, requests, step), "model-base")
+    base = fetch_range(spark, store, raw, requests, step)
+    bounds = staged(time_bounds(base), "model-bounds")
     # Cleaning reads its input more than once.
-    whole = staged(with_backfill(spark, base, store, step), "model-history")
+    whole = staged(with_backfill(spark, base, store, step, bounds), "model-history")
     featured = add_features(clean(whole, low, high), holidays)
     starts = requests.select("series_id", F.col("start_ts").alias("_from"))
-    sizes = base.groupBy("series_id").agg(F.count("*").alias("n_rows"))
+    sizes = bounds.select("series_id", "n_rows")
     frame = (
         lookup(featured, starts.join(sizes, "series_id"), ["series_id"], rows="n_rows", how="inner")
         .filter(F.col("ts") >= F.col("_from"))

@@ -5,8 +5,9 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from functools import cached_property
 from importlib import import_module
-from urllib.parse import quote, unquote
+from urllib.parse import unquote, urlparse
 
 import pyarrow as pa
 from pyarrow import fs
@@ -61,20 +62,24 @@ class FilePages:
     """
 
     def __init__(self, options: dict[str, str]):
-        self.files, self.root = fs.FileSystem.from_uri(options["path"]) if "://" in options[
-            "path"
-        ] else (fs.LocalFileSystem(), options["path"])
+        place = urlparse(options["path"])
+        if place.scheme in ("", "file"):
+            self.files, self.root = fs.LocalFileSystem(), place.path
+        else:
+            self.files, self.root = fs.FileSystem.from_uri(options["path"])
+
+    @cached_property
+    def folders(self) -> dict[str, str]:
+        """Folder of each series; names are percent-escaped where a path needs it."""
+        found = self.files.get_file_info(fs.FileSelector(self.root))
+        names = [f.base_name for f in found if f.base_name.startswith("respondent=")]
+        return {unquote(name.split("=", 1)[1]): name for name in names}
 
     def series(self) -> list[str]:
-        found = self.files.get_file_info(fs.FileSelector(self.root))
-        return sorted(
-            unquote(f.base_name.split("=", 1)[1])
-            for f in found
-            if f.base_name.startswith("respondent=")
-        )
+        return sorted(self.folders)
 
     def _page(self, series_id: str, offset: int) -> dict:
-        folder = f"{self.root}/respondent={quote(series_id)}/offset={offset}"
+        folder = f"{self.root}/{self.folders[series_id]}/offset={offset}"
         text = ""
         for info in self.files.get_file_info(fs.FileSelector(folder)):
             if info.is_file and info.base_name.startswith("part-"):

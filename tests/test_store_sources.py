@@ -238,7 +238,7 @@ def test_paged_files_and_json_parsing_agree(spark, tmp_path):
         body = json.dumps({"response": {"total": "7", "data": records[offset : offset + 3]}})
         (folder / "part-0.txt").write_text(body)
         pages.append((body, offset))
-    from_files = paged.read_paged(spark, path=str(tmp_path), page_size="3")
+    from_files = paged.read_paged(spark, path=f"file:{tmp_path}", page_size="3")
     parsed = paged.parse_pages(spark.createDataFrame(pages, "body string, at bigint"), offset="at")
     assert collected(from_files) == collected(parsed.select(*from_files.columns))
     assert collected(typed_raw(parsed), "ts")[0] == (at("2024-01-01"),)
