@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourloom.llm import lines, rules
+from hourloom.llm import lines, prefix, rules, simhash, transducer
 
 QUERIES, ORACLES = {}, {}
+MODEL, TOKEN_LIMIT = "piece_bpe_32k.model", 4096
 
 
 def query(run):
@@ -31,3 +33,19 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.drop_shared_lines(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+@query
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return transducer.encode(table(spark, sf_dir, "documents"), public_tokenizers.path(MODEL))
+
+
+@query
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = prefix.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(MODEL))
+    return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
