@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourloom.llm import lines, prefix, rules, simhash, transducer
+from hourloom.llm import lines, mixing, prefix, rules, simhash, transducer
 
 QUERIES, ORACLES = {}, {}
 MODEL, TOKEN_LIMIT = "piece_bpe_32k.model", 4096
@@ -49,3 +49,9 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = prefix.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(MODEL))
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+
+
+@query
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return mixing.schedule(docs).select("row.c0", "row.c1", "slot", "place").toDF("doc_id", "source", "slot", "place")
