@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourloom.llm import lines, mixing, prefix, rules, simhash, transducer
+from hourloom.llm import lines, mixing, prefix, rules, simhash, sphere, transducer
 
 QUERIES, ORACLES = {}, {}
 MODEL, TOKEN_LIMIT = "piece_bpe_32k.model", 4096
@@ -55,3 +55,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source")
     return mixing.schedule(docs).select("row.c0", "row.c1", "slot", "place").toDF("doc_id", "source", "slot", "place")
+
+
+@query
+def op8_embedding_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sphere.near_duplicates(table(spark, sf_dir, "embeddings"))
