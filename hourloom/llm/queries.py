@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourloom.llm import lines, mixing, prefix, rules, simhash, sphere, transducer
+from hourloom.llm import langid, lines, mixing, prefix, rules, simhash, sphere, toxicity, transducer
 
 QUERIES, ORACLES = {}, {}
 MODEL, TOKEN_LIMIT = "piece_bpe_32k.model", 4096
@@ -60,3 +60,13 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_embedding_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sphere.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
