@@ -1,8 +1,14 @@
-"""Toxicity: boosted trees over dense features of a text, with isotonic calibration."""
+"""Toxicity: boosted trees over dense features of a text, with isotonic calibration.
+
+The lexicon has two parts: a fixed list, and words and word beginnings that labelled toxic documents use far more often
+than others. The labelled rows are split: some teach the learned part, others the trees, others the calibration, so that no
+step sees the rows that the one before it was fitted to.
+"""
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,47 +38,65 @@ LEXICON = frozenset(
 SECOND_PERSON = frozenset(
     "you your yours yourself u ur du dich dir dein deine ihr euch tú tu te ti usted ustedes vosotros toi ton ta tes vous votre vos".split()
 )
-FOLDS, HELD_OUT, CALIBRATION = 5, 0, 4
-MAX_LABELLED, TREES, DEPTH, NEAR = 20_000, 30, 4, 6
+FOLDS, HELD_OUT, TREE_FOLD, CALIBRATION_FOLD = 5, 0, 3, 4
+MAX_LABELLED, TREES, DEPTH, NEAR = 40_000, 30, 4, 6
+MAX_TERMS, LEAST_TOXIC, LEAST_ODDS, BEGINNINGS = 5_000, 4, 8.0, (3, 4, 5, 6, 7)
+KNOWN_WORDS, LONGEST_TERM = 500_000, 40
 FEATURES = (
     "log_words hits_rate log_hits distinct_hits hidden_hits_rate second_rate near_second capitals caps_words "
-    "marks mark_runs mixed_words stretched"
+    "marks mark_runs mixed_words stretched learned_rate log_learned distinct_learned learned_weight largest_weight"
 ).split()
 
 _WORD = re.compile(r"\w+")
 _MARKS = re.compile(r"[!?]+")
 _INNER = re.compile(r"[0-9@$!|*]+")
 _CAPS = re.compile(r"\b[A-Z]{3,}\b")
+_CAPITAL = re.compile(r"[A-ZÀ-ÖØ-Þ]")
 _STRETCH = re.compile(r"([^\W\d_])\1\1")
 _FOLD = str.maketrans("013457@$!|*", "oieastasiii")
 
 
-def features(text: str) -> list[float]:
+class Weights(dict):
+    """The largest log-odds of a word and its beginnings among the learned terms, kept for each word seen."""
+
+    def __init__(self, terms: dict[str, float]):
+        self.terms = terms
+
+    def __missing__(self, word: str) -> float:
+        get = self.terms.get
+        weight = max([get("=" + word, 0.0), *(get(word[:k], 0.0) for k in BEGINNINGS if k <= len(word))])
+        if len(self) >= KNOWN_WORDS:  # a cache only
+            self.clear()
+        self[word] = weight
+        return weight
+
+
+def features(text: str, weights: Weights) -> list[float]:
     """The dense features of a whole text, in the order of FEATURES; an empty one gives zeros."""
     low = text.lower()
     tokens = _WORD.findall(low)
     n = len(tokens)
     if not n:
         return [0.0] * len(FEATURES)
-    hits, near = [], 0
-    if not LEXICON.isdisjoint(tokens):
-        hits = [k for k, w in enumerate(tokens) if w in LEXICON]
-        near = sum(not SECOND_PERSON.isdisjoint(tokens[max(0, k - NEAR) : k + NEAR + 1]) for k in hits)
+    hits = [] if LEXICON.isdisjoint(tokens) else [k for k, w in enumerate(tokens) if w in LEXICON]
+    values = [weights[w] for w in tokens]
+    learned = [k for k, v in enumerate(values) if v]
+    both = sorted({*hits, *learned})
+    near = sum(not SECOND_PERSON.isdisjoint(tokens[max(0, k - NEAR) : k + NEAR + 1]) for k in both)
     second = sum(map(SECOND_PERSON.__contains__, tokens))
     mixed, hidden = 0, set()
     for m in _INNER.finditer(low):
         i, j = m.span()
         if 0 < i and j < len(low) and low[i - 1].isalpha() and low[j].isalpha():
             mixed += 1
-            while i and not low[i - 1].isspace() and m.start() - i < 40:
+            while i and not low[i - 1].isspace() and m.start() - i < LONGEST_TERM:
                 i -= 1
-            while j < len(low) and not low[j].isspace() and j - m.end() < 40:
+            while j < len(low) and not low[j].isspace() and j - m.end() < LONGEST_TERM:
                 j += 1
             if not LEXICON.isdisjoint(_WORD.findall(low[i:j].translate(_FOLD))):
                 hidden.add(i)
     marks = _MARKS.findall(text)
-    letters = sum(map(len, tokens))
-    capitals = sum(a != b for a, b in zip(text, low, strict=False)) if len(low) == len(text) else sum(c.isupper() for c in text)
+    capitals = len(_CAPITAL.findall(text))
     return [
         float(np.log1p(n)),
         100.0 * len(hits) / n,
@@ -80,23 +104,58 @@ def features(text: str) -> list[float]:
         float(len({tokens[k] for k in hits})),
         100.0 * len(hidden) / n,
         100.0 * second / n,
-        near / len(hits) if hits else 0.0,
-        capitals / max(1, letters),
+        near / len(both) if both else 0.0,
+        capitals / len(text),
         100.0 * len(_CAPS.findall(text)) / n,
         100.0 * sum(map(len, marks)) / len(text),
         100.0 * sum(len(m) > 1 for m in marks) / n,
         100.0 * mixed / n,
         100.0 * len(_STRETCH.findall(low)) / n,
+        100.0 * len(learned) / n,
+        float(np.log1p(len(learned))),
+        float(len({tokens[k] for k in learned})),
+        100.0 * sum(values) / n,
+        max(values),
     ]
 
 
-def measured(docs: DataFrame) -> DataFrame:
+def learned_terms(rows: DataFrame) -> dict[str, float]:
+    """Log-odds of the words (behind an equals sign) and word beginnings of `rows` (text, label) that are far more
+    frequent, by documents, among those with label 1. At most MAX_TERMS, the most telling ones."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen = {0.0: Counter(), 1.0: Counter()}
+        for batch in batches:
+            for text, label in zip(batch["text"], batch["label"], strict=True):
+                found = {w for w in _WORD.findall((text or "").lower()) if len(w) <= LONGEST_TERM}
+                seen[label].update({w[:k] for w in found for k in BEGINNINGS if k <= len(w)} | {"=" + w for w in found})
+        for label, counts in seen.items():
+            if counts:
+                yield pd.DataFrame({"term": list(counts), "label": label, "n": list(counts.values())})
+
+    sizes = {r.label: r["count"] for r in rows.groupBy("label").count().collect()}
+    toxic, clean = (F.sum(F.when(F.col("label") == k, F.col("n")).otherwise(0)) for k in (1.0, 0.0))
+    counted = rows.mapInPandas(count, "term string, label double, n long").groupBy("term")
+    odds = ((F.col("toxic") + 0.5) / (sizes.get(1.0, 0) + 1)) / ((F.col("clean") + 0.5) / (sizes.get(0.0, 0) + 1))
+    best = (
+        counted.agg(toxic.alias("toxic"), clean.alias("clean"))
+        .withColumn("odds", odds)
+        .where((F.col("toxic") >= LEAST_TOXIC) & (F.col("odds") >= LEAST_ODDS))
+        .orderBy(F.desc("odds"), F.desc("toxic"), "term")
+        .limit(MAX_TERMS)
+    )
+    return {r.term: float(np.log(r.odds)) for r in best.collect()}
+
+
+def measured(docs: DataFrame, terms: dict[str, float]) -> DataFrame:
     """(doc_id, x) with the features of every row of `docs` (doc_id, text); a null text counts as empty."""
     rows = pick(docs, doc_id="doc_id", text="text")
+    shared = docs.sparkSession.sparkContext.broadcast(terms)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        weights = Weights(shared.value)
         for batch in batches:
-            batch["x"] = [features(t or "") for t in batch.pop("text")]
+            batch["x"] = [features(t or "", weights) for t in batch.pop("text")]
             yield batch
 
     return rows.mapInPandas(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, x array<double>")
@@ -106,12 +165,11 @@ def score(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
     """(doc_id, held_out, score, predicted) of every row of `docs` (doc_id, text), learned from `labels` (doc_id, toxic).
 
     Documents whose crc32(doc_id as text) mod 5 is 0 are held out. Of the other labelled ones, about
-    `max_labelled` at most (chosen by a hash of doc_id) teach: those of remainder 4 the calibration, the others the
-    trees. Labels other than 0 and 1 are left out; a document with both counts as toxic. Without both labels
-    in either part, every score is the share of toxic ones (0 without any label). A null text is scored like an empty
+    `max_labelled` at most (chosen by a hash of doc_id) teach: remainders 1 and 2 the lexicon, 3 the trees and 4 the
+    calibration. Labels other than 0 and 1 are left out; a document with both counts as toxic. Unless both labels
+    occur for the trees and for the calibration, every score is the share of toxic ones there (0 without any). A null text is scored like an empty
     one, a null doc_id is not held out and never teaches. Repeated rows are scored alike; an empty table gives an empty one.
     """
-    all_rows = staged(measured(docs), "features")
     remainder = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(FOLDS))
     teaching = (
         pick(labels, doc_id="doc_id", toxic="toxic")
@@ -123,13 +181,14 @@ def score(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
     )
     share = min(1.0, max_labelled / max(1, teaching.count()))
     chosen = teaching.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    sample = staged(
-        all_rows.join(chosen, "doc_id").select(array_to_vector("x").alias("features"), "label", "fold").repartition(8),
-        "labelled",
-    )
-    calibrating = F.col("fold") == CALIBRATION
-    counts = {(r.c, r.label): r.n for r in sample.groupBy(calibrating.alias("c"), "label").agg(F.count("*").alias("n")).collect()}
+    chosen = staged(chosen, "chosen")  # bounded by max_labelled, so it may be broadcast
+    texts = pick(docs, doc_id="doc_id", text="text").join(F.broadcast(chosen.where(F.col("fold") < TREE_FOLD)), "doc_id")
+    all_rows = staged(measured(docs, learned_terms(texts.select("text", "label"))), "features")
     rows = all_rows.select("doc_id", array_to_vector("x").alias("features"))
+    later = chosen.where(F.col("fold") >= TREE_FOLD)
+    sample = staged(rows.join(F.broadcast(later), "doc_id").repartition(8, "doc_id"), "labelled")
+    calibrating = F.col("fold") == CALIBRATION_FOLD
+    counts = {(r.c, r.label): r.n for r in sample.groupBy(calibrating.alias("c"), "label").agg(F.count("*").alias("n")).collect()}
     if len(counts) == 4:
         trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.2, subsamplingRate=0.8, seed=1, cacheNodeIds=False)
         model = trees.fit(sample.where(~calibrating))
