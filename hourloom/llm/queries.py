@@ -6,10 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourloom.llm import langid, lines, mixing, prefix, rules, simhash, sphere, toxicity, transducer
+from hourloom.llm import langid, lines, mixing, prefix, rules, simhash, sphere, toxicity, transducer, urls
 
 QUERIES, ORACLES = {}, {}
 MODEL, TOKEN_LIMIT = "piece_bpe_32k.model", 4096
+URL_RULES = (
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+)
 
 
 def query(run):
@@ -70,3 +77,9 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return urls.judge(pages, URL_RULES, texts=pages.select(F.col("html").alias("text")))
