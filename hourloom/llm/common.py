@@ -13,22 +13,26 @@ SPACE_CLASS = r"[\x20\x09-\x0D]"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+def find(df: DataFrame, name: str, missing: int | None = None) -> int:
+    """The place of the column that `name` means: an exact match, else the first that ignores case."""
+    found = [k for k, n in enumerate(df.columns) if n == name] or [
+        k for k, n in enumerate(df.columns) if n.lower() == name.lower()
+    ]
+    if found:
+        return found[0]
+    if missing is None:
+        raise ValueError(f"no column {name} among {df.columns}")
+    return missing
+
+
 def pick(df: DataFrame, **columns: str) -> DataFrame:
     """Only the wanted columns, as `new_name=source_name`.
 
     Other columns may have any name, also one that differs from a wanted one by case only: an exact
     match wins over one that ignores case. A missing column is a ValueError.
     """
-    names = df.columns
-    plain = df.toDF(*[f"c{k}" for k in range(len(names))])
-    chosen = []
-    for new, name in columns.items():
-        found = [k for k, n in enumerate(names) if n == name] or [
-            k for k, n in enumerate(names) if n.lower() == name.lower()
-        ]
-        if not found:
-            raise ValueError(f"no column {name} among {names}")
-        chosen.append(F.col(f"c{found[0]}").alias(new))
+    plain = df.toDF(*[f"c{k}" for k in range(len(df.columns))])
+    chosen = [F.col(f"c{find(df, name)}").alias(new) for new, name in columns.items()]
     return plain.select(chosen)
 
 
@@ -51,6 +55,11 @@ def stripped(text: Column) -> Column:
     return F.btrim(text, F.lit(SPACES))
 
 
+def text_marks(text: Column) -> tuple[Column, Column]:
+    """128 bits that stand for a text, as two numbers."""
+    return F.xxhash64(text), F.xxhash64(F.lit(1), text)
+
+
 def words(text: Column) -> Column:
     """The runs of characters other than white space; null and blank texts have none."""
     core = stripped(F.coalesce(text, F.lit("")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hourloom.llm.common import ascii_lower, pick, staged, stripped
+from hourloom.llm.common import ascii_lower, find, pick, staged, stripped, text_marks
 
 MIN_KEY_CHARS, MIN_DOCUMENTS = 10, 2
 
@@ -15,8 +15,8 @@ def _split(text: Column) -> Column:
 
 
 def _marks(text: Column) -> Column:
-    """128 bits that stand for a text."""
-    return F.struct(F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2"))
+    h1, h2 = text_marks(text)
+    return F.struct(h1.alias("h1"), h2.alias("h2"))
 
 
 def shared_lines(docs: DataFrame, min_chars: int = MIN_KEY_CHARS, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
@@ -78,9 +78,8 @@ def drop_shared_lines(
     names = [f"c{k}" for k in range(len(docs.columns))]
     places = dropped_places(docs, min_chars, min_documents)
     rows = docs.toDF(*names).select(F.struct(*names).alias("row"))
-    where = {n: names[docs.columns.index(pick_name(docs, n))] for n in ("doc_id", "text")}
-    text = F.col(f"row.{where['text']}")
-    rows = rows.select(F.col(f"row.{where['doc_id']}").alias("doc_id"), _marks(text).alias("t"), "row")
+    text = F.col(f"row.{names[find(docs, 'text')]}")
+    rows = rows.select(F.col(f"row.{names[find(docs, 'doc_id')]}").alias("doc_id"), _marks(text).alias("t"), "row")
     joined = rows.select("doc_id", F.col("t.h1").alias("t1"), F.col("t.h2").alias("t2"), "row").join(
         places, ["doc_id", "t1", "t2"], "left"
     )
@@ -95,8 +94,3 @@ def drop_shared_lines(
         left.alias("kept"),
         "row",
     )
-
-
-def pick_name(df: DataFrame, name: str) -> str:
-    """The column of `df` that `pick` takes for `name`."""
-    return name if name in df.columns else next(n for n in df.columns if n.lower() == name.lower())

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hourloom.llm.common import SPACE_CLASS, bound_to, pick, staged, words
+from hourloom.llm.common import SPACE_CLASS, bound_to, pick, staged, text_marks, words
 
 # Frequent function words of four languages.
 COMMON_WORDS = {
@@ -59,12 +59,15 @@ def _counter(listed: Sequence[str]):
 def measure(docs: DataFrame, common: Mapping[str, Sequence[str]] = COMMON_WORDS) -> DataFrame:
     """Counts of every document: the base counts, characters by class and common words of its language.
 
-    Columns doc_id, lang, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, classes and
+    Columns doc_id, lang, t1 and t2 (they stand for the text), n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, classes and
     common (arrays of long, the last entry counts the rest). A null text counts as an empty one; a
     language without a word list has `common` null. Rows are kept as they are, repeated ones too.
     """
     text = F.coalesce("text", F.lit(""))
-    base = pick(docs, doc_id="doc_id", text="text", lang="lang").select("doc_id", "lang", text.alias("text"))
+    t1, t2 = text_marks(F.col("text"))
+    base = pick(docs, doc_id="doc_id", text="text", lang="lang").select(
+        "doc_id", "lang", t1.alias("t1"), t2.alias("t2"), text.alias("text")
+    )
     lines = F.filter(F.split("text", "\n"), lambda s: F.length(F.btrim(s, F.lit(" \t\x0b\x0c\r"))) > 0)
     every = sorted({w for ws in common.values() for w in ws})
     chars = F.length("text")
@@ -85,6 +88,8 @@ def measure(docs: DataFrame, common: Mapping[str, Sequence[str]] = COMMON_WORDS)
     counted = base.select(
         "doc_id",
         "lang",
+        "t1",
+        "t2",
         bound_to(words(F.col("text")), of_words).alias("w"),
         bound_to(lines, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long")).alias("n_dup_lines"),
         *[(chars - F.length(F.regexp_replace("text", p, ""))).cast("long").alias(c) for c, p in CLASSES.items()],
@@ -95,6 +100,8 @@ def measure(docs: DataFrame, common: Mapping[str, Sequence[str]] = COMMON_WORDS)
     return counted.select(
         "doc_id",
         "lang",
+        "t1",
+        "t2",
         "w.n_words",
         "w.word_chars",
         F.col("symbol").alias("n_symbols"),
@@ -169,6 +176,8 @@ def judge(
     )
     judged = joined.select(
         "doc_id",
+        "t1",
+        "t2",
         "n_words",
         "word_chars",
         "n_symbols",

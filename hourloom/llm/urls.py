@@ -29,10 +29,10 @@ EXAMPLES = (
     (
         ALLOW,
         """news-daily city-news weather-report science-journal open-library public-library state-university school-district
-        history-museum art-museum travel-guide cooking-recipes garden-blog health-center hospital-info research-institute
+        history-museum art-museum travel-guide cooking-recipes garden-tips health-center hospital-info research-institute
         data-docs code-docs software-manual language-dictionary world-atlas music-review book-review film-review
         sports-club football-league government-portal city-council community-forum help-wiki encyclopedia
-        free-software open-source online-learning photo-gallery family-blog radio-station magazine-archive bank-service train-schedule local-market""",
+        free-software open-source online-learning photo-gallery family-history radio-station magazine-archive bank-service train-schedule local-market""",
     ),
 )
 
