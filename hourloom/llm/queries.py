@@ -7,8 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourloom.llm import langid, lines, mixing, prefix, rules, simhash, sphere, toxicity, transducer, urls
+from hourloom.llm.oracles import ORACLES  # noqa: F401
 
-QUERIES, ORACLES = {}, {}
+QUERIES = {}
 MODEL, TOKEN_LIMIT = "piece_bpe_32k.model", 4096
 URL_RULES = (
     ("allow", "com/"),
