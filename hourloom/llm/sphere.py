@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
@@ -33,8 +32,9 @@ class ProductCode:
         self.codes = [rng.standard_normal((size, s.stop - s.start)) for s in self.halves]
         for code in self.codes:
             code *= np.sqrt(0.5) / np.maximum(np.linalg.norm(code, axis=1, keepdims=True), 1e-12)
-        share = min(0.5, filters / size**2)
-        self.height = NormalDist().inv_cdf(1 - share) / np.sqrt(dim)
+        angles = np.linspace(0, np.pi, 200_001)
+        caps = np.cumsum(np.sin(angles) ** (dim - 2)) if dim > 2 else angles.copy()  # share of the sphere by angle
+        self.height = float(np.cos(angles[np.searchsorted(caps / caps[-1], min(0.4, filters / size**2))]))
         self.size = size
 
     def passed(self, unit: np.ndarray) -> list[np.ndarray]:
