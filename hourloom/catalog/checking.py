@@ -73,8 +73,8 @@ def outlier_report_query(spark, sf_dir):
     return outlier_report(i.hourly_users(spark, sf_dir), "d", LOW, HIGH)
 
 
-@query("histogram", with_tables("ds", f"""
-    with v as (select * from ds where d > {i.DAILY_LOW} and d < 100000),
+@query("histogram", with_tables("ds", """
+    with v as (select * from ds where d is not null),
     b as (select series_id, min(d) as low, max(d) as high from v group by 1),
     n as (select series_id, low, high, case when high = low then 1
             else cast(least(floor((d - low) / ((high - low) / 50)) + 1, 50) as integer) end as bin, count(*) as n
@@ -82,8 +82,12 @@ def outlier_report_query(spark, sf_dir):
     select series_id, bin, round(low + (bin - 1) * ((high - low) / 50), 6) as bin_start,
       round(low + bin * ((high - low) / 50), 6) as bin_end, n from n"""))
 def histogram_query(spark, sf_dir):
-    kept = within(i.daily_parts(spark, sf_dir), "d", i.DAILY_LOW, 100_000.0)
-    return rounded(histogram(kept, 50), "bin_start", "bin_end")
+    return rounded(histogram(i.daily_parts(spark, sf_dir), 50), "bin_start", "bin_end")
+
+
+@query("within_range", with_tables("ds", f"select * from ds where d > {i.DAILY_LOW} and d < {i.DAILY_HIGH}"))
+def within_range(spark, sf_dir):
+    return within(i.daily_parts(spark, sf_dir), "d", i.DAILY_LOW, i.DAILY_HIGH)
 
 
 @query("skew_report", with_tables("ds", f"""

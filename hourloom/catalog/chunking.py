@@ -10,7 +10,7 @@ from hourloom.catalog import inputs as i
 from hourloom.catalog.inputs import CALENDAR_SQL, with_tables
 from hourloom.catalog.reading import CHUNK_SQL, HYBRID_SQL, NEW_START, OLD_END
 from hourloom.catalog.registry import query
-from hourloom.catalog.shaping import HIGH, HOLIDAY_SQL, LOW, rounded
+from hourloom.catalog.shaping import HIGH, HOLIDAY_SQL, LAGS_SQL, LOW, rounded
 from hourloom.consts import DAY, HOUR
 from hourloom.operators.chunks import (
     chunk_diff,
@@ -170,20 +170,17 @@ base as (select * from stored where ts >= timestamp '1999-07-01'
   union all select g.series_id, g.ts, m.d from grid g left join (select * from demand where rn = 1) m using (series_id, ts)),
 b as (select series_id, min(ts) as s, max(ts) as e from base group by 1),
 lagged as (select series_id, s - to_days(k * 364) as s, least(s, e - to_days(k * 364)) as e from b, (values (1), (2), (3)) v(k)),
-history as (select * from stored f where exists (select 1 from lagged l where l.series_id = f.series_id and f.ts between l.s and l.e)),
-whole as (select * from history union all select * from base
-  where not exists (select 1 from history h where h.series_id = base.series_id and h.ts = base.ts)),
+history as (select f.* from stored f join lagged l on l.series_id = f.series_id and f.ts between l.s and l.e),
+whole as (select distinct * from (select * from history union all select * from base) u),
 cleaned as ({i.clean_sql("whole", i.DAILY_LOW, i.DAILY_HIGH)})
 """
 
 
 @query("model_input", with_tables("ds_full ds_raw", "with " + MODEL_INPUT_SQL + f"""
-    select s.series_id, s.ts, round(s.d, 8) as d, {CALENDAR_SQL.replace("(ts)", "(s.ts)")},
-      round(l1.d, 8) as lag_1y, round(l2.d, 8) as lag_2y, round(l3.d, 8) as lag_3y, 0 as is_holiday
-    from cleaned s left join cleaned l1 on l1.series_id = s.series_id and l1.ts = s.ts - interval 364 day
-    left join cleaned l2 on l2.series_id = s.series_id and l2.ts = s.ts - interval 728 day
-    left join cleaned l3 on l3.series_id = s.series_id and l3.ts = s.ts - interval 1092 day
-    where s.ts >= timestamp '1999-07-01'"""))
+    , lags as (select *, {LAGS_SQL} from cleaned)
+    select series_id, ts, round(d, 8) as d, {CALENDAR_SQL},
+      round(lag_1y, 8) as lag_1y, round(lag_2y, 8) as lag_2y, round(lag_3y, 8) as lag_3y, 0 as is_holiday
+    from lags where ts >= timestamp '1999-07-01'"""))
 def model_input_query(spark, sf_dir):
     series = i.daily_parts(spark, sf_dir)
     store = i.new_store(i.until(fill_grid(series, DAY), datetime(2000, 6, 30)), DAY)

@@ -208,7 +208,7 @@ def with_tables(names: str, body: str) -> str:
 
     for name in names.split():
         visit(name)
-    ctes = ",\n".join(f"{name} as ({SQL[name]})" for name in order)
+    ctes = ",\n".join(f"{name} as materialized ({SQL[name]})" for name in order)
     extra = body.lstrip()
     if extra.startswith("with "):
         return f"with {ctes},\n{extra[5:]}"

@@ -142,15 +142,17 @@ def _variants_sql() -> str:
 
 
 @query("cv_rank", with_tables("he_full", _variants_sql() + """,
-    t as (select series_id, param_set, avg(score) as mean_score, stddev_pop(score) as std_score from scores group by 1, 2)
+    t as (select series_id, param_set, avg(cast(score as decimal(20,9))) as mean_score, stddev_pop(score) as std_score from scores group by 1, 2)
     select series_id, param_set, round(mean_score, 6) as mean_score, round(std_score, 6) as std_score,
-      cast(rank() over (partition by series_id order by round(mean_score, 9) desc) as integer) as rank from t"""))
+      cast(rank() over (partition by series_id order by mean_score desc) as integer) as rank from t"""))
 def cv_rank(spark, sf_dir):
     frame = staged(add_calendar_features(fill_grid(i.hourly_types(spark, sf_dir))), "cv")
     scores = evaluate.baseline_variant_scores(frame, n_splits=SPLITS, test_size=TEST_HOURS)
     path = work_path(spark, "cv-results")
-    evaluate.cv_results(scores).write.parquet(path)
-    return rounded(spark.read.parquet(path), "mean_score", "std_score")
+    # Decimals have exact means, so that equal scores stay equal in either engine.
+    evaluate.cv_results(scores.withColumn("score", F.col("score").cast("decimal(20,9)"))).write.parquet(path)
+    table = spark.read.parquet(path).withColumn("mean_score", F.col("mean_score").cast("double"))
+    return rounded(table, "mean_score", "std_score")
 
 
 @query("compare_runs", with_tables("runs", """

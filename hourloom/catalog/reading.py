@@ -121,24 +121,30 @@ def normalize_published(spark, sf_dir):
 
 
 @query("holiday_dim", """
-    with dim(holiday_date, name) as (values
-      (date '2024-01-01', 'New Year''s Day'), (date '2024-01-15', 'Martin Luther King Jr. Day'),
-      (date '2024-02-19', 'Presidents'' Day'), (date '2024-05-27', 'Memorial Day'),
-      (date '2024-06-19', 'Juneteenth'), (date '2024-07-04', 'Independence Day'),
-      (date '2024-09-02', 'Labor Day'), (date '2024-10-14', 'Columbus Day'),
-      (date '2024-11-11', 'Veterans Day'), (date '2024-11-28', 'Thanksgiving Day'),
-      (date '2024-12-25', 'Christmas Day'))
+    with days as (select cast(unnest(generate_series(timestamp '2018-01-01', timestamp '2039-12-31', interval 1 day)) as date) as d),
+    fixed(name, m, dom, since) as (values ('New Year''s Day', 1, 1, 2018), ('Juneteenth', 6, 19, 2021),
+      ('Independence Day', 7, 4, 2018), ('Veterans Day', 11, 11, 2018), ('Christmas Day', 12, 25, 2018)),
+    floating(name, m, dow, low, high) as (values ('Martin Luther King Jr. Day', 1, 1, 15, 21),
+      ('Presidents'' Day', 2, 1, 15, 21), ('Memorial Day', 5, 1, 25, 31), ('Labor Day', 9, 1, 1, 7),
+      ('Columbus Day', 10, 1, 8, 14), ('Thanksgiving Day', 11, 4, 22, 28)),
+    dim as (
+      select d as holiday_date, name from days join fixed on month(d) = m and day(d) = dom and year(d) >= since
+      union all select d, name || ' (substitute)' from days join fixed
+        on (isodow(d) = 5 and month(d + 1) = m and day(d + 1) = dom and year(d + 1) >= since)
+        or (isodow(d) = 1 and month(d - 1) = m and day(d - 1) = dom and year(d - 1) >= since)
+      union all select d, name from days join floating on month(d) = m and isodow(d) = dow and day(d) between low and high
+      union all select d, 'Inauguration Day' from days where month(d) = 1 and year(d) % 4 = 1
+        and ((day(d) = 20 and isodow(d) <> 7) or (day(d) = 21 and isodow(d) = 1))
+      union all select d, 'Christmas Eve' from days where month(d) = 12 and day(d) = 24 and year(d) <= 2020)
     select holiday_date, name, count(event_id) as n_events
     from dim left join events on cast(ts as date) = holiday_date group by 1, 2""")
 def holiday_dim(spark, sf_dir):
-    """The dimension for the years of the events, with the number of events on each holiday."""
+    """The whole dimension, with the number of events on each holiday."""
     days = i.table(spark, sf_dir, "events").groupBy(F.to_date("ts").alias("holiday_date")).agg(
         F.count("*").alias("n_events")
     )
-    years = days.select(F.year("holiday_date").alias("y")).distinct()
-    dim = us_holidays(spark)
     return (
-        dim.join(years, F.year("holiday_date") == F.col("y"), "left_semi")
+        us_holidays(spark)
         .join(days, "holiday_date", "left")
         .select("holiday_date", "name", F.coalesce("n_events", F.lit(0)).alias("n_events"))
     )

@@ -49,9 +49,11 @@ from hourloom.schemas import FeatureFlags
 from hourloom.sources.holidays import us_holidays
 
 LOW, HIGH = i.HOURLY_LOW, i.HOURLY_HIGH
-LAGS_SQL = """left join {t} l1 on l1.series_id = s.series_id and l1.ts = s.ts - interval 364 day
-    left join {t} l2 on l2.series_id = s.series_id and l2.ts = s.ts - interval 728 day
-    left join {t} l3 on l3.series_id = s.series_id and l3.ts = s.ts - interval 1092 day"""
+LAGS_SQL = ", ".join(
+    f"max(d) over (partition by series_id order by ts range between interval {364 * k} day preceding"
+    f" and interval {364 * k} day preceding) as lag_{k}y"
+    for k in (1, 2, 3)
+)
 HOLIDAY_SQL = "cast(cast(ts as date) in (date '2024-01-01', date '2024-01-15') as integer) as is_holiday"
 TYPED_SQL = "select respondent as series_id, ts, type, cast(value as double) as value, position from {raw}"
 
@@ -77,9 +79,7 @@ def holiday_flag(spark, sf_dir):
 
 
 @query("feature_projection", with_tables("ds_full", f"""
-    select s.series_id, s.ts, s.d, {CALENDAR_SQL.replace("(ts)", "(s.ts)")},
-      l1.d as lag_1y, l2.d as lag_2y, l3.d as lag_3y, 0 as is_holiday
-    from ds_full s {LAGS_SQL.format(t="ds_full")}"""))
+    select series_id, ts, d, {CALENDAR_SQL}, {LAGS_SQL}, 0 as is_holiday from ds_full"""))
 def feature_projection(spark, sf_dir):
     frame = add_calendar_features(fill_grid(i.daily_parts(spark, sf_dir), DAY))
     frame = add_holiday_flag(add_lag_features(frame), us_holidays(spark))
@@ -139,8 +139,7 @@ def usable_until_query(spark, sf_dir):
 
 
 @query("lag_features", with_tables("ds_full", f"""
-    select s.series_id, s.ts, s.d, l1.d as lag_1y, l2.d as lag_2y, l3.d as lag_3y
-    from ds_full s {LAGS_SQL.format(t="ds_full")}"""))
+    select series_id, ts, d, {LAGS_SQL} from ds_full"""))
 def lag_features(spark, sf_dir):
     return add_lag_features(fill_grid(i.daily_parts(spark, sf_dir), DAY))
 

@@ -35,10 +35,9 @@ def impute_month_hour(df: DataFrame, col: str = "d", fit_on: DataFrame | None =
         F.col("month").alias("_month"),
         F.col("hour").alias("_hour"),
         "mean_d",
-        "n_rows",
     )
     return (
-        lookup(keyed, means, ["series_id", "_month", "_hour"], rows="n_rows")
+        lookup(keyed, means, ["series_id", "_month", "_hour"])
         .withColumn(col, F.coalesce(col, "mean_d"))
         .select(*df.columns)
     )

@@ -33,8 +33,8 @@ def predict_baseline(
     df: DataFrame, model: DataFrame, by: Sequence[str] = ("hour", "month"), strict: bool = False
 ) -> DataFrame:
     """Add ``pred``; with `strict` a row whose group the model has not seen is an error."""
-    table = model.withColumn("_seen", F.lit(True))
-    rows = lookup(df, table, ["series_id", *by], rows="n_rows")
+    table = model.drop("n_rows").withColumn("_seen", F.lit(True))
+    rows = lookup(df, table, ["series_id", *by])
     if strict:
         unseen = F.raise_error(F.lit("the baseline has no value for a calendar group"))
         rows = rows.withColumn("pred", F.when(F.col("_seen"), F.col("pred")).otherwise(unseen))
@@ -99,7 +99,7 @@ def fold_predictions(
     segmented = with_segment(df, n_splits, test_size, step)
     key = ["series_id", *by]
     sums = segmented.groupBy(*key, "segment").agg(
-        F.sum("d").alias("_sum"), F.count("d").alias("_count"), F.count("*").alias("n_rows")
+        F.sum("d").alias("_sum"), F.count("d").alias("_count")
     )
     # One row per fold for every group, at most n_splits + 1 rows per window.
     every = sums.select(*key).distinct().withColumn(
@@ -110,16 +110,11 @@ def fold_predictions(
         every.join(sums, [*key, "segment"], "left")
         .withColumn("_total", F.sum("_sum").over(earlier))
         .withColumn("_seen", F.sum("_count").over(earlier))
-        .select(
-            *key,
-            "segment",
-            (F.col("_total") / F.col("_seen")).alias("pred"),
-            F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
-        )
+        .select(*key, "segment", (F.col("_total") / F.col("_seen")).alias("pred"))
         .filter("segment > 0")
     )
     tests = segmented.filter("segment > 0")
-    return lookup(tests, models, [*key, "segment"], rows="n_rows").withColumnRenamed("segment", "fold")
+    return lookup(tests, models, [*key, "segment"]).withColumnRenamed("segment", "fold")
 
 
 def baseline_cv(
@@ -166,13 +161,12 @@ def baseline_variant_scores(
 def cv_results(scores: DataFrame, key: str = "series_id") -> DataFrame:
     """Mean and population deviation over the folds and the rank of each parameter set.
 
-    Equal means share the lowest rank; means that differ by less than floating-point
-    noise (the tenth decimal) count as equal. The window sees one row per parameter set.
+    Equal means share the lowest rank. The window sees one row per parameter set.
     """
     table = scores.groupBy(key, "param_set").agg(
         F.avg("score").alias("mean_score"), F.stddev_pop("score").alias("std_score")
     )
-    best_first = Window.partitionBy(key).orderBy(F.desc_nulls_last(F.round("mean_score", 9)))
+    best_first = Window.partitionBy(key).orderBy(F.desc_nulls_last("mean_score"))
     return table.withColumn("rank", F.rank().over(best_first))
 
 
@@ -200,9 +194,9 @@ def compare_runs(runs: DataFrame, specs: DataFrame) -> DataFrame:
     key = ["model_name", "model_version"]
     chosen = select_runs(runs, specs)
     newest = chosen.groupBy(*key).agg(
-        F.max_by("feature_flags", "start_time").alias("_code"), F.count("*").alias("n_rows")
+        F.max_by("feature_flags", "start_time").alias("_code")
     )
-    labelled = lookup(chosen, newest, key, rows="n_rows").withColumn(
+    labelled = lookup(chosen, newest, key).withColumn(
         "label", model_label(F.col("model_name"), F.col("model_version"), F.col("_code"))
     )
     return labelled.unpivot(

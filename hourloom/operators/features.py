@@ -67,15 +67,11 @@ def add_lag_features(
 
 
 def add_holiday_flag(df: DataFrame, holidays: DataFrame) -> DataFrame:
-    """1 on rows whose UTC date is a holiday, else 0.
-
-    The dimension is broadcast: it has one row per holiday of the calendar years it
-    was built for (279 for 2018 to 2039), whatever the size of `df`.
-    """
+    """1 on rows whose UTC date is a holiday, else 0."""
     dates = holidays.select(F.col("holiday_date").alias("_date")).distinct()
     return (
         df.withColumn("_ts_date", F.to_date("ts"))
-        .join(F.broadcast(dates), F.col("_ts_date") == F.col("_date"), "left")
+        .join(dates, F.col("_ts_date") == F.col("_date"), "left")
         .withColumn("is_holiday", F.col("_date").isNotNull().cast("int"))
         .drop("_ts_date", "_date")
     )
@@ -84,7 +80,7 @@ def add_holiday_flag(df: DataFrame, holidays: DataFrame) -> DataFrame:
 def holidays_hit(df: DataFrame, holidays: DataFrame) -> DataFrame:
     """Distinct names of the holidays that occur in the data."""
     dates = df.select(F.to_date("ts").alias("holiday_date")).distinct()
-    return dates.join(F.broadcast(holidays), "holiday_date").select("name").distinct()
+    return dates.join(holidays, "holiday_date").select("name").distinct()
 
 
 def add_features(df: DataFrame, holidays: DataFrame) -> DataFrame:

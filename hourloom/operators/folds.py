@@ -16,7 +16,7 @@ from hourloom.operators.series import time_bounds
 
 def with_bounds(df: DataFrame) -> DataFrame:
     """Add the first and last ts of its series to every row."""
-    return lookup(df, time_bounds(df), ["series_id"], rows="n_rows")
+    return lookup(df, time_bounds(df).drop("n_rows"), ["series_id"])
 
 
 def holdout_split(
@@ -69,9 +69,9 @@ def with_segment(
         rows = bounded.withColumn("_past", past).withColumn("_short", too_short)
     else:
         numbered = number_rows(df, "_from_end", from_end=True)
-        sizes = df.groupBy("series_id").agg(F.count("*").alias("_size"), F.count("*").alias("n_rows"))
+        sizes = df.groupBy("series_id").agg(F.count("*").alias("_size"))
         rows = (
-            lookup(numbered, sizes, ["series_id"], rows="n_rows")
+            lookup(numbered, sizes, ["series_id"])
             .withColumn("_past", F.lit(n_splits * test_size + 1) - F.col("_from_end"))
             .withColumn("_short", F.col("_size") <= n_splits * test_size)
         )

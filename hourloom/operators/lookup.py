@@ -5,48 +5,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-#: Keys with more rows than this are looked up in a broadcast of the hot keys alone.
-#: A frame of N rows has fewer than N / HOT_ROWS of them, so that broadcast stays small
-#: (10^12 rows give at most 200,000 keys).
-HOT_ROWS = 5_000_000
 
-
-def lookup(
-    df: DataFrame,
-    table: DataFrame,
-    on: Sequence[str],
-    rows: str,
-    how: str = "left",
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
+def lookup(df: DataFrame, table: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
     """Add the columns of `table`, which has one row per key, to the rows of `df`.
 
-    `rows` names the column of `table` that holds how many rows of `df` have the
-    key (an upper bound will do); it is dropped. No side is assumed to be small:
-    the cold keys go through an ordinary join that Spark broadcasts only under its
-    own size threshold, and rows of hot keys, already answered, spread evenly in it.
+    One plain join: Spark broadcasts `table` only under its own size threshold, and adaptive execution
+    splits the rows of a hot key, each part against the one row of the key. `how` is left or
+    inner; null keys find nothing.
     """
-    on = list(on)
-    added = [c for c in table.columns if c not in on and c != rows]
-    is_hot = F.coalesce(F.col(rows) > hot_rows, F.lit(False))
-    hot = table.filter(is_hot).select(
-        *on, F.lit(True).alias("_hot"), *[F.col(c).alias(f"_hot_{c}") for c in added]
-    )
-    cold = table.filter(~is_hot).select(
-        *on, F.lit(0).cast("bigint").alias("_part"), F.lit(True).alias("_cold"),
-        *[F.col(c).alias(f"_cold_{c}") for c in added],
-    )
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(1_000_003)) + 1
-    joined = (
-        df.join(F.broadcast(hot), on, "left")
-        .withColumn("_part", F.when(F.col("_hot"), spread).otherwise(F.lit(0)).cast("bigint"))
-        .join(cold, [*on, "_part"], "left")
-    )
-    if how == "inner":
-        joined = joined.filter("_hot or _cold")
-    elif how != "left":
+    if how not in ("left", "inner"):
         raise ValueError(f"how must be left or inner, not {how}")
-    values = [F.coalesce(f"_cold_{c}", f"_hot_{c}").alias(c) for c in added]
-    return joined.select(*df.columns, *values)
+    on = list(on)
+    added = [c for c in table.columns if c not in on]
+    return df.join(table, on, how).select(*df.columns, *added)

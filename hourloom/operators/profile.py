@@ -49,44 +49,22 @@ def skew_report(
     )
 
 
-#: Up to this many values of a series are counted in one aggregation buffer.
-BUFFERED_VALUES = 1_000_000
-
-
-def exact_quantiles(
-    df: DataFrame, probs: Sequence[float], col: str = "d", buffered: int = BUFFERED_VALUES
-) -> DataFrame:
+def exact_quantiles(df: DataFrame, probs: Sequence[float], col: str = "d") -> DataFrame:
     """Exact quantiles with linear interpolation, as columns q0, q1, ... per series.
 
-    `percentile` keeps the distinct values of a group in one buffer, which suits
-    series of at most `buffered` values. Longer ones, of which there can be only
-    rows / buffered, are found by refinement without any such buffer.
-    """
-    valued = df.filter(F.col(col).isNotNull()).select("series_id", F.col(col).alias("_v"))
-    sizes = valued.groupBy("series_id").agg(F.count("*").alias("_n"))
-    long = F.broadcast(sizes.filter(F.col("_n") > buffered).select("series_id"))
-    at_once = F.percentile("_v", F.array(*[F.lit(float(p)) for p in probs]))
-    short = (
-        valued.join(long, "series_id", "left_anti")
-        .groupBy("series_id")
-        .agg(at_once.alias("_q"))
-        .select("series_id", *[F.col("_q")[i].alias(f"q{i}") for i in range(len(probs))])
-    )
-    return short.unionByName(_refined_quantiles(valued.join(long, "series_id", "left_semi"), probs))
-
-
-def _refined_quantiles(valued: DataFrame, probs: Sequence[float]) -> DataFrame:
-    """Quantiles of the non-null values ``_v`` by counting in ever finer value slots.
-
-    Powers of two cut in 64, then 4096 equal parts of the slots that hold a wanted
-    rank. Only rows of such slots are shuffled by value, equal values as one row, and
-    only the values of a wanted part are put in order. No series is held by one task.
+    Values are counted in ever finer slots: powers of two cut in 64, then 4096 equal parts of the slots that
+    hold a wanted rank. Only rows of such slots are shuffled by value, equal values as one row, and only the
+    values of a wanted part are put in order. No series is held by one task. Nulls do not count; infinite
+    values do, and NaN is the largest of all.
     """
+    valued = df.filter(F.col(col).isNotNull()).select("series_id", F.col(col).cast("double").alias("_v"))
     magnitude = F.floor(F.log2(F.abs("_v")) * 64)
     offset = 1_000_000  # keeps slots of values below 1 on their side of zero
     slotted = valued.withColumn(
         "_slot",
-        F.when(F.col("_v") > 0, magnitude + offset)
+        F.when(F.isnan("_v"), F.lit(3 * offset))
+        .when(F.abs("_v") == float("inf"), F.signum("_v").cast("int") * 2 * offset)
+        .when(F.col("_v") > 0, magnitude + offset)
         .when(F.col("_v") < 0, -(magnitude + offset))
         .otherwise(F.lit(0)),
     )
@@ -111,18 +89,18 @@ def _refined_quantiles(valued: DataFrame, probs: Sequence[float]) -> DataFrame:
         in_slot = in_slot | ((upper >= F.col("_start")) & (lower < F.col("_start") + F.col("_n")))
         for rank, weight in ((lower, 1 - (at - lower)), (upper, at - lower)):
             ranks.append(F.struct(F.lit(i).alias("i"), rank.alias("rank"), weight.alias("weight")))
-    held = "filter({0}, r -> r.rank >= _start and r.rank < _start + _n)"
+    held = "filter({0}, r -> r.weight > 0 and r.rank >= _start and r.rank < _start + _n)"
     targets = (
         slots.filter(in_slot)
         .withColumn("_ranks", F.array(*ranks))
         .withColumn("_ranks", F.expr(held.format("_ranks")))
         .filter(F.size("_ranks") > 0)
-        .select("series_id", "_slot", "_low", "_high", "_start", "_ranks", F.col("_n").alias("n_rows"))
+        .select("series_id", "_slot", "_low", "_high", "_start", "_ranks")
     )
     spread = (F.col("_v") - F.col("_low")) / (F.col("_high") - F.col("_low"))
     part = F.when(F.col("_high") > F.col("_low"), F.floor(spread * 4096)).otherwise(F.lit(0))
     fine = (
-        lookup(slotted, targets, ["series_id", "_slot"], rows="n_rows", how="inner")
+        lookup(slotted, targets, ["series_id", "_slot"], how="inner")
         .groupBy("series_id", "_slot", part.alias("_part"), "_v")
         .agg(F.count("*").alias("_n"), F.first("_start").alias("_base"), F.first("_ranks").alias("_ranks"))
     )
@@ -201,14 +179,14 @@ def histogram(df: DataFrame, bins: int = HISTOGRAM_BINS, col: str = "d") -> Data
     """Equal-width bins between the minimum and maximum of each series; the last is closed."""
     valued = df.filter(F.col(col).isNotNull())
     bounds = valued.groupBy("series_id").agg(
-        F.min(col).alias("low"), F.max(col).alias("high"), F.count("*").alias("n_rows")
+        F.min(col).alias("low"), F.max(col).alias("high")
     )
     width = (F.col("high") - F.col("low")) / bins
     bin_no = F.when(F.col("high") == F.col("low"), F.lit(1)).otherwise(
         F.least(F.floor((F.col(col) - F.col("low")) / width) + 1, F.lit(bins))
     )
     return (
-        lookup(valued.select("series_id", "ts", col), bounds, ["series_id"], rows="n_rows")
+        lookup(valued.select("series_id", "ts", col), bounds, ["series_id"])
         .groupBy("series_id", "low", "high", bin_no.cast("int").alias("bin"))
         .agg(F.count("*").alias("n"))
         .select(
@@ -256,9 +234,7 @@ def hour_profile(df: DataFrame, col: str = "d") -> DataFrame:
 def list_duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Every row whose key occurs more than once."""
     repeated = df.groupBy(*keys).agg(F.count("*").alias("n_copies")).filter("n_copies > 1")
-    return lookup(
-        df, repeated.withColumn("n_rows", F.col("n_copies")), keys, rows="n_rows", how="inner"
-    )
+    return lookup(df, repeated, keys, how="inner")
 
 
 def distinct_values(df: DataFrame, col: str) -> DataFrame:

@@ -144,9 +144,8 @@ def model_input(
     whole = staged(with_backfill(spark, base, store, step, bounds), "model-history")
     featured = add_features(clean(whole, low, high), holidays)
     starts = requests.select("series_id", F.col("start_ts").alias("_from"))
-    sizes = bounds.select("series_id", "n_rows")
     frame = (
-        lookup(featured, starts.join(sizes, "series_id"), ["series_id"], rows="n_rows", how="inner")
+        lookup(featured, starts, ["series_id"], how="inner")
         .filter(F.col("ts") >= F.col("_from"))
         .drop("_from")
     )

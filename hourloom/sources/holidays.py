@@ -69,8 +69,8 @@ def us_holidays(spark: SparkSession, first: int = FIRST_YEAR, last: int = LAST_Y
 
 
 def holidays_between(spark: SparkSession, first: int, last: int) -> DataFrame:
-    """The dimension cut to the years it is known for."""
-    return us_holidays(spark, max(first, FIRST_YEAR), min(last, LAST_YEAR))
+    """The dimension of the given years from 2018 on; the calendar rules go on after 2039."""
+    return us_holidays(spark, max(first, FIRST_YEAR), last)
 
 
 def load_holidays(spark: SparkSession, path: str) -> DataFrame:

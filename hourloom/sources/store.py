@@ -170,7 +170,6 @@ def fetch_raw(raw: DataFrame, ranges: DataFrame, step: timedelta = HOUR) -> Data
         "series_id",
         F.col("start_ts").alias("_start"),
         F.col("end_ts").alias("_end"),
-        (steps_between("start_ts", "end_ts", step) + 1).alias("n_rows"),
     )
     span = ranges.agg(
         F.min(quantize_start("start_ts")).alias("low"), F.max(quantize_end("end_ts")).alias("high")
@@ -178,7 +177,7 @@ def fetch_raw(raw: DataFrame, ranges: DataFrame, step: timedelta = HOUR) -> Data
     typed = typed_raw(raw)
     asked = typed.filter(F.lit(False)) if span.low is None else time_range(typed, span.low, span.high)
     return (
-        lookup(asked, wanted, ["series_id"], rows="n_rows", how="inner")
+        lookup(asked, wanted, ["series_id"], how="inner")
         .filter(F.col("ts").between(F.col("_start"), F.col("_end")))
         .drop("_start", "_end")
     )
@@ -246,12 +245,11 @@ def read_ranges(
     travel as one array per series.
     """
     per_series = ranges.groupBy("series_id").agg(
-        F.collect_list(F.struct("start_ts", "end_ts")).alias("_ranges"),
-        F.sum(steps_between("start_ts", "end_ts", step) + 1).alias("n_rows"),
+        F.collect_list(F.struct("start_ts", "end_ts")).alias("_ranges")
     )
     rows = read_range(spark, store, low, high)
     return (
-        lookup(rows, per_series, ["series_id"], rows="n_rows", how="inner")
+        lookup(rows, per_series, ["series_id"], how="inner")
         .filter(F.exists("_ranges", lambda r: F.col("ts").between(r["start_ts"], r["end_ts"])))
         .drop("_ranges")
     )

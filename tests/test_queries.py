@@ -9,10 +9,9 @@ import pytest
 
 import __spark_entry__ as driver
 from check import rows_of
+from hourloom.catalog import ORACLES, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
-ORACLES = driver.oracle_sql()
-QUERIES = driver.queries()
 # Models have no SQL equivalent; their rows are checked in test_boosting.
 ROWS_ONLY = {
     "feature_importances",
@@ -34,6 +33,10 @@ def duck():
     return connection
 
 
+def test_the_driver_sees_every_query():
+    assert set(QUERIES) <= set(driver.queries()) and set(ORACLES) <= set(driver.oracle_sql())
+
+
 def test_only_models_lack_sql():
     assert set(QUERIES) - set(ORACLES) == ROWS_ONLY
     assert set(ORACLES) <= set(QUERIES)
@@ -51,6 +54,20 @@ def test_query_matches_its_sql(spark, duck, name):
     assert rows_of(df.columns, got) == rows_of(columns, want)
 
 
+#: How often a plan may scan a given table.
+SCANS = {"baseline_cv": 4, "impute_month_hour": 4, "demand_features": 4, "regression_metrics": 6, "histogram": 2, "trailing_window": 2}
+
+
+@pytest.mark.parametrize("name", sorted(SCANS))
+def test_lookups_do_not_repeat_their_input(spark, name):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("FileScan parquet") <= SCANS[name]
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_plan_scales(spark, name):
     """No pairing of all rows, no Python in the plan, no gathering of rows into one task."""
