@@ -163,7 +163,7 @@ stored as (select * from ds_full where ts <= timestamp '2000-06-30'),
 last as (select series_id, max(ts) as last_ts from stored group by 1),
 raw as (select r.respondent as series_id, r.ts, r.type, r.value, r.position from ds_raw r join last on respondent = series_id
   where r.ts between last_ts + interval 1 day and timestamp '2000-12-31'),
-grid as (select series_id, unnest(generate_series(min(ts), max(ts), interval 1 day)) as ts from raw group by 1),
+grid as (select series_id, unnest(generate_series(min(ts), max(ts), interval 1 day)) as ts from raw where type = 'D' group by 1),
 demand as (select series_id, ts, cast(value as double) as d,
   row_number() over (partition by series_id, ts order by position) as rn from raw where type = 'D'),
 base as (select * from stored where ts >= timestamp '1999-07-01'
@@ -201,7 +201,7 @@ def model_input_query(spark, sf_dir):
 
 @query("refresh_pipeline", with_tables("he_full he_raw", "with " + HYBRID_SQL + """
     , closed as (select series_id, unnest(generate_series(last_ts + interval 1 hour, m, interval 1 hour)) as ts
-      from last join (select series_id, max(ts) as m from missing group by 1) x using (series_id))
+      from last join (select series_id, max(ts) as m from missing where type = 'D' group by 1) x using (series_id))
     select series_id, ts, d from stored
     union all select c.series_id, c.ts, f.d from closed c left join fetched f using (series_id, ts)"""))
 def refresh_pipeline(spark, sf_dir):

@@ -172,7 +172,7 @@ last as (select series_id, max(ts) as last_ts from stored group by 1),
 missing as (select r.respondent as series_id, r.ts, r.type, r.value, r.position
     from he_raw r join last on respondent = series_id
     where r.ts between last_ts + interval 1 hour and timestamp '2024-01-28 12:00:00'),
-grid as (select series_id, unnest(generate_series(min(ts), max(ts), interval 1 hour)) as ts from missing group by 1),
+grid as (select series_id, unnest(generate_series(min(ts), max(ts), interval 1 hour)) as ts from missing where type = 'D' group by 1),
 demand as (select series_id, ts, cast(value as double) as d,
     row_number() over (partition by series_id, ts order by position) as rn from missing where type = 'D'),
 fetched as (select g.series_id, g.ts, m.d from grid g

@@ -63,7 +63,8 @@ def index_bounds(index: DataFrame) -> DataFrame:
 
 
 def update_chunk_index(old: DataFrame, new_bounds: DataFrame, step: timedelta = HOUR) -> DataFrame:
-    """Index over the old start to the new end of each series; a gap is an error.
+    """Index over the old start to the new end of each series; a gap is an error, and so is new data from
+    before the stored start, which the index could not name.
 
     Series known to only one side keep that side's range, and data ending before the
     stored end leaves the stored range as it is.
@@ -73,9 +74,11 @@ def update_chunk_index(old: DataFrame, new_bounds: DataFrame, step: timedelta =
         "series_id", F.col("start_ts").alias("new_start"), F.col("end_ts").alias("new_end")
     )
     gap = F.col("new_start") > F.col("end_ts") + F.lit(step)
+    early = F.col("new_start") < F.col("start_ts")
     merged = stored.join(fresh, "series_id", "full").select(
         "series_id",
         F.when(gap, F.raise_error(F.concat(F.lit("data gap after the stored range of "), "series_id")))
+        .when(early, F.raise_error(F.concat(F.lit("data from before the stored range of "), "series_id")))
         .otherwise(F.coalesce("start_ts", "new_start"))
         .alias("start_ts"),
         F.greatest("end_ts", "new_end").alias("end_ts"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from hourloom.consts import LAG_DAYS
 from hourloom.functions.time import epoch_seconds
-from hourloom.operators.numbering import month_bucket
+from hourloom.operators.numbering import with_bucket
 
 
 def merge_intervals(df: DataFrame, bucket: Column | None = None) -> DataFrame:
@@ -20,21 +20,17 @@ def merge_intervals(df: DataFrame, bucket: Column | None = None) -> DataFrame:
     running maximum is taken inside (series, bucket) groups, where it starts from how
     far the earlier buckets reach, and gives partial islands. Only the first and the
     last island of a bucket can go on across a border, so only those meet in one group
-    per series. `bucket` must not decrease with start_ts; it defaults to the month.
+    per series. `bucket` must not decrease with start_ts; see `with_bucket` for the default.
     """
-    bucket = month_bucket("start_ts") if bucket is None else bucket
-    starts = (
-        df.groupBy("series_id", "start_ts")
-        .agg(F.max("end_ts").alias("end_ts"))
-        .withColumn("_bucket", bucket)
-    )
+    longest = df.groupBy("series_id", "start_ts").agg(F.max("end_ts").alias("end_ts"))
+    starts = with_bucket(longest, "start_ts", bucket)
     earlier = (
         Window.partitionBy("series_id")
         .orderBy("_bucket")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     carry = (
-        df.groupBy("series_id", bucket.alias("_bucket"))
+        starts.groupBy("series_id", "_bucket")
         .agg(F.max("end_ts").alias("_end"))
         .select("series_id", "_bucket", F.max("_end").over(earlier).alias("_carry"))
     )
@@ -76,16 +72,21 @@ def check_intervals(df: DataFrame) -> DataFrame:
 
 
 def intersect_intervals(
-    a: DataFrame, b: DataFrame, width: timedelta = timedelta(days=28)
+    a: DataFrame, b: DataFrame, width: timedelta | None = None
 ) -> DataFrame:
     """Non-empty intersections of the intervals of two sets, series by series.
 
     Touching ends intersect; equal intervals of one set count once. Intervals are
     cut into slots of `width` and the pieces are equi-joined on (series_id, slot), so
     an interval meets only what lies near it; a pair is kept in the slot in which its
-    intersection starts. A `width` near the usual interval length is best.
+    intersection starts. `width` is the mean length of all intervals unless given.
     """
-    seconds = int(width.total_seconds())
+    if width is None:
+        length = epoch_seconds("end_ts") - epoch_seconds("start_ts")
+        both = a.select(length.alias("_n")).unionByName(b.select(length.alias("_n")))
+        seconds = max(1, int(both.agg(F.avg("_n")).first()[0] or 1))
+    else:
+        seconds = int(width.total_seconds())
 
     def slot(ts: Column | str) -> Column:
         return F.floor(epoch_seconds(ts) / seconds)

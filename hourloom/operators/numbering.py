@@ -13,14 +13,27 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourloom.functions.time import epoch_seconds, steps_between
+from hourloom.operators.lookup import lookup
 
 #: Steps of a grid that are ordered in one group.
 BUCKET_STEPS = 4096
 
 
-def month_bucket(ts: Column | str) -> Column:
-    ts = F.col(ts) if isinstance(ts, str) else ts
-    return F.year(ts) * 12 + F.month(ts)
+def with_bucket(df: DataFrame, ts: str, bucket: Column | None = None) -> DataFrame:
+    """Add ``_bucket``: `bucket`, or else stretches of a series' time that hold BUCKET_STEPS rows on average.
+
+    The stretch follows from the row count and the first and last `ts` of the series, so a month of second
+    rows is cut as finely as years of daily ones.
+    """
+    if bucket is not None:
+        return df.withColumn("_bucket", bucket)
+    seconds = epoch_seconds(ts)
+    spans = df.groupBy("series_id").agg(
+        F.min(seconds).alias("_first"),
+        F.greatest(F.lit(1.0), (F.max(seconds) - F.min(seconds)) / F.count("*") * BUCKET_STEPS).alias("_width"),
+    )
+    cut = F.floor((seconds - F.col("_first")) / F.col("_width"))
+    return lookup(df, spans, ["series_id"]).withColumn("_bucket", cut).drop("_first", "_width")
 
 
 def number_rows(
@@ -32,10 +45,10 @@ def number_rows(
 ) -> DataFrame:
     """1-based position of each row within its series by `order_by` (unique per series).
 
-    `bucket` must not decrease with `order_by`; it defaults to the month of a timestamp.
+    `bucket` must not decrease with `order_by`, which may be anything then; see `with_bucket` for the default.
     """
     order = F.desc if from_end else F.asc
-    bucketed = df.withColumn("_bucket", month_bucket(order_by) if bucket is None else bucket)
+    bucketed = with_bucket(df, order_by, bucket)
     before = (
         Window.partitionBy("series_id")
         .orderBy(order("_bucket"))

@@ -161,10 +161,11 @@ def upsert_chunks(
 
 
 def fetch_raw(raw: DataFrame, ranges: DataFrame, step: timedelta = HOUR) -> DataFrame:
-    """Typed raw records inside each series' (start_ts, end_ts), both ends included.
+    """Typed raw demand records inside each series' (start_ts, end_ts), both ends included.
 
-    The source is asked for whole days around all ranges, as one filter that can
-    reach the scan, and the answer is trimmed back to each series' own range.
+    The source is asked for facet D and whole days around all ranges, as filters on the raw text that reach
+    the scan (ISO times sort as text; a day more on both sides leaves room for offsets), and
+    the answer is trimmed back to each series' own range.
     """
     wanted = ranges.select(
         "series_id",
@@ -174,8 +175,14 @@ def fetch_raw(raw: DataFrame, ranges: DataFrame, step: timedelta = HOUR) -> Data
     span = ranges.agg(
         F.min(quantize_start("start_ts")).alias("low"), F.max(quantize_end("end_ts")).alias("high")
     ).first()
-    typed = typed_raw(raw)
-    asked = typed.filter(F.lit(False)) if span.low is None else time_range(typed, span.low, span.high)
+    if span.low is None:
+        asked = typed_raw(raw).filter(F.lit(False))
+    else:
+        first, after = span.low.date() - timedelta(days=1), span.high.date() + timedelta(days=2)
+        text = raw.filter(
+            (F.col("type") == "D") & (F.col("period") >= first.isoformat()) & (F.col("period") < after.isoformat())
+        )
+        asked = time_range(typed_raw(text), span.low, span.high)
     return (
         lookup(asked, wanted, ["series_id"], how="inner")
         .filter(F.col("ts").between(F.col("_start"), F.col("_end")))
@@ -191,14 +198,16 @@ def fetch_range(
     step: timedelta = HOUR,
     use_store: bool = True,
     close_gap: bool = False,
+    allow_missing: bool = False,
 ) -> DataFrame:
     """Rows of the requested (series_id, start_ts, end_ts) from the store and the raw source.
 
     One request per series. The stored part comes from the chunks, the rest from `raw` (transformed first);
-    with ``use_store=False`` everything comes from `raw`. Stored rows win. Raises
-    DataUnavailable when raw rows are needed and there is none.
+    with ``use_store=False`` everything comes from `raw`. Stored rows win. Raises DataUnavailable when raw
+    rows of a series are needed and there is none; with `allow_missing` such a series has its stored rows
+    only. No request gives no row.
 
-    The raw part spans what the source returned, so a hole before its first record stays
+    The raw part spans the demand records that the source returned, so a hole before its first record stays
     out of sight; with `close_gap` its grid starts where the missing range starts.
     """
     if use_store:
@@ -217,11 +226,14 @@ def fetch_range(
         span = hits.agg(F.min("start_ts").alias("low"), F.max("end_ts").alias("high")).first()
         if span.low is not None:
             parts.append(read_ranges(spark, store, hits, step, span.low, span.high))
-    if use_store and misses.isEmpty():
-        return parts[0]
+    if misses.isEmpty():
+        return parts[0] if parts else spark.createDataFrame([], SERIES)
     fetched = staged(fetch_raw(raw, misses, step), "fetched")
-    if fetched.isEmpty():
-        raise DataUnavailable("the raw source has no rows in the missing range")
+    if not allow_missing:
+        without = misses.join(fetched.select("series_id").distinct(), "series_id", "left_anti").select("series_id")
+        some = [row.series_id for row in without.limit(5).collect()]
+        if some:
+            raise DataUnavailable(f"the raw source has no rows in the missing range of {', '.join(map(str, some))}")
     bounds = time_bounds(fetched)
     if close_gap:
         wanted = misses.select("series_id", F.col("start_ts").alias("_from"))

@@ -114,6 +114,46 @@ def test_fetch_combines_store_and_raw(spark, stored):
         st.fetch_range(spark, stored, raw, request(spark, "2017-06-01", "2017-07-01"), DAY, use_store=False)
 
 
+def test_a_series_without_raw_rows_is_an_error_unless_allowed(spark, stored):
+    raw = raw_rows(spark, days("2016-10-01", 150, 7))
+    both = request(spark, "2016-12-10", "2017-01-05").unionByName(request(spark, "2016-12-10", "2017-01-05", "b"))
+    with pytest.raises(st.DataUnavailable, match="b"):
+        st.fetch_range(spark, stored, raw, both, DAY)
+    got = st.fetch_range(spark, stored, raw, both, DAY, allow_missing=True)
+    assert {r[0] for r in collected(got, "series_id")} == {"a"} and got.count() == 27
+
+
+def test_no_request_gives_no_row(spark, stored):
+    none = request(spark, "2016-12-10", "2017-01-05").filter("false")
+    assert st.fetch_range(spark, stored, raw_rows(spark, []), none, DAY).count() == 0
+
+
+def test_forecasts_do_not_stretch_the_demand(spark, stored):
+    ahead = raw_rows(spark, days("2016-12-21", 15, 9)).withColumn("type", F.lit("DF"))
+    raw = raw_rows(spark, days("2016-12-21", 5, 7)).unionByName(ahead)
+    wanted = request(spark, "2016-12-10", "2017-01-05")
+    pl.refresh(spark, raw, stored, wanted, DAY)
+    assert max(contents(spark, stored)) == at("2016-12-25")
+    pl.refresh(spark, raw_rows(spark, days("2016-12-21", 20, 7)), stored, wanted, DAY)
+    got = contents(spark, stored)
+    assert max(got) == at("2017-01-05") and None not in got.values()
+
+
+def test_raw_filters_reach_the_scan(spark, stored, tmp_path):
+    raw_rows(spark, days("2016-10-01", 150, 7)).write.parquet(str(tmp_path / "raw"))
+    raw = spark.read.parquet(str(tmp_path / "raw"))
+    plan = st.fetch_raw(raw, request(spark, "2016-12-10", "2017-01-05"), DAY)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(period,2016-12-09)" in plan and "EqualTo(type,D)" in plan
+
+
+def test_data_from_before_the_stored_start_is_refused(spark, stored, series):
+    early = series(days("2015-01-01", 3, 5))
+    before = contents(spark, stored)
+    with pytest.raises(Exception, match="before the stored range"):
+        st.upsert_chunks(early, stored, DAY)
+    assert contents(spark, stored) == before
+
+
 def test_refresh_is_idempotent(spark, stored):
     raw = raw_rows(spark, days("2016-10-01", 150, 7))
     pl.refresh(spark, raw, stored, request(spark, "2016-12-10", "2017-01-05"), DAY)
