@@ -307,10 +307,7 @@ def train_pipeline(spark, sf_dir):
     """Train on the stored hours; the result is the cross-validation table."""
     series = i.hourly_types(spark, sf_dir)
     store = i.new_store(fill_grid(series), HOUR)
-    bounds = pipelines.stored_bounds(spark, store).agg(
-        F.max("start_ts").alias("start_ts"), F.min("end_ts").alias("end_ts")
-    ).first()
-    windows = pipelines.requests_for(series, bounds.start_ts, bounds.end_ts)
+    windows = pipelines.stored_bounds(spark, store).select("series_id", "start_ts", "end_ts")
     _, results, _ = pipelines.train(
         spark, store, i.raw_records(series), windows, **_train_options(spark)
     )
