@@ -1,16 +1,16 @@
 """The chunk store: quarter-partitioned Parquet rows and a versioned chunk index.
 
-``<store>/data/year=Y/quarter=Q/`` holds (series_id, ts, d) rows and
-``<store>/index/version=N/`` one full chunk index per update. Rows are written
-before the index, so a writer that dies in between leaves the old index, and
-running the same update again gives the same store.
+``<store>/data/version=N/year=Y/quarter=Q/`` holds (series_id, ts, d) rows and
+``<store>/index/version=N/`` one full chunk index per update, which names the data version of every quarter.
+An update writes the quarters that it changes under a new version and its index last. Readers follow the newest
+finished index, so a writer that dies before that leaves the store as it was, and of two writers
+that start from the same version one fails. Versions that no reader needs any more can be deleted.
 """
 
 from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,16 +37,6 @@ class DataUnavailable(RuntimeError):
     """The raw source has nothing for a range that was asked of it."""
 
 
-def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Parquet rows, or none when nothing has been written there yet."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-
-
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write `df` once to the shared work folder and read it back.
 
@@ -59,9 +49,49 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_PLACED_INDEX = T.StructType(CHUNK_INDEX.fields + [T.StructField("data_version", T.LongType())])
+
+
+def _index_versions(spark: SparkSession, store: str) -> tuple[int, int]:
+    """(newest finished, newest started) version of the chunk index by the names of its folders; 0 if there is none."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(f"{store}/index")
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    finished = started = 0
+    for entry in fs.listStatus(root) if fs.exists(root) else ():
+        name = entry.getPath().getName()
+        if name.startswith("version="):
+            number = int(name.removeprefix("version="))
+            started = max(started, number)
+            if fs.exists(hadoop.Path(entry.getPath(), "_SUCCESS")):
+                finished = max(finished, number)
+    return finished, started
+
+
+def _placed_index(spark: SparkSession, store: str) -> DataFrame:
+    newest, _ = _index_versions(spark, store)
+    if not newest:
+        return spark.createDataFrame([], _PLACED_INDEX)
+    return spark.read.schema(_PLACED_INDEX).parquet(f"{store}/index/version={newest}")
+
+
+def _places(spark: SparkSession, store: str) -> dict[tuple[int, int], int]:
+    """The data version of each (year, quarter): one entry per quarter of the calendar, not per series."""
+    rows = _placed_index(spark, store).where("data_version is not null")
+    return {(r.year, r.quarter): r.data_version for r in rows.select("year", "quarter", "data_version").distinct().collect()}
+
+
 def read_chunks(spark: SparkSession, store: str) -> DataFrame:
     """All stored rows, with their partition columns."""
-    return _read(spark, f"{store}/data", STORED_SERIES)
+    places = _places(spark, store)
+    if not places:
+        return spark.createDataFrame([], STORED_SERIES)
+    folders = [f"{store}/data/version={v}" for v in sorted(set(places.values()))]
+    schema = T.StructType(STORED_SERIES.fields + [T.StructField("version", T.LongType())])
+    place = F.col("version") * 100_000 + F.col("year") * 10 + F.col("quarter")
+    current = place.isin([v * 100_000 + year * 10 + quarter for (year, quarter), v in sorted(places.items())])
+    rows = spark.read.schema(schema).option("basePath", f"{store}/data").parquet(*folders)
+    return rows.filter(current).select(*[f.name for f in STORED_SERIES])
 
 
 def _quarter_no(ts: datetime) -> int:
@@ -75,8 +105,8 @@ def read_range(spark: SparkSession, store: str, start: datetime, end: datetime)
     return time_range(rows, start, end).select(*[f.name for f in SERIES])
 
 
-def write_chunks(df: DataFrame, store: str) -> None:
-    """Write rows into their quarters, replacing exactly the quarters that occur in `df`.
+def write_chunks(df: DataFrame, store: str, version: int) -> None:
+    """Write rows into their quarters under a data version.
 
     The rebalance hint lets Spark cut a big quarter into many files and join small
     ones, whatever the skew.
@@ -86,42 +116,39 @@ def write_chunks(df: DataFrame, store: str) -> None:
         .hint("rebalance", "year", "quarter")
         .sortWithinPartitions("year", "quarter", "series_id", "ts")
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("year", "quarter")
-        .parquet(f"{store}/data")
+        .parquet(f"{store}/data/version={version}")
     )
 
 
 def read_chunk_index(spark: SparkSession, store: str) -> DataFrame:
     """The newest chunk index, checked against its schema."""
-    versions = _read(
-        spark, f"{store}/index", T.StructType(CHUNK_INDEX.fields + [T.StructField("version", T.LongType())])
-    )
-    newest = versions.agg(F.max("version")).first()[0]
-    return assert_schema(versions.filter(F.col("version") == F.lit(newest)).drop("version"), CHUNK_INDEX)
+    return assert_schema(_placed_index(spark, store).drop("data_version"), CHUNK_INDEX)
 
 
-def write_chunk_index(index: DataFrame, store: str) -> None:
-    """Add a new version of the chunk index."""
+def write_chunk_index(index: DataFrame, store: str, version: int, places: dict[tuple[int, int], int]) -> None:
+    """Add a version of the chunk index, which must not exist yet, with the data version of each quarter."""
     spark = index.sparkSession
-    versions = _read(
-        spark, f"{store}/index", T.StructType(CHUNK_INDEX.fields + [T.StructField("version", T.LongType())])
-    )
-    newest = versions.agg(F.max("version")).first()[0] or 0
+    rows = [(year, quarter, v) for (year, quarter), v in places.items()]
+    placed = spark.createDataFrame(rows, "year int, quarter int, data_version long")
     (
         assert_schema(index, CHUNK_INDEX)
-        .withColumn("version", F.lit(newest + 1))
-        .write.mode("append")
-        .partitionBy("version")
-        .parquet(f"{store}/index")
+        .join(placed, ["year", "quarter"], "left")
+        .select(*[f.name for f in _PLACED_INDEX])
+        .write.mode("error")
+        .parquet(f"{store}/index/version={version}")
     )
 
 
 def write_store(df: DataFrame, store: str, step: timedelta = HOUR) -> None:
     """Start a store from rows that are on the full grid."""
-    write_chunks(df, store)
-    rows = read_chunks(df.sparkSession, store)
-    write_chunk_index(chunk_index(time_bounds(rows), step), store)
+    spark = df.sparkSession
+    version = _index_versions(spark, store)[1] + 1
+    write_chunks(df, store, version)
+    rows = spark.read.schema(STORED_SERIES).parquet(f"{store}/data/version={version}")
+    index = staged(chunk_index(time_bounds(rows), step), "chunk-index")
+    quarters = index.select("year", "quarter").distinct().collect()
+    write_chunk_index(index, store, version, {(r.year, r.quarter): version for r in quarters})
 
 
 def upsert_chunks(
@@ -148,6 +175,7 @@ def upsert_chunks(
     # Fails here, before anything is written, if the new rows leave a gap.
     updated = staged(update_chunk_index(old, bounds, step), "chunk-index")
 
+    version, places = _index_versions(spark, store)[1] + 1, _places(spark, store)
     # One row per quarter of the calendar, not per series.
     quarters = diff.select((F.col("year") * 10 + F.col("quarter")).alias("q")).distinct().collect()
     if quarters:
@@ -155,8 +183,9 @@ def upsert_chunks(
         stored = read_chunks(spark, store).filter((F.col("year") * 10 + F.col("quarter")).isin(affected))
         fresh = rows.filter((F.year("ts") * 10 + F.quarter("ts")).isin(affected))
         merged = concat_series([stored.select(*fresh.columns), fresh], fill_stored_nulls)
-        write_chunks(merged, store)
-    write_chunk_index(updated, store)
+        write_chunks(merged, store, version)
+        places |= {(q // 10, q % 10): version for q in affected}
+    write_chunk_index(updated, store, version, places)
     return diff
 
 

@@ -154,6 +154,30 @@ def test_data_from_before_the_stored_start_is_refused(spark, stored, series):
     assert contents(spark, stored) == before
 
 
+def test_a_writer_that_dies_leaves_the_old_store(spark, stored, series, monkeypatch):
+    before, index = contents(spark, stored), collected(st.read_chunk_index(spark, stored))
+    more = series(days("2016-12-01", 60, 9))
+
+    def dies(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(st, "write_chunk_index", dies)
+        with pytest.raises(RuntimeError, match="lost"):
+            st.upsert_chunks(more, stored, DAY)
+    assert contents(spark, stored) == before and collected(st.read_chunk_index(spark, stored)) == index
+    st.upsert_chunks(more, stored, DAY)
+    got = contents(spark, stored)
+    assert max(got) == at("2017-01-29") and {t: got[t] for t in before} == before
+
+
+def test_of_two_writers_one_fails(spark, stored):
+    index = st.read_chunk_index(spark, stored)
+    st.write_chunk_index(index, stored, 7, {})
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        st.write_chunk_index(index, stored, 7, {})
+
+
 def test_refresh_is_idempotent(spark, stored):
     raw = raw_rows(spark, days("2016-10-01", 150, 7))
     pl.refresh(spark, raw, stored, request(spark, "2016-12-10", "2017-01-05"), DAY)
