@@ -121,7 +121,8 @@ def folds_sql(groups: str) -> str:
     select series_id, fold, round(rmse, 6) as rmse, round(avg(rmse) over (partition by series_id), 6) as mean_rmse
     from scores"""))
 def baseline_cv(spark, sf_dir):
-    frame = add_calendar_features(fill_grid(i.hourly_types(spark, sf_dir)))
+    # Folds and their bounds read the frame four times, so it is written once.
+    frame = staged(add_calendar_features(fill_grid(i.hourly_types(spark, sf_dir))), "cv")
     scores = evaluate.baseline_cv(frame, ("hour", "month"), SPLITS, TEST_HOURS)
     return rounded(evaluate.fold_rmse(scores), "rmse", "mean_rmse")
 

@@ -98,20 +98,15 @@ def fold_predictions(
     """
     segmented = with_segment(df, n_splits, test_size, step)
     key = ["series_id", *by]
-    sums = segmented.groupBy(*key, "segment").agg(
-        F.sum("d").alias("_sum"), F.count("d").alias("_count")
-    )
-    # One row per fold for every group, at most n_splits + 1 rows per window.
-    every = sums.select(*key).distinct().withColumn(
-        "segment", F.explode(F.sequence(F.lit(0), F.lit(n_splits)))
-    )
-    earlier = Window.partitionBy(*key).orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
-    models = (
-        every.join(sums, [*key, "segment"], "left")
-        .withColumn("_total", F.sum("_sum").over(earlier))
-        .withColumn("_seen", F.sum("_count").over(earlier))
-        .select(*key, "segment", (F.col("_total") / F.col("_seen")).alias("pred"))
-        .filter("segment > 0")
+    sums = segmented.groupBy(*key, "segment").agg(F.sum("d").alias("sum"), F.count("d").alias("n"))
+    # At most n_splits + 1 segments for every group, so the running totals fit into one row.
+    packed = sums.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("segment", "sum", "n"))).alias("_s"))
+    folds = packed.select(*key, "_s", F.explode(F.sequence(F.lit(1), F.lit(n_splits))).alias("segment"))
+    total = "aggregate(filter(_s, x -> x.segment < segment and x.n > 0), {zero}, (a, x) -> a + x.{field})"
+    models = folds.select(
+        *key,
+        "segment",
+        (F.expr(total.format(zero="0D", field="sum")) / F.nullif(F.expr(total.format(zero="0L", field="n")), F.lit(0))).alias("pred"),
     )
     tests = segmented.filter("segment > 0")
     return lookup(tests, models, [*key, "segment"]).withColumnRenamed("segment", "fold")
@@ -132,9 +127,12 @@ def baseline_cv(
 
 def fold_rmse(scores: DataFrame) -> DataFrame:
     """RMSE per fold next to the mean over the folds of the series."""
-    means = scores.groupBy("series_id").agg(F.avg("root_mean_squared_error").alias("mean_rmse"))
-    return scores.select("series_id", "fold", F.col("root_mean_squared_error").alias("rmse")).join(
-        means, "series_id"
+    rmse = F.col("root_mean_squared_error")
+    own_folds = Window.partitionBy("series_id").orderBy("fold").rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing
+    )
+    return scores.select(
+        "series_id", "fold", rmse.alias("rmse"), F.avg(rmse).over(own_folds).alias("mean_rmse")
     )
 
 
