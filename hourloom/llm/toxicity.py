@@ -50,29 +50,40 @@ FEATURES = (
 _WORD = re.compile(r"\w+")
 _MARKS = re.compile(r"[!?]+")
 _INNER = re.compile(r"[0-9@$!|*]+")
-_CAPS = re.compile(r"\b[A-Z]{3,}\b")
+_CAPS = re.compile(r"[A-Z]{3,}")
 _CAPITAL = re.compile(r"[A-ZÀ-ÖØ-Þ]")
 _STRETCH = re.compile(r"([^\W\d_])\1\1")
 _FOLD = str.maketrans("013457@$!|*", "oieastasiii")
 
 
 class Weights(dict):
-    """The largest log-odds of a word and its beginnings among the learned terms, kept for each word seen."""
+    """The largest log-odds of a word and its beginnings among the learned terms, kept for each word seen.
+
+    `stretched` has those of the words seen that have a letter three times in a row.
+    """
 
     def __init__(self, terms: dict[str, float]):
         self.terms = terms
+        self.stretched: set[str] = set()
 
     def __missing__(self, word: str) -> float:
         get = self.terms.get
         weight = max([get("=" + word, 0.0), *(get(word[:k], 0.0) for k in BEGINNINGS if k <= len(word))])
-        if len(self) >= KNOWN_WORDS:  # a cache only
-            self.clear()
         self[word] = weight
+        if _STRETCH.search(word):
+            self.stretched.add(word)
         return weight
 
+    def trim(self) -> None:
+        """Forget the words seen if they are many; between texts only, since a text counts on its own words."""
+        if len(self) >= KNOWN_WORDS:
+            self.clear()
+            self.stretched.clear()
+
 
 def features(text: str, weights: Weights) -> list[float]:
     """The dense features of a whole text, in the order of FEATURES; an empty one gives zeros."""
+    weights.trim()
     low = text.lower()
     tokens = _WORD.findall(low)
     n = len(tokens)
@@ -110,7 +121,7 @@ def features(text: str, weights: Weights) -> list[float]:
         100.0 * sum(map(len, marks)) / len(text),
         100.0 * sum(len(m) > 1 for m in marks) / n,
         100.0 * mixed / n,
-        100.0 * len(_STRETCH.findall(low)) / n,
+        100.0 * sum(map(weights.stretched.__contains__, tokens)) / n if weights.stretched else 0.0,
         100.0 * len(learned) / n,
         float(np.log1p(len(learned))),
         float(len({tokens[k] for k in learned})),
