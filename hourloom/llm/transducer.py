@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from hourloom.llm.common import pick
 from hourloom.llm.pieces import BPE, BYTE, CONTROL, SPACE, PieceTable
 
-KNOWN_PARTS, LONG_PART = 300_000, 64
+KNOWN_READS, LONG_PART = 600_000, 64
 PENALTY = 10.0  # of a character that is no piece, below the worst piece of a unigram model
 
 
@@ -35,10 +35,11 @@ class Transducer:
     def __init__(self, table: PieceTable):
         self.table = table
         self.endings = table.trie(backwards=True)
+        self.labels = {piece: array("i", (k,)).tobytes() for piece, k in table.ids.items()}
         self.worst = -min(table.scores.values(), default=0.0) + PENALTY
         self.part = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+" if table.splits_at_space else "(?s).+")
-        self.known: dict[str, tuple[int, ...]] = {}  # part -> ids
-        self.reached: dict[str, tuple[float, str, int]] = {}  # read -> weight, state, place before
+        self.known: dict[str, tuple[bytes, bytes]] = {}  # part -> ids as 32-bit numbers, what they decode to
+        self.reached: dict[str, tuple[float, str, bytes]] = {}  # read -> weight, state, ids written
         self.written = [
             b"" if kind == CONTROL else bytes([int(name[3:5], 16)]) if kind == BYTE else name.replace(SPACE, " ").encode()
             for name, kind in zip(table.names, table.kinds, strict=True)
@@ -75,51 +76,87 @@ class Transducer:
                 best = weight, text[end - 1], end - 1
         return best
 
-    def shortest(self, text: str) -> tuple[int, ...]:
-        """Ids on the shortest path of the normalised text through the composed machine."""
+    def _ids(self, piece: str) -> bytes:
+        return self.labels.get(piece) or array("i", self.table.fallback(piece)).tobytes()
+
+    def shortest(self, text: str) -> bytes:
+        """Ids (32-bit numbers) on the shortest path of the normalised text through the composed machine."""
         if len(text) > LONG_PART:
             states: list[tuple[float, str, int]] = []
             for end in range(1, len(text) + 1):
                 states.append(self._relax(text, end, lambda k: states[k - 1]))
-            before = lambda k: states[k - 1]
-        else:
-            reached = self.reached
-            before = lambda k: reached[text[:k]]
-            size = len(text)
-            while size and text[:size] not in reached:
-                size -= 1
-            for end in range(size + 1, len(text) + 1):
-                reached[text[:end]] = self._relax(text, end, before)
-        out, at = [], len(text)
-        while at:
-            _, piece, at = before(at)
-            known = self.table.ids.get(piece)
-            out.append(self.table.fallback(piece) if known is None else (known,))
-        return tuple(chain.from_iterable(reversed(out)))
-
-    def part_ids(self, part: str) -> tuple[int, ...]:
-        found = self.known.get(part)
-        if found is None:
-            if len(self.known) >= KNOWN_PARTS or len(self.reached) >= 2 * KNOWN_PARTS:  # caches only
-                self.known.clear()
-                self.reached.clear()
-            found = self.shortest(part)
-            if len(part) <= LONG_PART:
-                self.known[part] = found
-        return found
+            out, at = [], len(text)
+            while at:
+                _, piece, at = states[at - 1]
+                out.append(self._ids(piece))
+            return b"".join(reversed(out))
+        reached, size = self.reached, len(text)
+        while size and text[:size] not in reached:
+            size -= 1
+        if self.table.kind == BPE:
+            return self._extend(text, size)
+        for end in range(size + 1, len(text) + 1):
+            weight, piece, at = self._relax(text, end, lambda k: reached[text[:k]])
+            reached[text[:end]] = weight, piece, (reached[text[:at]][2] if at else b"") + self._ids(piece)
+        return reached[text][2]
+
+    def _extend(self, text: str, size: int) -> bytes:
+        """`_relax` for a BPE model at every place behind `size`, with the look-ups written out."""
+        reached, endings, apart, labels = self.reached, self.endings, self.table.apart, self.labels
+        for end in range(size + 1, len(text) + 1):
+            arcs, node, at = [], endings, end
+            while at:
+                at -= 1
+                node = node.get(text[at])
+                if node is None:
+                    break
+                if "" in node:
+                    arcs.append(at)
+            state = None
+            for at in reversed(arcs):
+                piece = text[at:end]
+                if not at:
+                    state = 0.0, piece, labels[piece]
+                    break
+                before = reached[text[:at]]
+                if apart(before[1], piece):
+                    state = 0.0, piece, before[2] + labels[piece]
+                    break
+            if state is None:
+                written = reached[text[: end - 1]][2] if end > 1 else b""
+                state = 0.0, text[end - 1], written + self._ids(text[end - 1])
+            reached[text[:end]] = state
+        return reached[text][2]
+
+    def _part(self, part: str) -> tuple[bytes, bytes]:
+        if len(self.reached) >= KNOWN_READS:  # caches only
+            self.known.clear()
+            self.reached.clear()
+        ids = self.shortest(part)
+        both = ids, b"".join([self.written[k] for k in array("i", ids)])
+        if len(part) <= LONG_PART:
+            self.known[part] = both
+        return both
+
+    def there_and_back(self, text: str) -> tuple[np.ndarray, str]:
+        """The ids of a text, and the text that they decode to. Parts are encoded and decoded one by one: the bytes of
+        a character always lie in one part."""
+        get, make = self.known.get, self._part
+        parts = [get(p) or make(p) for p in self.part.findall(self.normalised(text))]
+        return np.frombuffer(b"".join([p[0] for p in parts]), np.int32), self._text(b"".join([p[1] for p in parts]))
 
     def encode(self, text: str) -> np.ndarray:
-        ids = chain.from_iterable(map(self.part_ids, self.part.findall(self.normalised(text))))
-        return np.fromiter(ids, np.int32)
+        return self.there_and_back(text)[0]
 
-    def decode(self, ids) -> str:
-        """The text of a sequence of ids; bytes that are no UTF-8 become U+FFFD, other ids raise IndexError."""
-        written = self.written
-        raw = b"".join([written[k] for k in ids])
+    def _text(self, raw: bytes) -> str:
         if self.table.dummy_prefix and raw[:1] == b" ":
             raw = raw[1:]
         return raw.decode("utf-8", "replace")
 
+    def decode(self, ids) -> str:
+        """The text of a sequence of ids; bytes that are no UTF-8 become U+FFFD, other ids raise IndexError."""
+        return self._text(b"".join([self.written[k] for k in ids]))
+
 
 _machines: dict[bytes, Transducer] = {}
 
@@ -146,13 +183,13 @@ def encode(docs: DataFrame, model_path: str) -> DataFrame:
         for batch in batches:
             for k in range(0, len(batch), 500):
                 part = batch.iloc[k : k + 500]
-                ids = [machine.encode(t or "") for t in part["text"]]
+                both = [machine.there_and_back(t or "") for t in part["text"]]
                 yield pd.DataFrame(
                     {
                         "doc_id": part["doc_id"],
-                        "n_ids": [len(x) for x in ids],
-                        "ids": ids,
-                        "decoded_sha256": [hashlib.sha256(machine.decode(x.tolist()).encode()).hexdigest() for x in ids],
+                        "n_ids": [len(ids) for ids, _ in both],
+                        "ids": [ids for ids, _ in both],
+                        "decoded_sha256": [hashlib.sha256(back.encode()).hexdigest() for _, back in both],
                     }
                 )
 
