@@ -55,7 +55,7 @@ class PieceTable:
         self.unknown = next((n for n, k in enumerate(self.kinds) if k == UNKNOWN), 0)
         self.longest = max(map(len, self.ids), default=1)
         self._merges: dict[str, tuple | None] = {}
-        self._apart: dict[tuple[str, str], bool] = {}
+        self.decided: dict[tuple[str, str], bool] = {}
 
     @classmethod
     def parse(cls, data: bytes) -> PieceTable:
@@ -130,11 +130,11 @@ class PieceTable:
         same merges as it does alone.
         """
         try:
-            return self._apart[left, right]
+            return self.decided[left, right]
         except KeyError:
-            if len(self._apart) >= 1_000_000:  # a cache only
-                self._apart.clear()
-            known = self._apart[left, right] = self._meet(self.merges(left), self.merges(right))
+            if len(self.decided) >= 1_000_000:  # a cache only
+                self.decided.clear()
+            known = self.decided[left, right] = self._meet(self.merges(left), self.merges(right))
             return known
 
     def _meet(self, left: tuple | None, right: tuple | None) -> bool:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from hourloom.llm.common import pick
 from hourloom.llm.pieces import BPE, BYTE, CONTROL, SPACE, PieceTable
 
-KNOWN_READS, LONG_PART = 600_000, 64
+KNOWN_READS, LONG_PART = 1_200_000, 64
 PENALTY = 10.0  # of a character that is no piece, below the worst piece of a unigram model
 
 
@@ -102,7 +102,8 @@ class Transducer:
 
     def _extend(self, text: str, size: int) -> bytes:
         """`_relax` for a BPE model at every place behind `size`, with the look-ups written out."""
-        reached, endings, apart, labels = self.reached, self.endings, self.table.apart, self.labels
+        reached, endings, labels = self.reached, self.endings, self.labels
+        apart, decided = self.table.apart, self.table.decided
         for end in range(size + 1, len(text) + 1):
             arcs, node, at = [], endings, end
             while at:
@@ -119,7 +120,8 @@ class Transducer:
                     state = 0.0, piece, labels[piece]
                     break
                 before = reached[text[:at]]
-                if apart(before[1], piece):
+                allowed = decided.get((before[1], piece))
+                if allowed if allowed is not None else apart(before[1], piece):
                     state = 0.0, piece, before[2] + labels[piece]
                     break
             if state is None:
