@@ -1,4 +1,5 @@
-"""SimHash near-dedup: fingerprints compared exactly in tiles, tiles of too different bit counts left out."""
+"""SimHash near-dedup: fingerprints compared exactly in tiles, tiles of too different bit counts left out; on demand the
+fingerprints only choose what is compared by its shingle sets."""
 
 from __future__ import annotations
 
@@ -10,12 +11,15 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
 
 from hourloom.llm.common import pick, staged
 from hourloom.llm.components import components
 
 SEED, SHINGLE, RADIUS = 42, 3, 2
 TILE_ROWS = 4096
+# A tile of shingle sets: rows, hashes; rows compared at once, hashes counted at once.
+SET_ROWS, SET_HASHES, BLOCK_ROWS, BLOCK_HASHES = 1024, 400_000, 128, 8192
 # ASCII letters lower-cased, the white space characters made spaces.
 _FOLD = bytes(32 if b in b" \t\n\x0b\x0c\r" else b + 32 if 65 <= b <= 90 else b for b in range(256))
 _LANES = np.uint64(0x0101010101010101)
@@ -199,10 +203,145 @@ def near_duplicates(
         "fingerprints",
     )
     classes = staged(prints.groupBy("node").agg(F.first("f").alias("f"), F.min("doc_id").alias("least")), "classes")
-    reached = components(links(classes, radius, parts, full_radius))
+    named = _named(classes, components(links(classes, radius, parts, full_radius)))
+    text = F.array_join(F.transform("f", lambda x: F.lpad(F.lower(F.hex(x)), 16, "0")), "")
+    return prints.join(named, "node").select("doc_id", text.alias("fingerprint"), "component_id")
+
+
+def _named(classes: DataFrame, reached: DataFrame) -> DataFrame:
+    """(node, component_id) of all `classes` (node, least), with the components `reached` (node, component)."""
     classes = classes.select("node", "least").join(reached, "node", "left")
     classes = classes.select("node", "least", F.coalesce("component", "node").alias("component"))
     groups = classes.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = classes.join(groups, "component").select("node", "component_id")
-    text = F.array_join(F.transform("f", lambda x: F.lpad(F.lower(F.hex(x)), 16, "0")), "")
-    return prints.join(named, "node").select("doc_id", text.alias("fingerprint"), "component_id")
+    return classes.join(groups, "component").select("node", "component_id")
+
+
+def _shared(x: list[np.ndarray], y: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """How many hashes the sets x[i] and y[j] share, for each pair."""
+    if len(i) < BLOCK_ROWS:
+        return np.array([len(np.intersect1d(x[a], y[b], assume_unique=True)) for a, b in zip(i, j, strict=True)], np.int64)
+    (own, i), (other, j) = np.unique(i, return_inverse=True), np.unique(j, return_inverse=True)
+    sets = [x[k] for k in own] + [y[k] for k in other]
+    rows = np.repeat(np.arange(len(sets)), [len(h) for h in sets])
+    names, places = np.unique(np.concatenate(sets), return_inverse=True)
+    order = np.argsort(places, kind="stable")
+    rows, places = rows[order], places[order]
+    counts = np.zeros((len(own), len(other)), np.float32)
+    for at in range(0, len(names), BLOCK_HASHES):
+        low, high = np.searchsorted(places, (at, at + BLOCK_HASHES))
+        marks = np.zeros((len(sets), BLOCK_HASHES), np.float32)
+        marks[rows[low:high], places[low:high] - at] = 1
+        counts += marks[: len(own)] @ marks[len(own) :].T
+    return counts[i, j].astype(np.int64)
+
+
+def _set_tile(own: tuple, other: tuple | None, full_radius: int, similarity: float) -> np.ndarray:
+    """Edges (node, node) that connect the similar sets of two tiles, or of one; a tile has nodes, fs, sizes, hashes."""
+
+    def read(nodes, fs, sizes, hashes):
+        sizes = np.asarray(sizes, np.int64)
+        sets = np.split(np.asarray(hashes, np.int64), np.cumsum(sizes)[:-1])
+        return np.asarray(nodes, np.int64), np.asarray(fs, np.int64).view(np.uint64).reshape(len(sizes), -1), sizes, sets
+
+    n1, f1, s1, x = read(*own)
+    n2, f2, s2, y = (n1, f1, s1, x) if other is None else read(*other)
+    found = [np.empty((0, 2), np.int64)]
+    for at in range(0, len(n1), BLOCK_ROWS):
+        for to in range(at if other is None else 0, len(n2), BLOCK_ROWS):
+            a, b = slice(at, at + BLOCK_ROWS), slice(to, to + BLOCK_ROWS)
+            near = np.bitwise_count(f1[a, None] ^ f2[None, b]).sum(axis=2, dtype=np.int64) <= full_radius
+            near &= np.minimum(s1[a, None], s2[None, b]) / np.maximum(s1[a, None], s2[None, b]) >= similarity
+            near &= n1[a, None] != n2[None, b]
+            i, j = np.nonzero(near)
+            if len(i):
+                shared = _shared(x[a], y[b], i, j)
+                alike = shared / (s1[a][i] + s2[b][j] - shared) >= similarity
+                found.append(spanning(n1[a][i[alike]], n2[b][j[alike]]))
+    edges = np.concatenate(found)
+    return spanning(edges[:, 0], edges[:, 1])
+
+
+def set_links(families: DataFrame, full_radius: int, similarity: float) -> DataFrame:
+    """Pairs (a, b) that connect all nodes of `families` (node, family, f, size, hashes) with similar sets in one family.
+
+    Sets are similar if shared / all hashes (Jaccard) is at least `similarity`; pairs of fingerprints that differ in more than
+    `full_radius` bits are not looked at. A family is cut by hash into tiles of about SET_ROWS rows and SET_HASHES hashes,
+    and each tile compared with itself and with the later ones. A tile pair gives a spanning forest of its similar pairs.
+    """
+    cuts = families.groupBy("family").agg(
+        F.ceil(F.greatest(F.count("*") / SET_ROWS, F.sum("size") / SET_HASHES)).cast("int").alias("cuts")
+    )
+    tiles = staged(
+        families.join(cuts, "family")
+        .withColumn("cut", F.pmod(F.xxhash64("node"), F.col("cuts")).cast("int"))
+        .groupBy("family", "cut", "cuts")
+        .agg(
+            F.collect_list("node").alias("nodes"),
+            F.flatten(F.collect_list("f")).alias("fs"),
+            F.collect_list("size").alias("sizes"),
+            F.flatten(F.collect_list("hashes")).alias("hashes"),
+        ),
+        "set-tiles",
+    )
+    fields = ["nodes", "fs", "sizes", "hashes"]
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.itertuples(index=False, name=None):
+                found = _set_tile(row[:4], row[4:] or None, full_radius, similarity)
+                if len(found):
+                    yield pd.DataFrame(found, columns=["a", "b"])
+
+    # The pairs are made from the keys and get their tiles by key, so those of a large family are dealt like the rest.
+    keys = tiles.where("cut + 1 < cuts").select("family", "cut", F.explode(F.sequence(F.col("cut") + 1, F.col("cuts") - 1)).alias("cut2"))
+    second = tiles.select("family", F.col("cut").alias("cut2"), *[F.col(f).alias(f"{f}2") for f in fields])
+    pairs = keys.join(tiles.drop("cuts"), ["family", "cut"]).join(second, ["family", "cut2"])
+    pairs = pairs.select(*fields, *[f"{f}2" for f in fields])
+    schema = "a long, b long"
+    return tiles.select(fields).mapInPandas(compare, schema).unionByName(pairs.mapInPandas(compare, schema))
+
+
+def similar_documents(
+    docs: DataFrame, similarity: float, shingle: int, words: int, radius: int, full_radius: int, parts: int = 1
+) -> DataFrame:
+    """(doc_id, component_id) of every row of `docs` (doc_id, text): the smallest doc_id that links reach.
+
+    Rows link if the sets of their shingles have a Jaccard similarity of at least `similarity`, counted exactly. Fingerprints
+    (`radius` on the first word, `full_radius` on all) only choose what is counted, so they can miss a pair but never link one;
+    radii have to leave room for the spread of the bits. What the fingerprints connect is a family; the texts of families
+    are read again for their sets, all others never leave their task. Rows of equal sets are put together first. Texts
+    without words (null, empty, blank) have the empty set and link with each other only. Null and shared doc_ids are treated as
+    by near_duplicates.
+    """
+    rows = pick(docs, doc_id="doc_id", text="text").withColumn("mark", F.xxhash64("text"))
+
+    @pandas_udf("node long, size int, f array<long>")
+    def printed(texts: pd.Series) -> pd.DataFrame:
+        out = []
+        for text in texts:
+            h = np.unique(shingle_hashes(text, shingle))
+            f = [_signed(majority(_mixed(h, k) if k else h)) for k in range(words)]
+            out.append((_signed(xxhash.xxh64_intdigest(h.tobytes(), SEED)), len(h), f))
+        return pd.DataFrame(out, columns=["node", "size", "f"])
+
+    @pandas_udf("array<long>")
+    def hashes(texts: pd.Series) -> pd.Series:
+        return pd.Series([np.unique(shingle_hashes(text, shingle)).view(np.int64) for text in texts], dtype=object)
+
+    prints = staged(rows.select("doc_id", "mark", printed("text").alias("s")), "sets").select("doc_id", "mark", "s.*")
+    classes = staged(
+        prints.groupBy("node").agg(
+            F.first("f").alias("f"),
+            F.first("size").alias("size"),
+            F.min("doc_id").alias("least"),
+            F.min(F.struct("doc_id", "mark")).alias("chosen"),
+        ),
+        "classes",
+    )
+    bits = components(links(classes.where("size > 0").select("node", "f"), radius, parts, full_radius))
+    members = classes.join(bits, "node").select("node", "size", "f", "chosen", F.col("component").alias("family"))
+    same = F.col("doc_id").eqNullSafe(F.col("chosen.doc_id")) & (F.col("mark") == F.col("chosen.mark"))
+    texts = members.join(rows, same).select("node", "size", "f", "family", "text").dropDuplicates(["node"])
+    families = staged(texts.select("node", "size", "f", "family", hashes("text").alias("hashes")), "families")
+    reached = components(set_links(families, full_radius, similarity))
+    return prints.select("doc_id", "node").join(_named(classes, reached), "node").select("doc_id", "component_id")

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 import public_tokenizers
 import sentencepiece
@@ -8,8 +10,8 @@ from pyspark.sql import functions as F
 import __spark_entry__ as driver
 import corpus_pipeline
 from check import rows_of
-from hourloom.llm import queries
-from tests.llm.helpers import AWKWARD, DOC, words
+from hourloom.llm import queries, simhash
+from tests.llm.helpers import AWKWARD, DOC, groups, words
 from tests.llm.test_rules_lines import dedup
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -91,3 +93,35 @@ def test_stages_on_awkward_rows_and_empty_tables(spark):
     assert dedup_out.text is None and dedup_out.n_chars is None
     kept = sorted(str(r.doc_id) for r in corpus_pipeline.near_dedup(spark, docs, SF_DIR).collect())
     assert kept == sorted(["1", "4", "5", "6", "6", "8", "None"])
+
+
+def test_near_dedup_decides_by_the_sets(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "SET_ROWS", 50)
+    monkeypatch.setattr(simhash, "BLOCK_ROWS", 16)
+    rng = random.Random(11)
+    texts = []
+    for n in (8, 9, 12, 30, 60, 150, 400):
+        for family in range(12):
+            base = [f"n{n}f{family}w{k}" for k in range(n)]
+            for copy in range(6):
+                some = list(base)
+                for _ in range(copy and rng.randint(0, max(1, n // 25))):
+                    some[rng.randrange(n)] = f"x{rng.randint(0, 10**9)}"
+                texts.append(" ".join(some[: n - rng.randint(0, 2)]))
+    for k in range(150):  # one large family of near copies
+        some = [f"big{w}" for w in range(120)]
+        for _ in range(1 + k % 4):
+            some[rng.randrange(120)] = f"y{rng.randint(0, 10**9)}"
+        texts.append(" ".join(some))
+
+    def shingles(text):
+        w = text.split()
+        return {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))}
+
+    sets = dict(enumerate(map(shingles, texts)))
+    linked = lambda a, b: len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8
+    want = groups(list(sets), linked)
+    rows = [(k, t, "en", "a", None, len(t)) for k, t in enumerate(texts)]
+    out = corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, DOC), SF_DIR).collect()
+    assert {r.doc_id for r in out} == {k for k, top in want.items() if k == top}
+    assert 100 < len(out) < len(texts) - 100
