@@ -119,4 +119,95 @@ MIXING = f"""
     from placed join starts x on frame >= x.first and frame < x.after join edf e on e.kind = x.kind and e.s = placed.s and e.k = placed.k
     """
 
-ORACLES = {"op2_quality_rules": quality(), "op3_line_dedup": LINE_DEDUP, "op5_mixing": MIXING}
+MERKLE = r"""
+with recursive fields as (
+    select doc_id, lang, source, n_chars, text,
+        list_transform([doc_id::varchar, source, lang, n_chars::varchar], lambda v: coalesce(strlen(v) || ':' || v, '-')) as f,
+        list_transform(string_split(doc_id::varchar, ''), lambda c: ord(c)) as id_bytes
+    from documents),
+crc as (
+    select *, xor(4294967295, list_reduce(list_prepend(4294967295::ubigint, list_transform(id_bytes, lambda b: b::ubigint)),
+        lambda c, b: list_reduce(list_prepend(xor(c, b), [0::ubigint, 0, 0, 0, 0, 0, 0, 0]),
+            lambda x, i: xor(x >> 1, 3988292384::ubigint * (x & 1::ubigint))))) % 3 = 0 as hit
+    from fields),
+hashed as (
+    select doc_id, lang, sha256(f[1] || f[2] || f[3] || f[4] || coalesce(strlen(text) || ':' || text, '-')) as leaf,
+        sha256(f[1] || f[2] || f[3] || f[4] || coalesce(strlen(text) || ':' || case when coalesce(hit, false)
+            then translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') else text end, '-')) as tampered
+    from crc),
+langs as (select lang, row_number() over (order by lang nulls first) - 1 as tree, count(*) as n from hashed group by lang),
+leaves as materialized (
+    select l.tree, row_number() over (partition by l.tree order by h.doc_id nulls first, h.leaf) - 1 as idx, l.n, h.*
+    from hashed h join langs l on h.lang is not distinct from l.lang),
+levels(tree, level, idx, h, n) as (
+    select tree, 0, idx, leaf, n from leaves
+    union all
+    select tree, level + 1, idx // 8, sha256(string_agg(h, '' order by idx)), (any_value(n) + 7) // 8
+    from levels where n > 1 group by tree, level, idx // 8),
+tops as (select tree, h as subroot from levels where n = 1),
+over_tops(level, idx, h, n) as (
+    select 0, tree, subroot, (select count(*) from tops) from tops
+    union all
+    select level + 1, idx // 8, sha256(string_agg(h, '' order by idx)), (any_value(n) + 7) // 8
+    from over_tops where n > 1 group by level, idx // 8),
+nodes as materialized (
+    select tree, level, idx, h, n from levels where n > 1
+    union all
+    select -1, level, idx, h, n from over_tops where n > 1),
+runs as materialized (
+    select tree, level, idx // 8 as up, list(h order by idx) as hs from nodes group by all),
+tree_top as (select tree, max(level) as top from levels group by tree),
+climb(tree, doc_id, leaf, at_tree, level, idx, folded, siblings) as (
+    select l.tree, doc_id, leaf, case when n > 1 then l.tree else -1 end, 0, case when n > 1 then l.idx else l.tree end, tampered, ''
+    from leaves l
+    union all
+    select c.tree, c.doc_id, c.leaf, case when c.at_tree >= 0 and c.level + 1 = t.top then -1 else c.at_tree end,
+        case when c.at_tree >= 0 and c.level + 1 = t.top then 0 else c.level + 1 end,
+        case when c.at_tree >= 0 and c.level + 1 = t.top then c.tree else c.idx // 8 end,
+        sha256(array_to_string(r.hs[:c.idx % 8], '') || c.folded || array_to_string(r.hs[c.idx % 8 + 2:], '')),
+        c.siblings || array_to_string(r.hs[:c.idx % 8], '') || array_to_string(r.hs[c.idx % 8 + 2:], '')
+    from climb c join runs r on r.tree = c.at_tree and r.level = c.level and r.up = c.idx // 8 join tree_top t on t.tree = c.tree),
+root as (select h as root from over_tops where n = 1)
+select doc_id, leaf, subroot, root, sha256(siblings) as proof_sha256, folded as folded_root, folded = root as verified
+from climb c join tops using (tree) cross join root
+where at_tree = -1 and not exists (select 1 from runs r where r.tree = -1 and r.level = c.level)
+"""
+
+COLLOCATIONS = r"""
+with pieces as (
+    select coalesce(lang, 'und') as lang, unnest(string_split_regex(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+    from documents),
+worded as materialized (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
+spots as (select lang, w, unnest(range(1, len(w) + 1)) as i from worded where len(w) > 0),
+spans as (
+    select lang, w[i:i + k - 1] as phrase from spots, (values (1), (2), (3), (4)) t(k) where i + k - 1 <= len(w)),
+counts as materialized (select lang, phrase, count(*) as a from spans group by all having count(*) >= 30),
+totals as (select lang, sum(len(w))::bigint as n from worded group by lang),
+cuts as (
+    select c.lang, c.phrase, c.a, k, c.phrase[:k] as head, c.phrase[k + 1:] as tail
+    from (select *, unnest(range(1, len(phrase))) as k from counts where len(phrase) > 1) c),
+scored as (
+    select u.lang, u.phrase, u.a, x.a as l, y.a as r, (2000000::hugeint * u.a // (x.a + y.a))::bigint as score
+    from cuts u join counts x on x.lang = u.lang and x.phrase = u.head join counts y on y.lang = u.lang and y.phrase = u.tail
+    qualify row_number() over (partition by u.lang, u.phrase order by 2000000::hugeint * u.a // (x.a + y.a), k) = 1),
+inner_phrases as (
+    select s.lang, s.phrase[i:i + k - 1] as phrase, max(s.a) as most
+    from (select *, unnest(range(1, len(phrase))) as i from counts where len(phrase) > 2) s, (values (2), (3)) t(k)
+    where k < len(s.phrase) and i + k - 1 <= len(s.phrase) group by all),
+kept as (
+    select s.lang, array_to_string(s.phrase, ' ') as phrase, s.a, s.l, s.r, s.score
+    from scored s left join inner_phrases m on m.lang = s.lang and m.phrase = s.phrase
+    where m.most is null or 100::hugeint * m.most < 80::hugeint * s.a)
+select lang, rank, phrase, a, l, r, n, score
+from (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept) join totals using (lang)
+where rank <= 2000
+"""
+
+ORACLES = {
+    "op2_quality_rules": quality(),
+    "op3_line_dedup": LINE_DEDUP,
+    "op5_mixing": MIXING,
+    "op12_merkle": MERKLE,
+    "op13_collocations": COLLOCATIONS,
+}

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourloom.llm import langid, lines, mixing, prefix, rules, simhash, sphere, toxicity, transducer, urls
+from hourloom.llm import collocations, langid, lines, merkle, mixing, prefix, rules, simhash, sphere, toxicity, transducer, urls
 from hourloom.llm.oracles import ORACLES  # noqa: F401
 
 QUERIES = {}
@@ -84,3 +84,13 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return urls.judge(pages, URL_RULES, texts=pages.select(F.col("html").alias("text")))
+
+
+@query
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.best(collocations.mine(table(spark, sf_dir, "documents")))
