@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourloom.llm import collocations, langid, lines, merkle, mixing, prefix, rules, simhash, sphere, toxicity, transducer, urls
+from hourloom.llm import collocations, graph, langid, lines, merkle, mixing, prefix, rules, simhash, sphere, toxicity, transducer, urls
 from hourloom.llm.oracles import ORACLES  # noqa: F401
 
 QUERIES = {}
@@ -86,6 +86,11 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(pages, URL_RULES, texts=pages.select(F.col("html").alias("text")))
 
 
+@query
+def op11_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph.nearest_neighbours(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verify(table(spark, sf_dir, "documents"))
