@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from hourloom.catalog import inputs as i
 from hourloom.catalog.inputs import with_tables
 from hourloom.catalog.registry import query
 from hourloom.catalog.shaping import HIGH, LOW, rounded
-from hourloom.consts import HOUR, LAG_FEATURES, TIME_FEATURES
+from hourloom.consts import DAY, HOUR, LAG_FEATURES, TIME_FEATURES
 from hourloom.operators import boosting, evaluate
 from hourloom.operators.clean import clean
 from hourloom.operators.features import add_calendar_features, add_features
@@ -22,11 +21,11 @@ from hourloom.plans import pipelines
 from hourloom.schemas import FeatureFlags
 from hourloom.session import work_path
 from hourloom.sources.files import append_run, read_runs
-from hourloom.sources.holidays import us_holidays
+from hourloom.sources.holidays import holidays_between, us_holidays
+from hourloom.sources.models import ModelSpec, load_model, registry_table, save_model
 from hourloom.sources.store import staged
 
 TEST_HOURS, SPLITS = 48, 8
-SMALL_GBT = {"stepSize": 0.1, "maxDepth": 3, "maxIter": 3}
 
 # HE on its grid with a held-out end and the calendar group columns.
 SPLIT_SQL = f"""
@@ -192,6 +191,9 @@ def baseline_pipeline(spark, sf_dir):
 
 
 VARIANT_VERSIONS = tuple(evaluate.BASELINE_VARIANTS.items())
+# `now` and the evaluation window that follows from it, and where training starts.
+COMPARED_AT, TRAINED_FROM = datetime(2024, 2, 1, 8, 40), datetime(2024, 1, 2)
+WINDOW_START, WINDOW_END = datetime(2024, 1, 27, 9), datetime(2024, 1, 29, 9)
 
 
 def _compare_sql() -> str:
@@ -199,128 +201,149 @@ def _compare_sql() -> str:
     for version, (_, groups) in enumerate(VARIANT_VERSIONS, start=1):
         using = ", ".join(("series_id", *groups))
         parts.append(
-            f"select {version} as v, d, p from marked join (select {using}, avg(d) as p from marked where is_train "
-            f"group by {using}) f using ({using}) where not is_train and d is not null and p is not null"
+            f"select {version} as v, d, p from marked join (select {using}, avg(d) as p from trained "
+            f"group by {using}) f using ({using}) where d is not null and p is not null"
         )
+    calendar = "hour(ts) as hour, month(ts) as month, isodow(ts) - 1 as dayofweek"
     return f"""
+    train_rows as (select * from he_full where ts between timestamp '{TRAINED_FROM}' and timestamp '{WINDOW_START}'),
+    eval_rows as (select * from he_full where ts between timestamp '{WINDOW_START}' and timestamp '{WINDOW_END}'),
+    trained as (select *, {calendar} from ({i.clean_sql("train_rows", LOW, HIGH)})),
+    marked as (select *, {calendar} from ({i.clean_sql("eval_rows", LOW, HIGH)})),
     preds as ({" union all ".join(parts)}),
     scored as (select v, {R2_SQL} as r2_score, sqrt(avg(power(d - p, 2))) as root_mean_squared_error,
       avg(power(d - p, 2)) as mean_squared_error,
       avg(abs(d - p) / greatest(abs(d), 2.220446049250313e-16)) as mean_absolute_percentage_error from preds group by 1)
     unpivot (select 'baseline' as model_name, v as model_version, 'baseline-v' || v || '-fB___' as label,
-      timestamp '2024-02-02 00:00:00' as start_time, round(r2_score, 6) as r2_score,
+      timestamp '{COMPARED_AT}' as start_time, round(r2_score, 6) as r2_score,
       round(root_mean_squared_error, 6) as root_mean_squared_error, round(mean_squared_error, 6) as mean_squared_error,
       round(mean_absolute_percentage_error, 6) as mean_absolute_percentage_error from scored)
     on r2_score, root_mean_squared_error, mean_squared_error, mean_absolute_percentage_error
     into name metric value metric_value"""
 
 
-@query("compare_pipeline", with_tables("he_full", "with " + CLEAN_SPLIT_SQL + "," + _compare_sql()))
-def compare_pipeline(spark, sf_dir):
-    """Three baseline variants scored on the held-out hours, logged and compared."""
+def _registered(spark, sf_dir) -> tuple[str, str]:
+    """A store of all hours, and a registry with the baseline variants trained on what precedes the evaluation window."""
     series = i.hourly_types(spark, sf_dir)
-    cleaned = clean(fill_grid(series), LOW, HIGH, fit_on=series)
-    rows = staged(holdout_split(add_calendar_features(cleaned), TEST_HOURS, HOUR), "compare")
-    train, test = rows.filter("is_train"), rows.filter("not is_train")
-    parts = []
-    for version, (_, groups) in enumerate(VARIANT_VERSIONS, start=1):
-        predicted = evaluate.predict_baseline(test, evaluate.fit_baseline(train, groups), groups)
-        parts.append(
-            predicted.select(
-                F.lit("baseline").alias("model_name"),
-                F.lit(version).alias("model_version"),
-                F.array(*[F.lit(c) for c in TIME_FEATURES]).alias("input_columns"),
-                "series_id",
-                "ts",
-                "d",
-                "pred",
-            )
-        )
-    predictions = parts[0]
-    for part in parts[1:]:
-        predictions = predictions.unionByName(part)
-    ends = train.groupBy("series_id").agg(F.max("ts").alias("ts"))
-    result = pipelines.compare(
-        spark, predictions, ends, work_path(spark, "runs"), datetime(2024, 2, 2)
+    store, registry = i.new_store(fill_grid(series), HOUR), work_path(spark, "registry")
+    windows = pipelines.requests_for(pipelines.stored_bounds(spark, store), TRAINED_FROM, WINDOW_START)
+    frame = pipelines.model_input(spark, store, i.raw_records(series), windows, us_holidays(spark), HOUR, LOW, HIGH)
+    for _, groups in VARIANT_VERSIONS:
+        pipelines.register_baseline(frame, registry, "baseline", groups)
+    return store, registry
+
+
+def _eval_frame(spark, sf_dir, store):
+    raw, holidays = i.raw_records(i.hourly_types(spark, sf_dir)), us_holidays(spark)
+    return pipelines.eval_frame(spark, store, raw, holidays, COMPARED_AT, HOUR, LOW, HIGH, test_hours=TEST_HOURS)
+
+
+@query("compare_pipeline", with_tables("he_full", "with " + _compare_sql()))
+def compare_pipeline(spark, sf_dir):
+    """Three registered models are loaded by name and version, scored on the window that `now` allows, logged and compared."""
+    store, registry = _registered(spark, sf_dir)
+    specs = [ModelSpec.parse(f"baseline/{k}") for k, _ in enumerate(VARIANT_VERSIONS, start=1)]
+    result = pipelines.compare_saved(
+        spark, registry, specs, work_path(spark, "runs"), COMPARED_AT, _eval_frame(spark, sf_dir, store)
     )
     return rounded(result, "metric_value")
 
 
-def _gbt_frame(spark, sf_dir):
-    series = i.hourly_types(spark, sf_dir)
-    cleaned = clean(fill_grid(series), LOW, HIGH, fit_on=series)
-    frame = add_features(cleaned, us_holidays(spark))
-    return staged(holdout_split(frame, TEST_HOURS, HOUR), "gbt")
+@query("registered_models", with_tables("he_full", f"""
+    select 'baseline' as model_name, v as model_version, series_id, 'baseline' as kind, cols as input_columns,
+      strftime(min(ts), '%Y-%m-%d_%H') as train_start, strftime(max(ts), '%Y-%m-%d_%H') as train_end
+    from he_full, (values {", ".join(f"({k}, '{','.join(g)}')" for k, (_, g) in enumerate(VARIANT_VERSIONS, start=1))}) t(v, cols)
+    where ts between timestamp '{TRAINED_FROM}' and timestamp '{WINDOW_START}' group by all"""))
+def registered_models(spark, sf_dir):
+    """What the registry knows of every version after a reload: its inputs and the training range of each series."""
+    _, registry = _registered(spark, sf_dir)
+    return registry_table(spark, registry, "baseline").select(
+        "model_name", "model_version", "series_id", "kind", F.array_join("input_columns", ",").alias("input_columns"), "train_start", "train_end"
+    )
 
 
+# Trees: daily orders, one series a priority, long enough for the lags of one, two and three years.
+TREE_LOW, TREE_HIGH, TREE_TEST_DAYS = 200_000.0, 2_000_000.0, 28
 GBT_FEATURES = [*TIME_FEATURES, *LAG_FEATURES, "is_holiday"]
+# The reference's depth and grid shape with fewer, larger steps: README has what 500 trees take.
+QUERY_GBT = {"stepSize": 0.2, "maxDepth": 5, "maxIter": 15}
+QUERY_GRID = {"stepSize": (0.1, 0.2, 0.4), "maxDepth": (3, 5), "maxIter": (2, 4, 8)}
+QUERY_EARLY_STOP = {"stepSize": 0.3, "maxDepth": 4, "maxIter": 1000}
+QUERY_PATIENCE = 10
+
+
+def _gbt_frame(spark, sf_dir):
+    series = i.daily_orders(spark, sf_dir)
+    cleaned = clean(fill_grid(series, DAY), TREE_LOW, TREE_HIGH, fit_on=series)
+    frame = add_features(cleaned, holidays_between(spark, 1990, 2039))
+    return staged(holdout_split(frame, TREE_TEST_DAYS, DAY), "gbt")
 
 
 @query("gbt_predict")
 def gbt_predict(spark, sf_dir):
     """Fit on the training rows, save, reload, predict every row."""
     rows = _gbt_frame(spark, sf_dir)
-    model = boosting.train_gbt(rows.filter("is_train"), GBT_FEATURES, SMALL_GBT)
+    train = rows.filter("is_train")
+    model, series = boosting.fit(train, GBT_FEATURES, QUERY_GBT, encode=True)
     path = work_path(spark, "gbt")
-    model.write().overwrite().save(path)
-    return boosting.predict_gbt(PipelineModel.load(path), rows).select("series_id", "ts", "d", "pred")
+    save_model(model, path, GBT_FEATURES, pipelines.training_params(train), QUERY_GBT, series=series)
+    return load_model(spark, path).predict(rows).select("series_id", "ts", "d", "pred")
 
 
 @query("feature_importances")
 def feature_importances(spark, sf_dir):
-    rows = _gbt_frame(spark, sf_dir)
-    return boosting.feature_importances(
-        boosting.train_gbt(rows.filter("is_train"), GBT_FEATURES, SMALL_GBT)
-    )
+    model, _ = boosting.fit(_gbt_frame(spark, sf_dir).filter("is_train"), GBT_FEATURES, QUERY_GBT, encode=True)
+    return boosting.feature_importances(model)
 
 
 @query("gbt_cv")
 def gbt_cv(spark, sf_dir):
-    grid = boosting.param_grid({"stepSize": (0.1,), "maxDepth": (2, 4), "maxIter": (3,)})
-    _, results = boosting.grid_search(_gbt_frame(spark, sf_dir), list(TIME_FEATURES), grid, 3, TEST_HOURS)
-    return results
+    """18 parameter sets on 8 folds; sets that differ in the number of trees are one fit."""
+    grid = boosting.param_grid(QUERY_GRID)
+    frame = _gbt_frame(spark, sf_dir)
+    return boosting.search_results(
+        boosting.cross_validate(frame, GBT_FEATURES, grid, SPLITS, TREE_TEST_DAYS, DAY, encode=True)
+    )
 
 
 @query("gbt_early_stop")
 def gbt_early_stop(spark, sf_dir):
+    """The validation error of every number of trees up to the stop, with the best one."""
     rows = _gbt_frame(spark, sf_dir).withColumn("held_back", ~F.col("is_train"))
-    params = {"stepSize": 0.1, "maxDepth": 3, "maxIter": 8}
-    model = boosting.train_early_stop(rows, list(TIME_FEATURES), "held_back", params)
-    return boosting.predict_gbt(model, rows).select("series_id", "ts", "d", "pred")
+    stop = boosting.train_early_stop(rows, GBT_FEATURES, "held_back", QUERY_EARLY_STOP, QUERY_PATIENCE)
+    return stop.curve(spark)
 
 
 def _train_options(spark):
     return {
-        "holidays": us_holidays(spark),
+        "holidays": holidays_between(spark, 1990, 2039),
         "model_path": work_path(spark, "model"),
         "flags": FeatureFlags(lag=True, holidays=True),
-        "candidates": (SMALL_GBT,),
-        "n_splits": 2,
-        "test_size": TEST_HOURS,
-        "step": HOUR,
-        "low": LOW,
-        "high": HIGH,
+        "candidates": (QUERY_GBT,),
+        "n_splits": SPLITS,
+        "test_size": TREE_TEST_DAYS,
+        "step": DAY,
+        "low": TREE_LOW,
+        "high": TREE_HIGH,
     }
 
 
 @query("train_pipeline")
 def train_pipeline(spark, sf_dir):
-    """Train on the stored hours; the result is the cross-validation table."""
-    series = i.hourly_types(spark, sf_dir)
-    store = i.new_store(fill_grid(series), HOUR)
-    windows = pipelines.stored_bounds(spark, store).select("series_id", "start_ts", "end_ts")
-    _, results, _ = pipelines.train(
-        spark, store, i.raw_records(series), windows, **_train_options(spark)
-    )
+    """Train on the stored days that have lags; the result is the cross-validation table."""
+    series = i.daily_orders(spark, sf_dir)
+    store = i.new_store(fill_grid(series, DAY), DAY)
+    windows = pipelines.requests_for(series, datetime(1998, 1, 1), datetime(2001, 6, 30))
+    _, results = pipelines.train(spark, store, i.raw_records(series), windows, **_train_options(spark))
     return results
 
 
 @query("refresh_and_train")
 def refresh_and_train(spark, sf_dir):
-    series = i.hourly_types(spark, sf_dir)
-    store = i.new_store(i.until(fill_grid(series), datetime(2024, 1, 20, 23)), HOUR)
-    requests = pipelines.requests_for(series, datetime(2024, 1, 2), datetime(2024, 1, 28, 12))
-    _, results, _ = pipelines.refresh_and_train(
+    series = i.daily_orders(spark, sf_dir)
+    store = i.new_store(i.until(fill_grid(series, DAY), datetime(2000, 12, 31)), DAY)
+    requests = pipelines.requests_for(series, datetime(1998, 1, 1), datetime(2001, 6, 30))
+    _, results = pipelines.refresh_and_train(
         spark, i.raw_records(series), store, requests, close_gap=True, **_train_options(spark)
     )
     return results

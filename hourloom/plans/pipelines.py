@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timedelta
+from functools import reduce
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +37,15 @@ from hourloom.operators.quality import assert_no_leak, model_input_suite, valida
 from hourloom.operators.series import concat_series, time_bounds
 from hourloom.schemas import FeatureFlags
 from hourloom.sources.files import append_run, read_runs
+from hourloom.sources.models import (
+    ModelSpec,
+    SavedModel,
+    find_model,
+    load_model,
+    predictions_of,
+    register_model,
+    save_model,
+)
 from hourloom.sources.store import (
     fetch_range,
     read_chunk_index,
@@ -213,27 +222,39 @@ def train(
     step: timedelta = HOUR,
     low: float = MIN_DEMAND,
     high: float = MAX_DEMAND,
-) -> tuple[PipelineModel, DataFrame, DataFrame]:
-    """Train on stored data only: cross-validate, refit the best and save the model.
+    encode: bool = True,
+) -> tuple[SavedModel, DataFrame]:
+    """Train on stored data only: cross-validate, refit the best and save the model with its training parameters.
 
-    The cross-validation table goes next to the model, to ``<model_path>-cv``. Returns
-    the reloaded model, that table and the training parameters.
+    With `encode` the trees know the series by the mean and deviation of its training rows. The cross-validation table
+    goes next to the model, to ``<model_path>-cv``. Returns the reloaded model and that table.
     """
     beyond = hit_miss(read_chunk_index(spark, store), windows, step).filter("miss_start is not null")
     if not beyond.isEmpty():
         raise ValueError("training data must be stored; refresh the store first")
     frame = model_input(spark, store, raw, windows, holidays, step, low, high)
     columns = select_features(frame, flags)
-    model, results = boosting.grid_search(
-        columns, feature_columns(flags), candidates, n_splits, test_size, step
-    )
-    model.write().overwrite().save(model_path)
+    features = feature_columns(flags)
+    model, results = boosting.grid_search(columns, features, candidates, n_splits, test_size, step, encode=encode)
     results.write.mode("overwrite").parquet(f"{model_path}-cv")
-    return (
-        PipelineModel.load(model_path),
-        spark.read.parquet(f"{model_path}-cv"),
-        training_params(frame),
-    )
+    results = spark.read.parquet(f"{model_path}-cv")
+    best = evaluate.best_params(results.withColumn("_all", F.lit("all")), "_all").first().param_set
+    series = boosting.series_encoding(columns) if encode else None
+    save_model(model, model_path, features, training_params(frame), {"param_set": best}, series=series)
+    return load_model(spark, model_path), results
+
+
+def register_trained(spark: SparkSession, registry: str, name: str, saved: SavedModel) -> ModelSpec:
+    """Give a trained model a name and the next version of it in the registry."""
+    return register_model(spark, registry, name, saved.model, saved.input_columns, saved.training, saved.params, saved.series)
+
+
+def register_baseline(
+    frame: DataFrame, registry: str, name: str, by: Sequence[str] = ("hour", "month")
+) -> ModelSpec:
+    """Fit the baseline of the calendar columns `by` on a model input frame and register it."""
+    spark = frame.sparkSession
+    return register_model(spark, registry, name, evaluate.fit_baseline(frame, by), by, training_params(frame))
 
 
 def refresh_and_train(
@@ -261,16 +282,16 @@ def refresh_and_train(
 
 
 def evaluate_models(
-    predictions: DataFrame, train_ends: DataFrame, runs_path: str, now: datetime
+    predictions: DataFrame, train_ends: DataFrame, runs_path: str, now: datetime, starts: DataFrame | None = None
 ) -> DataFrame:
     """Score the predictions of one or more models, append the runs and return them.
 
     `predictions` holds (model_name, model_version, input_columns, series_id, ts, d,
     pred) of every model, so that all of them are scored by one aggregation.
     `train_ends` holds the last training ts per series; it may not lie behind the
-    first evaluated one.
+    first evaluated one, which `starts` has or the predictions show.
     """
-    starts = predictions.groupBy("series_id").agg(F.min("ts").alias("ts"))
+    starts = predictions.groupBy("series_id").agg(F.min("ts").alias("ts")) if starts is None else starts
     assert_no_leak(train_ends, starts)
     key = ("model_name", "model_version", "feature_flags")
     scored = evaluate.regression_metrics(
@@ -281,6 +302,56 @@ def evaluate_models(
     return runs
 
 
+def eval_frame(
+    spark: SparkSession,
+    store: str,
+    raw: DataFrame,
+    holidays: DataFrame,
+    now: datetime,
+    step: timedelta = HOUR,
+    low: float = MIN_DEMAND,
+    high: float = MAX_DEMAND,
+    buffer_hours: int = REPORTING_BUFFER_HOURS,
+    test_hours: int = TEST_SET_HOURS,
+    on_fail: str | None = "warn",
+) -> DataFrame:
+    """Model input of every stored series for the newest evaluation window that `now` allows."""
+    requests = requests_for(stored_bounds(spark, store), *eval_window(now, buffer_hours, test_hours))
+    return model_input(spark, store, raw, requests, holidays, step, low, high, on_fail)
+
+
+def evaluate_saved(
+    spark: SparkSession, registry: str, specs: Sequence[ModelSpec], frame: DataFrame, runs_path: str, now: datetime
+) -> DataFrame:
+    """Load registered models, score them on one evaluation frame, append the runs and return them.
+
+    Every model's stored training end must not lie behind the first evaluated step of a series that it was trained on;
+    a model for which it does is refused before anything is scored or logged.
+    """
+    models = [find_model(spark, registry, spec) for spec in specs]
+    starts = frame.groupBy("series_id").agg(F.min("ts").alias("ts"))
+    ends = [
+        m.train_ends().select(F.lit(f"{m.spec.name}/{m.spec.version}").alias("model"), "series_id", "ts") for m in models
+    ]
+    return evaluate_models(predictions_of(models, frame), reduce(DataFrame.unionByName, ends), runs_path, now, starts)
+
+
+def compare_saved(
+    spark: SparkSession,
+    registry: str,
+    eval_specs: Sequence[ModelSpec],
+    runs_path: str,
+    now: datetime,
+    frame: DataFrame,
+    plot_specs: Sequence[ModelSpec] | None = None,
+) -> DataFrame:
+    """Evaluate registered models on `frame`, then the metrics over time of `plot_specs`, by default of the same models."""
+    evaluate_saved(spark, registry, eval_specs, frame, runs_path, now)
+    chosen = [(s.name, s.version) for s in (eval_specs if plot_specs is None else plot_specs)]
+    specs = spark.createDataFrame(chosen, "model_name string, model_version int")
+    return evaluate.compare_runs(read_runs(spark, runs_path), specs)
+
+
 def compare(
     spark: SparkSession,
     predictions: DataFrame,

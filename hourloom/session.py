@@ -48,3 +48,17 @@ def work_path(spark: SparkSession, name: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         root = os.path.join(tempfile.gettempdir(), "hourloom")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def version_folders(spark: SparkSession, root: str, mark: str) -> tuple[list[int], list[int]]:
+    """The numbers N of the folders ``root/version=N`` that hold the file `mark`, and of all others, in order."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(root)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    finished, others = [], []
+    for entry in fs.listStatus(folder) if fs.exists(folder) else ():
+        name = entry.getPath().getName()
+        if name.startswith("version="):
+            done = fs.exists(hadoop.Path(entry.getPath(), mark))
+            (finished if done else others).append(int(name.removeprefix("version=")))
+    return sorted(finished), sorted(others)

@@ -30,7 +30,7 @@ from hourloom.operators.series import (
 )
 from hourloom.functions.time import quantize_end, quantize_start, steps_between
 from hourloom.schemas import CHUNK_INDEX, SERIES, STORED_SERIES, assert_schema
-from hourloom.session import work_path
+from hourloom.session import version_folders, work_path
 
 
 class DataUnavailable(RuntimeError):
@@ -54,18 +54,8 @@ _PLACED_INDEX = T.StructType(CHUNK_INDEX.fields + [T.StructField("data_version",
 
 def _index_versions(spark: SparkSession, store: str) -> tuple[int, int]:
     """(newest finished, newest started) version of the chunk index by the names of its folders; 0 if there is none."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    root = hadoop.Path(f"{store}/index")
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    finished = started = 0
-    for entry in fs.listStatus(root) if fs.exists(root) else ():
-        name = entry.getPath().getName()
-        if name.startswith("version="):
-            number = int(name.removeprefix("version="))
-            started = max(started, number)
-            if fs.exists(hadoop.Path(entry.getPath(), "_SUCCESS")):
-                finished = max(finished, number)
-    return finished, started
+    finished, others = version_folders(spark, f"{store}/index", "_SUCCESS")
+    return max(finished, default=0), max([0, *finished, *others])
 
 
 def _placed_index(spark: SparkSession, store: str) -> DataFrame:

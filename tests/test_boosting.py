@@ -51,8 +51,67 @@ def test_grid_search_ranks_and_refits(frame):
     assert model.stages[-1].getMaxDepth() == 3
 
 
-def test_early_stop_uses_the_held_back_rows(frame):
+def test_early_stop_shows_the_best_prefix(spark, frame):
     rows = holdout_split(frame, 48, HOUR).withColumn("held_back", ~F.col("is_train"))
-    model = b.train_early_stop(rows, list(TIME_FEATURES), "held_back", {"stepSize": 1.0, "maxDepth": 5, "maxIter": 25})
-    assert model.stages[-1].getNumTrees <= 25
-    assert b.predict_gbt(model, rows).filter("pred is null").count() == 0
+    params = {"stepSize": 1.0, "maxDepth": 4, "maxIter": 1000}
+    stop = b.train_early_stop(rows, list(TIME_FEATURES), "held_back", params, patience=4)
+    assert stop.stopped and len(stop.errors) == stop.trees + 4 < 40
+    assert min(stop.errors) == stop.errors[stop.trees - 1]
+    assert stop.model.stages[-1].getNumTrees == stop.trees
+    again = b.prefix_errors(stop.model, rows.filter("held_back"))
+    assert again == pytest.approx(stop.errors[: stop.trees])
+    assert [r.trees for r in stop.curve(spark).filter("is_best").collect()] == [stop.trees]
+
+
+@pytest.mark.parametrize(
+    "errors, patience, want",
+    [([5, 4, 3], 2, (3, False)), ([5, 3, 4, 3, 2], 2, (2, True)), ([5, 3, 4, 2, 4, 4], 2, (4, True)), ([1], 1, (1, False)), ([2, 2, 2], 2, (1, True))],
+)
+def test_best_prefix(errors, patience, want):
+    assert b.best_prefix(errors, patience) == want
+
+
+def test_prefixes_score_like_separate_fits(frame):
+    features = list(TIME_FEATURES)
+    grid = b.param_grid({"stepSize": (0.3,), "maxDepth": (2,), "maxIter": (1, 3, 6)})
+    together = {(r.param_set, r.fold): r.score for r in b.cross_validate(frame, features, grid, 2, 48, HOUR).collect()}
+    assert len(together) == 6
+    for params in grid:
+        alone = b.cross_validate(frame, features, [params], 2, 48, HOUR).collect()
+        assert {(r.param_set, r.fold): r.score for r in alone} == pytest.approx(
+            {k: v for k, v in together.items() if k[0] == b.param_name(params)}
+        )
+    rows = holdout_split(frame, 48, HOUR)
+    model, _ = b.fit(rows.filter("is_train"), features, grid[-1])
+    test = rows.filter("not is_train")
+    scored = e.regression_metrics(b.predict_gbt(model, test), by=()).first()
+    assert b.prefix_errors(model, test)[-1] == pytest.approx(scored.mean_squared_error)
+
+
+def test_trees_know_the_series(spark, frame):
+    low = frame.filter("d is not null").select("series_id", "ts", "d", *TIME_FEATURES)
+    high = low.withColumns({"series_id": F.lit("b"), "d": F.col("d") * 10})
+    both = low.unionByName(high)
+    model, series = b.fit(both, list(TIME_FEATURES), PARAMS, encode=True)
+    scored = b.predict_gbt(model, both, series).groupBy("series_id").agg(F.avg("pred").alias("p"), F.avg("d").alias("d"))
+    means = {r.series_id: (r.p, r.d) for r in scored.collect()}
+    assert means["a"][0] == pytest.approx(means["a"][1], rel=0.3) and means["b"][0] == pytest.approx(means["b"][1], rel=0.1)
+    unseen = b.predict_gbt(model, low.withColumn("series_id", F.lit("new")), series)
+    assert unseen.filter("pred is null").count() == 0
+
+
+def test_encoding_never_uses_the_own_fold(spark):
+    rows = [("a", t, float(k * k)) for k, t in enumerate(hours("2024-01-01", 40))] + [("b", hours("2024-01-01", 1)[0], 5.0)]
+    df = spark.createDataFrame(rows, "series_id string, ts timestamp_ntz, d double")
+    got = b.out_of_fold_encoding(df, 5).withColumn("fold", F.pmod(F.xxhash64("ts"), F.lit(5))).collect()
+    assert len(got) == 41
+    for r in got:
+        others = [x.d for x in got if x.series_id == r.series_id and x.fold != r.fold]
+        if not others:
+            assert r.series_mean is None and r.series_dev is None
+            continue
+        mean = sum(others) / len(others)
+        assert r.series_mean == pytest.approx(mean)
+        assert r.series_dev == pytest.approx(math.sqrt(sum((x - mean) ** 2 for x in others) / len(others)), rel=1e-6)
+    table = {r.series_id: (r.series_mean, r.series_dev) for r in b.series_encoding(df).collect()}
+    assert table["b"] == (5.0, 0.0) and set(table) == {"a", "b", None}
