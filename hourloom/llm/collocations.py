@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -16,7 +17,9 @@ from hourloom.llm.common import pick, staged
 LEAST, LONGEST, SCALE, COVERED, TOP = 30, 4, 2_000_000, 80, 2_000
 # What is broadcast at once: words of a vocabulary shard, phrases of a trie, bits of the set of frequent pairs.
 VOCABULARY, TRIE, PAIR_BITS, CHUNK_BITS = 500_000, 500_000, 1 << 26, 1 << 16
-FLUSH = 1 << 20  # different entries that a task counts before it passes them on
+# Different words and windows that a task holds before it passes their counts on, and rows that it passes on at once.
+HELD_WORDS, BUFFER, ROWS = 400_000, 1 << 21, 1 << 16
+SLICE = 1 << 19  # words that numpy looks at at once
 BREAKS = bytes.maketrans(b"\t,;:!?\n\x0b\x0c\r", b" .........")
 BREAK, UNKNOWN = -1, 0
 
@@ -90,14 +93,14 @@ class DoubleArray:
         base[single] = np.nonzero(~taken)[0][: len(single)] - step[starts[single]]
         return base
 
-    def count(self, words: np.ndarray) -> np.ndarray:
-        """How often each phrase stands in `words` (numbers; 0 and below are in no phrase), overlaps included."""
+    def count(self, words: np.ndarray, starting: int) -> np.ndarray:
+        """How often each phrase begins in the first `starting` of `words` (numbers; 0 and below are in no phrase), overlaps included."""
         total = np.zeros(self.size, np.int64)
         if not len(self.words) or not len(words):
             return total
         place = np.searchsorted(self.words, words).clip(0, len(self.words) - 1)
         label = np.where(self.words[place] == words, self.labels[place], 0)
-        at, state = np.nonzero(label)[0], np.zeros(1, np.int64)
+        at, state = np.nonzero(label[:starting])[0], np.zeros(1, np.int64)
         for depth in range(self.depth):
             if depth:
                 inside = at + depth < len(label)
@@ -119,18 +122,21 @@ def _word_counts(texts: DataFrame) -> DataFrame:
         def rows() -> Iterator[pd.DataFrame]:
             for lang, counter in seen.items():
                 counter.pop(b".", None)
-                words = [w.decode("utf-8", "surrogatepass") for w in counter]
-                yield pd.DataFrame({"lang": lang, "word": words, "n": list(counter.values())})
+                entries = iter(counter.items())
+                while some := list(islice(entries, ROWS)):
+                    words = [word.decode("utf-8", "surrogatepass") for word, _ in some]
+                    yield pd.DataFrame({"lang": lang, "word": words, "n": [n for _, n in some]})
             seen.clear()
 
         for batch in batches:
             for lang, text in zip(batch["lang"], batch["text"], strict=True):
                 seen.setdefault(lang, Counter()).update(tokens(text))
-                if len(seen[lang]) > FLUSH:
+                if sum(map(len, seen.values())) > HELD_WORDS:
                     yield from rows()
         yield from rows()
 
-    return texts.mapInPandas(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    counts = texts.mapInPandas(count, "lang string, word string, n long").repartition("lang", "word")
+    return counts.groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
 def _encoded(texts: DataFrame, words: DataFrame, n_words: int) -> DataFrame:
@@ -163,11 +169,13 @@ def _encoded(texts: DataFrame, words: DataFrame, n_words: int) -> DataFrame:
     return coded
 
 
-def _joined(batch: pd.DataFrame) -> np.ndarray:
-    """The words of all texts of a batch, with a break behind each text."""
+def _slices(batch: pd.DataFrame, longest: int) -> Iterator[tuple[np.ndarray, int]]:
+    """The words of all texts of a batch, with a break behind each text, in slices; phrases start at the first so many words of each."""
     end = np.array([BREAK], np.int32)
     parts = [x for words in batch["words"] for x in (np.frombuffer(words, np.int32), end)]
-    return np.concatenate(parts) if parts else end
+    words = np.concatenate(parts) if parts else end
+    for at in range(0, len(words), SLICE):
+        yield words[at : at + SLICE + longest - 1], min(SLICE, len(words) - at)
 
 
 def _spot(first: np.ndarray, second: np.ndarray, bits: int) -> np.ndarray:
@@ -182,44 +190,56 @@ def _supported(coded: DataFrame, lengths: tuple[int, ...], pairs, least: int) ->
     With `pairs`, a broadcast set of bits, only windows whose pairs are all in it are looked at: no frequent
     phrase is missed, since each part of a frequent phrase is frequent.
     """
-    width = max(lengths)
-    names = [f"w{k + 1}" for k in range(LONGEST)]
+    longest = max(lengths)
 
     def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def rows(held: list[np.ndarray]) -> Iterator[pd.DataFrame]:
-            for k in lengths:
-                own = [h for h in held if h.shape[1] == k]
-                if own:
-                    both = np.ascontiguousarray(np.concatenate(own))
-                    packed = both.view([("", both.dtype)] * k).ravel() if k > 2 else both.astype(np.int64) @ np.array([1 << 32, 1])
-                    _, first, counts = np.unique(packed, return_index=True, return_counts=True)
-                    some = np.zeros((len(first), LONGEST), np.int32)
-                    some[:, :k] = both[first]
-                    yield pd.DataFrame(some, columns=names).assign(n=counts)
-
-        held, size = [], 0
-        for batch in batches:
-            words = _joined(batch)
+        heads, tails, held = np.empty(BUFFER, np.int64), np.zeros(BUFFER, np.int64), 0
+
+        def rows() -> Iterator[pd.DataFrame]:
+            head, tail = heads[:held], tails[:held]
+            if longest > 2:
+                order = np.lexsort((tail, head))
+                head, tail = head[order], tail[order]
+            else:
+                head.sort()
+            new = np.ones(held, bool)
+            new[1:] = (head[1:] != head[:-1]) | (tail[1:] != tail[:-1])
+            first = np.nonzero(new)[0]
+            counts = np.diff(np.append(first, held))
+            for at in range(0, len(first), ROWS):
+                some = first[at : at + ROWS]
+                yield pd.DataFrame({"head": head[some], "tail": tail[some], "n": counts[at : at + ROWS]})
+
+        for words, starting in (x for batch in batches for x in _slices(batch, longest)):
             good = words > 0
             link = good[:-1] & good[1:]
             if pairs is not None and len(words) > 1:
                 spots = _spot(words[:-1], words[1:], PAIR_BITS)
                 link &= (pairs.value[spots >> np.uint64(3)] >> (spots & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
             run = link
-            for k in range(2, width + 1):
+            for k in range(2, longest + 1):
                 if k > 2:
                     run = run[:-1] & link[k - 2 :]
-                if k in lengths:
-                    at = np.nonzero(run)[0]
-                    held.append(np.stack([words[at + j] for j in range(k)], axis=1))
-                    size += len(at)
-            if size > 4 * FLUSH:
-                yield from rows(held)
-                held, size = [], 0
-        yield from rows(held)
+                starts = np.nonzero(run[:starting])[0] if k in lengths else run[:0]
+                for at in range(0, len(starts), ROWS):
+                    some = starts[at : at + ROWS]
+                    if held + len(some) > BUFFER:
+                        yield from rows()
+                        held = 0
+                    here = slice(held, held + len(some))
+                    heads[here] = (words[some].astype(np.int64) << 32) | words[some + 1]
+                    if longest > 2:
+                        tails[here] = words[some + 2].astype(np.int64) << 32
+                        if k > 3:
+                            tails[here] |= words[some + 3]
+                    held += len(some)
+        yield from rows()
 
-    seen = coded.mapInPandas(windows, ", ".join(f"{w} int" for w in names) + ", n long")
-    return seen.groupBy(*names).agg(F.sum("n").alias("n")).where(F.col("n") >= least).select(*names)
+    # A task's rows are all different already, so they are dealt out first and summed once.
+    seen = coded.mapInPandas(windows, "head long, tail long, n long").repartition("head", "tail")
+    found = seen.groupBy("head", "tail").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    halves = [F.shiftright(c, 32).cast("int") if high else F.col(c).bitwiseAND((1 << 31) - 1).cast("int") for c in ("head", "tail") for high in (True, False)]
+    return found.select([half.alias(f"w{k + 1}") for k, half in enumerate(halves)])
 
 
 def _pair_bits(pairs: DataFrame, bits: int):
@@ -263,8 +283,8 @@ def _counted(coded: DataFrame, candidates: DataFrame, n: int, least: int) -> Dat
 
         def count(batches: Iterator[pd.DataFrame], trie=trie, shard=shard) -> Iterator[pd.DataFrame]:
             walker, total = _unpacked(trie.value), 0
-            for batch in batches:
-                total = total + walker.count(_joined(batch))
+            for words, starting in (x for batch in batches for x in _slices(batch, LONGEST)):
+                total = total + walker.count(words, starting)
             if not np.isscalar(total):
                 no = np.nonzero(total)[0]
                 yield pd.DataFrame({"shard": shard, "no": no, "a": total[no]})
