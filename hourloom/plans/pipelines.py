@@ -120,11 +120,9 @@ def training_params(df: DataFrame) -> DataFrame:
     )
 
 
-def with_backfill(
-    spark: SparkSession, df: DataFrame, store: str, step: timedelta = HOUR, bounds: DataFrame | None = None
-) -> DataFrame:
-    """Prefix each series with the stored history its lag features need."""
-    ranges = staged(backfill_ranges(time_bounds(df) if bounds is None else bounds), "backfill")
+def with_backfill(spark: SparkSession, df: DataFrame, store: str, step: timedelta = HOUR) -> DataFrame:
+    """Prefix each series with the stored history its lag features need; `df` is read twice."""
+    ranges = staged(backfill_ranges(time_bounds(df)), "backfill")
     span = ranges.agg(F.min("start_ts").alias("low"), F.max("end_ts").alias("high")).first()
     if span.low is None:
         return df
@@ -147,10 +145,9 @@ def model_input(
 
     ``on_fail=None`` leaves the validation out and the frame lazy.
     """
-    base = fetch_range(spark, store, raw, requests, step)
-    bounds = staged(time_bounds(base), "model-bounds")
+    base = staged(fetch_range(spark, store, raw, requests, step), "model-base")
     # Cleaning reads its input more than once.
-    whole = staged(with_backfill(spark, base, store, step, bounds), "model-history")
+    whole = staged(with_backfill(spark, base, store, step), "model-history")
     featured = add_features(clean(whole, low, high), holidays)
     starts = requests.select("series_id", F.col("start_ts").alias("_from"))
     frame = (

@@ -1,17 +1,19 @@
-"""The chunk store: quarter-partitioned Parquet rows and a versioned chunk index.
+"""The chunk store: Parquet rows by calendar quarter and series bucket, and a versioned chunk index.
 
-``<store>/data/version=N/year=Y/quarter=Q/`` holds (series_id, ts, d) rows and
-``<store>/index/version=N/`` one full chunk index per update, which names the data version of every quarter.
-An update writes the quarters that it changes under a new version and its index last. Readers follow the newest
+``<store>/data/version=N/year=Y/quarter=Q/bucket=K/`` holds (series_id, ts, d) rows, the bucket being a hash of the
+series, and ``<store>/index/version=N/`` one full chunk index per update, which names the data version of every part, that is
+of every quarter and bucket. An update writes the parts that it changes under a new version and its index last: new rows of
+one series rewrite its bucket in the quarters that they touch and nothing else. Readers follow the newest
 finished index, so a writer that dies before that leaves the store as it was, and of two writers
 that start from the same version one fails. Versions that no reader needs any more can be deleted.
 """
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,7 +51,31 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-_PLACED_INDEX = T.StructType(CHUNK_INDEX.fields + [T.StructField("data_version", T.LongType())])
+#: Series buckets of a store whose writer names no other number; a store keeps the number that it was started with.
+BUCKETS = 4
+_PLACED_INDEX = T.StructType(
+    CHUNK_INDEX.fields
+    + [
+        T.StructField("bucket", T.IntegerType()),
+        T.StructField("buckets", T.IntegerType()),
+        T.StructField("data_version", T.LongType()),
+    ]
+)
+_STORED = T.StructType(STORED_SERIES.fields + [T.StructField("bucket", T.IntegerType())])
+#: (year, quarter, bucket) of a part.
+Part = tuple[int, int, int]
+
+
+def bucket_of(series_id: Column | str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(series_id), F.lit(buckets)).cast("int")
+
+
+def _part_key(year: Column, quarter: Column, bucket: Column) -> Column:
+    return (year.cast("long") * 10 + quarter) * 1_000_000 + bucket
+
+
+def _key(part: Part) -> int:
+    return (part[0] * 10 + part[1]) * 1_000_000 + part[2]
 
 
 def _index_versions(spark: SparkSession, store: str) -> tuple[int, int]:
@@ -65,21 +91,23 @@ def _placed_index(spark: SparkSession, store: str) -> DataFrame:
     return spark.read.schema(_PLACED_INDEX).parquet(f"{store}/index/version={newest}")
 
 
-def _places(spark: SparkSession, store: str) -> dict[tuple[int, int], int]:
-    """The data version of each (year, quarter): one entry per quarter of the calendar, not per series."""
+def _places(spark: SparkSession, store: str) -> tuple[dict[Part, int], int]:
+    """The data version of each part, and the number of buckets: one entry per quarter and bucket, not per series."""
     rows = _placed_index(spark, store).where("data_version is not null")
-    return {(r.year, r.quarter): r.data_version for r in rows.select("year", "quarter", "data_version").distinct().collect()}
+    found = rows.select("year", "quarter", "bucket", "buckets", "data_version").distinct().collect()
+    return {(r.year, r.quarter, r.bucket): r.data_version for r in found}, max((r.buckets for r in found), default=0)
 
 
-def read_chunks(spark: SparkSession, store: str) -> DataFrame:
-    """All stored rows, with their partition columns."""
-    places = _places(spark, store)
-    if not places:
+def read_chunks(spark: SparkSession, store: str, parts: Collection[Part] | None = None) -> DataFrame:
+    """All stored rows, or those of the given parts, with their partition columns."""
+    places, _ = _places(spark, store)
+    chosen = {p: v for p, v in places.items() if parts is None or p in parts}
+    if not chosen:
         return spark.createDataFrame([], STORED_SERIES)
-    folders = [f"{store}/data/version={v}" for v in sorted(set(places.values()))]
-    schema = T.StructType(STORED_SERIES.fields + [T.StructField("version", T.LongType())])
-    place = F.col("version") * 100_000 + F.col("year") * 10 + F.col("quarter")
-    current = place.isin([v * 100_000 + year * 10 + quarter for (year, quarter), v in sorted(places.items())])
+    folders = [f"{store}/data/version={v}" for v in sorted(set(chosen.values()))]
+    schema = T.StructType(_STORED.fields + [T.StructField("version", T.LongType())])
+    place = F.col("version") * 100_000_000_000 + _part_key(F.col("year"), F.col("quarter"), F.col("bucket"))
+    current = place.isin(sorted(v * 100_000_000_000 + _key(p) for p, v in chosen.items()))
     rows = spark.read.schema(schema).option("basePath", f"{store}/data").parquet(*folders)
     return rows.filter(current).select(*[f.name for f in STORED_SERIES])
 
@@ -88,57 +116,66 @@ def _quarter_no(ts: datetime) -> int:
     return ts.year * 10 + (ts.month + 2) // 3
 
 
-def read_range(spark: SparkSession, store: str, start: datetime, end: datetime) -> DataFrame:
-    """Stored rows with start <= ts <= end, opening only the quarters that can hold them."""
+def read_range(
+    spark: SparkSession, store: str, start: datetime, end: datetime, parts: Collection[Part] | None = None
+) -> DataFrame:
+    """Stored rows with start <= ts <= end, opening only the quarters, and of them the parts, that can hold them."""
     quarter_no = F.col("year") * 10 + F.col("quarter")
-    rows = read_chunks(spark, store).filter(quarter_no.between(_quarter_no(start), _quarter_no(end)))
+    rows = read_chunks(spark, store, parts).filter(quarter_no.between(_quarter_no(start), _quarter_no(end)))
     return time_range(rows, start, end).select(*[f.name for f in SERIES])
 
 
-def write_chunks(df: DataFrame, store: str, version: int) -> None:
-    """Write rows into their quarters under a data version.
+def write_chunks(df: DataFrame, store: str, version: int, buckets: int = BUCKETS) -> None:
+    """Write rows into their parts under a data version.
 
-    The rebalance hint lets Spark cut a big quarter into many files and join small
-    ones, whatever the skew.
+    The rebalance hint lets Spark cut a big part into many files and join small ones in a task, whatever the skew; rows are
+    sorted by series inside, so that a filter on the series skips row groups.
     """
+    part = {"year": F.year("ts"), "quarter": F.quarter("ts"), "bucket": bucket_of("series_id", buckets)}
     (
-        df.withColumns({"year": F.year("ts"), "quarter": F.quarter("ts")})
-        .hint("rebalance", "year", "quarter")
-        .sortWithinPartitions("year", "quarter", "series_id", "ts")
+        df.withColumns(part)
+        .hint("rebalance", *part)
+        .sortWithinPartitions(*part, "series_id", "ts")
         .write.mode("overwrite")
-        .partitionBy("year", "quarter")
+        .partitionBy(*part)
         .parquet(f"{store}/data/version={version}")
     )
 
 
 def read_chunk_index(spark: SparkSession, store: str) -> DataFrame:
     """The newest chunk index, checked against its schema."""
-    return assert_schema(_placed_index(spark, store).drop("data_version"), CHUNK_INDEX)
+    return assert_schema(_placed_index(spark, store).drop("bucket", "buckets", "data_version"), CHUNK_INDEX)
 
 
-def write_chunk_index(index: DataFrame, store: str, version: int, places: dict[tuple[int, int], int]) -> None:
-    """Add a version of the chunk index, which must not exist yet, with the data version of each quarter."""
+def write_chunk_index(index: DataFrame, store: str, version: int, places: dict[Part, int], buckets: int) -> None:
+    """Add a version of the chunk index, which must not exist yet, with the data version of each part."""
     spark = index.sparkSession
-    rows = [(year, quarter, v) for (year, quarter), v in places.items()]
-    placed = spark.createDataFrame(rows, "year int, quarter int, data_version long")
+    rows = [(*part, v) for part, v in places.items()]
+    placed = spark.createDataFrame(rows, "year int, quarter int, bucket int, data_version long")
     (
         assert_schema(index, CHUNK_INDEX)
-        .join(placed, ["year", "quarter"], "left")
+        .withColumns({"bucket": bucket_of("series_id", buckets), "buckets": F.lit(buckets)})
+        .join(placed, ["year", "quarter", "bucket"], "left")
         .select(*[f.name for f in _PLACED_INDEX])
         .write.mode("error")
         .parquet(f"{store}/index/version={version}")
     )
 
 
-def write_store(df: DataFrame, store: str, step: timedelta = HOUR) -> None:
+def _parts(chunks: DataFrame, buckets: int) -> list[Part]:
+    """The parts that hold the given chunks (series_id, year, quarter); one row for each, however many series there are."""
+    found = chunks.select("year", "quarter", bucket_of("series_id", buckets).alias("bucket")).distinct().collect()
+    return [tuple(row) for row in found]
+
+
+def write_store(df: DataFrame, store: str, step: timedelta = HOUR, buckets: int = BUCKETS) -> None:
     """Start a store from rows that are on the full grid."""
     spark = df.sparkSession
     version = _index_versions(spark, store)[1] + 1
-    write_chunks(df, store, version)
-    rows = spark.read.schema(STORED_SERIES).parquet(f"{store}/data/version={version}")
+    write_chunks(df, store, version, buckets)
+    rows = spark.read.schema(_STORED).parquet(f"{store}/data/version={version}")
     index = staged(chunk_index(time_bounds(rows), step), "chunk-index")
-    quarters = index.select("year", "quarter").distinct().collect()
-    write_chunk_index(index, store, version, {(r.year, r.quarter): version for r in quarters})
+    write_chunk_index(index, store, version, dict.fromkeys(_parts(index, buckets), version), buckets)
 
 
 def upsert_chunks(
@@ -150,8 +187,8 @@ def upsert_chunks(
 ) -> DataFrame:
     """Merge new rows into the store and return the chunk diff that was applied.
 
-    The rows must be on the full grid. A quarter is written when it is new or was
-    partial for some series; stored rows win over new ones, also with a null value.
+    The rows must be on the full grid. A part, one quarter of one series bucket, is written when it is new or was
+    partial for some of its series; stored rows win over new ones, also with a null value.
     """
     spark = df.sparkSession
     rows = staged(df.select(*[f.name for f in SERIES]), "upsert")
@@ -165,17 +202,17 @@ def upsert_chunks(
     # Fails here, before anything is written, if the new rows leave a gap.
     updated = staged(update_chunk_index(old, bounds, step), "chunk-index")
 
-    version, places = _index_versions(spark, store)[1] + 1, _places(spark, store)
-    # One row per quarter of the calendar, not per series.
-    quarters = diff.select((F.col("year") * 10 + F.col("quarter")).alias("q")).distinct().collect()
-    if quarters:
-        affected = [row.q for row in quarters]
-        stored = read_chunks(spark, store).filter((F.col("year") * 10 + F.col("quarter")).isin(affected))
-        fresh = rows.filter((F.year("ts") * 10 + F.quarter("ts")).isin(affected))
+    version, (places, buckets) = _index_versions(spark, store)[1] + 1, _places(spark, store)
+    buckets = buckets or BUCKETS
+    touched = _parts(diff, buckets)
+    if touched:
+        stored = read_chunks(spark, store, set(touched))
+        key = _part_key(F.year("ts"), F.quarter("ts"), bucket_of("series_id", buckets))
+        fresh = rows.filter(key.isin(sorted(map(_key, touched))))
         merged = concat_series([stored.select(*fresh.columns), fresh], fill_stored_nulls)
-        write_chunks(merged, store, version)
-        places |= {(q // 10, q % 10): version for q in affected}
-    write_chunk_index(updated, store, version, places)
+        write_chunks(merged, store, version, buckets)
+        places |= dict.fromkeys(touched, version)
+    write_chunk_index(updated, store, version, places, buckets)
     return diff
 
 
@@ -272,15 +309,27 @@ def read_ranges(
 ) -> DataFrame:
     """Stored rows inside any of their series' ranges, all of which lie in [low, high].
 
-    A series has few ranges (merged back-fill ranges, or one hit range), so they
-    travel as one array per series.
+    Only parts that a range of one of their series touches are opened: a new series that needs three years of history
+    does not make the others' buckets be read. A series has few ranges (merged back-fill ranges, or one hit range), so
+    they travel as one array per series.
     """
     per_series = ranges.groupBy("series_id").agg(
         F.collect_list(F.struct("start_ts", "end_ts")).alias("_ranges")
     )
-    rows = read_range(spark, store, low, high)
+    rows = read_range(spark, store, low, high, touched_parts(spark, store, ranges))
     return (
         lookup(rows, per_series, ["series_id"], how="inner")
         .filter(F.exists("_ranges", lambda r: F.col("ts").between(r["start_ts"], r["end_ts"])))
         .drop("_ranges")
     )
+
+
+def touched_parts(spark: SparkSession, store: str, ranges: DataFrame) -> set[Part]:
+    """The stored parts that hold a step of one of the ranges (series_id, start_ts, end_ts): at most one row a part is collected."""
+    _, buckets = _places(spark, store)
+    if not buckets:
+        return set()
+    quarters = F.sequence(F.trunc("start_ts", "quarter"), F.to_date("end_ts"), F.expr("interval 3 months"))
+    days = ranges.filter("start_ts <= end_ts").select("series_id", F.explode(quarters).alias("_day"))
+    chunks = days.select("series_id", F.year("_day").alias("year"), F.quarter("_day").alias("quarter"))
+    return set(_parts(chunks, buckets))

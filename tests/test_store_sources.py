@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 from datetime import timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -50,6 +51,46 @@ def test_stored_rows_win_and_complete_chunks_stay(spark, series, stored):
     assert all(got[t] == 9.0 for t, _ in days("2016-12-21", 66, 9))
 
 
+def files_by_part(path):
+    """(version, quarter, bucket) of every data file."""
+    return {tuple(p.relative_to(path).parts[1:-1]) for p in Path(path).glob("data/*/*/*/*/part-*")}
+
+
+def test_refreshing_one_series_rewrites_its_bucket_only(spark, series):
+    path = work_path(spark, "store")
+    ids = [f"s{k}" for k in range(12)]
+    st.write_store(series({sid: days("2016-01-01", 400, k) for k, sid in enumerate(ids)}), path, DAY, buckets=5)
+    before = files_by_part(path)
+    assert len({part[3] for part in before}) == 5
+    st.upsert_chunks(series({"s3": days("2017-02-04", 30, 99)}), path, DAY)
+    new = files_by_part(path) - before
+    bucket = spark.range(1).select(st.bucket_of(F.lit("s3"), 5)).first()[0]
+    assert new == {("version=2", "year=2017", "quarter=1", f"bucket={bucket}")}
+    rows = st.read_chunks(spark, path).groupBy("series_id").agg(F.count("*").alias("n"), F.max("d").alias("d"))
+    assert {r.series_id: (r.n, r.d) for r in rows.collect()} == {
+        sid: (430, 99.0) if sid == "s3" else (400, float(k)) for k, sid in enumerate(ids)
+    }
+
+
+def test_history_is_read_from_the_parts_of_its_series(spark, series):
+    path = work_path(spark, "store")
+    ids = [f"s{k}" for k in range(12)]
+    st.write_store(series({sid: days("2016-01-01", 800, k) for k, sid in enumerate(ids)}), path, DAY, buckets=5)
+    ranges = spark.createDataFrame(
+        [("s3", at("2016-03-30"), at("2016-04-02")), ("s7", at("2017-02-01"), at("2017-02-02")), ("s8", at("2017-05-02"), at("2017-05-01"))],
+        "series_id string, start_ts timestamp_ntz, end_ts timestamp_ntz",
+    )
+    where = {r.s: r.b for r in spark.createDataFrame([(s,) for s in ids], "s string").select("s", st.bucket_of("s", 5).alias("b")).collect()}
+    parts = st.touched_parts(spark, path, ranges)
+    assert parts == {(2016, 1, where["s3"]), (2016, 2, where["s3"]), (2017, 1, where["s7"])}
+    got = st.read_ranges(spark, path, ranges, DAY, at("2016-03-30"), at("2017-05-02"))
+    assert collected(got, "series_id", "ts") == [("s3", t) for t in hours("2016-03-30", 4, DAY)] + [("s7", t) for t in hours("2017-02-01", 2, DAY)]
+    read = st.read_chunks(spark, path, parts).select(F.input_file_name().alias("f")).distinct().collect()
+    assert {tuple(Path(r.f).parts[-4:-1]) for r in read} == {(f"year={y}", f"quarter={q}", f"bucket={b}") for y, q, b in parts}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
+
+
 def test_upserting_twice_changes_nothing(spark, series, stored):
     fresh = series(days("2016-12-01", 60, 2))
     st.upsert_chunks(fresh, stored, DAY)
@@ -173,9 +214,9 @@ def test_a_writer_that_dies_leaves_the_old_store(spark, stored, series, monkeypa
 
 def test_of_two_writers_one_fails(spark, stored):
     index = st.read_chunk_index(spark, stored)
-    st.write_chunk_index(index, stored, 7, {})
+    st.write_chunk_index(index, stored, 7, {}, 4)
     with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
-        st.write_chunk_index(index, stored, 7, {})
+        st.write_chunk_index(index, stored, 7, {}, 4)
 
 
 def test_refresh_is_idempotent(spark, stored):
