@@ -29,6 +29,7 @@ from hourloom.operators.features import (
 )
 from hourloom.operators.folds import holdout_split, trailing_window, ts_folds
 from hourloom.operators.intervals import intersect_intervals, merge_intervals
+from hourloom.sources.store import staged
 from hourloom.operators.numbering import missing_ranges
 from hourloom.operators.profile import list_duplicates, reconcile
 from hourloom.operators.chunks import chunk_index
@@ -296,7 +297,8 @@ def merge_intervals_query(spark, sf_dir):
 def interval_intersect(spark, sf_dir):
     """Gaps of the series against the calendar quarters they fall in."""
     series = i.daily_parts(spark, sf_dir)
-    return intersect_intervals(missing_ranges(series, DAY), chunk_index(time_bounds(series), DAY))
+    gaps = staged(missing_ranges(series, DAY), "gaps")  # both sides are read for their levels and their rows
+    return intersect_intervals(gaps, staged(chunk_index(time_bounds(series), DAY), "quarters"))
 
 
 @query("ts_folds", with_tables("ds", """

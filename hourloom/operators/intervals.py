@@ -71,40 +71,47 @@ def check_intervals(df: DataFrame) -> DataFrame:
     )
 
 
-def intersect_intervals(
-    a: DataFrame, b: DataFrame, width: timedelta | None = None
-) -> DataFrame:
+def intersect_intervals(a: DataFrame, b: DataFrame) -> DataFrame:
     """Non-empty intersections of the intervals of two sets, series by series.
 
-    Touching ends intersect; equal intervals of one set count once. Intervals are
-    cut into slots of `width` and the pieces are equi-joined on (series_id, slot), so
-    an interval meets only what lies near it; a pair is kept in the slot in which its
-    intersection starts. `width` is the mean length of all intervals unless given.
+    Touching ends intersect; equal intervals of one set count once. An interval lives on the level whose slots, 4 ** level
+    seconds wide, are as long as it is, so that it lies in two of them at most, and two intervals meet on the level of the longer
+    one: each set's intervals, on their own level, are equi-joined on (series_id, level, slot) with the other set's shorter ones,
+    placed in the slots of that level. So ten years among seconds are two rows, and seconds are one or two rows for each
+    level in use above theirs. A pair is kept in the slot in which its intersection starts.
     """
-    if width is None:
-        length = epoch_seconds("end_ts") - epoch_seconds("start_ts")
-        both = a.select(length.alias("_n")).unionByName(b.select(length.alias("_n")))
-        seconds = max(1, int(both.agg(F.avg("_n")).first()[0] or 1))
-    else:
-        seconds = int(width.total_seconds())
+    seconds = epoch_seconds("end_ts") - epoch_seconds("start_ts")
+    level = F.ceil(F.log2(seconds + 1) / 2).cast("int")
+
+    def levelled(df: DataFrame) -> DataFrame:
+        distinct = check_intervals(df).select("series_id", "start_ts", "end_ts").distinct()
+        return distinct.withColumn("_own", level)
+
+    sides = {"a": levelled(a), "b": levelled(b)}
+    used = sides["a"].select("_own").unionByName(sides["b"].select("_own")).distinct()
+    levels = F.array(*[F.lit(row._own) for row in sorted(used.collect())]).cast("array<int>")  # about twenty at most
 
     def slot(ts: Column | str) -> Column:
-        return F.floor(epoch_seconds(ts) / seconds)
+        return F.floor(epoch_seconds(ts) / F.pow(F.lit(4.0), F.col("_level")))
 
-    def pieces(df: DataFrame, side: str) -> DataFrame:
-        distinct = check_intervals(df).select("series_id", "start_ts", "end_ts").distinct()
-        return distinct.select(
+    def placed(side: str, where: Column) -> DataFrame:
+        rows = sides[side].withColumn("_level", F.explode(levels)).filter(where)
+        return rows.select(
             "series_id",
             F.col("start_ts").alias(f"{side}_start"),
             F.col("end_ts").alias(f"{side}_end"),
+            "_level",
             F.explode(F.sequence(slot("start_ts"), slot("end_ts"))).alias("_slot"),
         )
 
+    own, shorter = F.col("_level") == F.col("_own"), F.col("_level") > F.col("_own")
+    key = ["series_id", "_level", "_slot"]
+    meetings = placed("a", own).join(placed("b", own | shorter), key)
+    columns = [*key, "a_start", "a_end", "b_start", "b_end"]
+    meetings = meetings.select(*columns).unionByName(placed("b", own).join(placed("a", shorter), key).select(*columns))
     start = F.greatest("a_start", "b_start")
     return (
-        pieces(a, "a")
-        .join(pieces(b, "b"), ["series_id", "_slot"])
-        .filter("a_start <= b_end and b_start <= a_end")
+        meetings.filter("a_start <= b_end and b_start <= a_end")
         .filter(slot(start) == F.col("_slot"))
         .select(
             "series_id",

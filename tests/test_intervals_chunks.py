@@ -93,6 +93,23 @@ def test_intersections_against_brute_force(spans):
     assert collected(got, "series_id", "start_ts", "end_ts") == ordered(want)
 
 
+def test_intersections_of_very_uneven_lengths(spans):
+    """Ten years, a day and many seconds: slots as wide as the shortest would make hundreds of millions of pieces."""
+    second = timedelta(seconds=1)
+    long = [("a", at("2014-01-01"), at("2024-01-01")), ("a", at("2016-02-29"), at("2016-03-01")), ("b", at("2014-01-01"), at("2014-01-01"))]
+    short = [("a", at("2013-12-31T23:00") + k * 7 * DAY, at("2013-12-31T23:00") + k * 7 * DAY + (k % 3) * second) for k in range(600)]
+    short += [("b", at("2014-01-01") - second, at("2014-01-01")), ("b", at("2014-01-01") + second, at("2015-01-01")), ("c", *long[0][1:])]
+    want = [
+        (x[0], x[1], y[1], max(x[1], y[1]), min(x[2], y[2]))
+        for x in long for y in short if x[0] == y[0] and max(x[1], y[1]) <= min(x[2], y[2])
+    ]
+    got = iv.intersect_intervals(spans(long), spans(short))
+    assert collected(got, "series_id", "a_start", "b_start", "start_ts", "end_ts") == ordered(want)
+    back = iv.intersect_intervals(spans(short), spans(long))
+    assert back.count() == len(want)
+    assert iv.intersect_intervals(spans(long), spans(short).limit(0)).count() == 0
+
+
 def test_backfill_of_a_short_span_is_three_ranges(spans):
     start, end = at("2024-10-01T05:00"), at("2024-10-29T05:00")
     got = collected(iv.backfill_ranges(spans([(start, end)])), "start_ts", "end_ts")

@@ -306,32 +306,84 @@ def test_page_plan(spark):
 
 
 class Letters:
-    """A page source that needs no files."""
+    """A page source that needs no files: hourly records of two facets, and a log of the requests it got."""
+
+    answers_queries = True
 
     def __init__(self, options):
-        self.n = int(options["n"])
+        self.n, self.log = int(options["n"]), options["log"]
+
+    def _noted(self, *request):
+        with open(self.log, "a") as log:
+            log.write(json.dumps(request) + "\n")
+
+    def _answer(self, series_id, query):
+        records = [
+            {"period": f"2024-01-{k // 24 + 1:02d}T{k % 24:02d}", "respondent": series_id, "type": t, "value": str(k)}
+            for k in range(self.n)
+            for t in ("D", "DF")
+        ]
+        return [
+            r for r in records
+            if (query.types is None or r["type"] in query.types)
+            and (query.start is None or r["period"] >= query.start) and (query.end is None or r["period"] <= query.end)
+        ]
 
     def series(self):
         return ["x", "y"]
 
-    def total(self, series_id):
-        return self.n
+    def total(self, series_id, query):
+        self._noted("total", series_id, query.types, query.start, query.end)
+        return len(self._answer(series_id, query))
 
-    def page(self, series_id, offset, length):
-        return [
-            {"period": f"2024-01-01T{k % 24:02d}", "respondent": series_id, "type": "D", "value": str(k)}
-            for k in range(offset, offset + length)
-        ]
+    def page(self, series_id, offset, length, query):
+        self._noted("page", series_id, offset, length)
+        return self._answer(series_id, query)[offset : offset + length]
 
 
-@pytest.mark.parametrize("per_task", ["1", "3"])
-def test_paged_source_with_another_client(spark, per_task):
-    df = paged.read_paged(
-        spark, fetcher="tests.test_store_sources:Letters", n="23", page_size="5", pages_per_task=per_task
+@pytest.fixture
+def letters(spark, tmp_path):
+    log = tmp_path / "requests"
+    options = {"fetcher": "tests.test_store_sources:Letters", "n": "30", "page_size": "7", "log": str(log)}
+    return (
+        lambda **more: paged.read_paged(spark, **options, **more),
+        lambda: [json.loads(line) for line in log.read_text().splitlines()] if log.exists() else [],
     )
-    assert df.rdd.getNumPartitions() == {"1": 10, "3": 4}[per_task]
-    got = collected(df, "respondent", "position", "value")
-    assert got == [(s, k, str(k)) for s in "xy" for k in range(23)]
+
+
+@pytest.mark.parametrize("tasks", ["1", "3"])
+def test_paged_source_with_another_client(letters, tasks):
+    read, requests = letters
+    df = read(tasks_per_series=tasks)
+    assert df.rdd.getNumPartitions() == 2 * int(tasks) and requests() == []  # planned, and nothing asked
+    got = collected(df, "respondent", "position", "type", "value")
+    assert got == [(s, 2 * k + j, t, str(k)) for s in "xy" for k in range(30) for j, t in enumerate(("D", "DF"))]
+    pages = sorted(r for r in requests() if r[0] == "page")
+    assert pages == sorted(["page", s, o, min(7, 60 - o)] for s in "xy" for o in range(0, 60, 7))
+
+
+def test_filters_reach_the_requests(letters):
+    read, requests = letters
+    df = read().filter("type = 'D' and respondent = 'y' and period >= '2024-01-01T20' and period < '2024-01-02T02'")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert requests() == [] and "2024-01-02T02" in plan and "= D" not in plan and "= y" not in plan  # periods are left to Spark as well
+    assert collected(df, "respondent", "period", "type") == [
+        ("y", f"2024-01-{d}", "D") for d in ("01T20", "01T21", "01T22", "01T23", "02T00", "02T01")
+    ]
+    totals = [r for r in requests() if r[0] == "total"]
+    assert totals and all(r == ["total", "y", ["D"], "2024-01-01T20", "2024-01-02T02"] for r in totals)
+    assert sorted(r for r in requests() if r[0] == "page") == [["page", "y", 0, 7]]
+    assert read().filter("type in ('D', 'X') and type in ('X', 'Y')").count() == 0
+    assert read().filter("respondent = 'nobody'").count() == 0
+
+
+def test_a_refresh_asks_the_source_for_its_range_only(spark, letters):
+    read, requests = letters
+    wanted = request(spark, "2024-01-01T05", "2024-01-01T10").withColumn("series_id", F.lit("x"))
+    got = st.fetch_raw(read(), wanted)
+    assert got.count() == 6
+    assert {tuple(r[2] or ()) for r in requests() if r[0] == "total"} == {("D",)}
+    assert all(r[3] == "2023-12-31" and r[4] == "2024-01-04" for r in requests() if r[0] == "total")
 
 
 def test_paged_files_and_json_parsing_agree(spark, tmp_path):
