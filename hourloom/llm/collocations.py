@@ -9,6 +9,7 @@ from itertools import islice
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +21,7 @@ VOCABULARY, TRIE, PAIR_BITS, CHUNK_BITS = 500_000, 500_000, 1 << 26, 1 << 16
 # Different words and windows that a task holds before it passes their counts on, and rows that it passes on at once.
 HELD_WORDS, BUFFER, ROWS = 400_000, 1 << 21, 1 << 16
 SLICE = 1 << 19  # words that numpy looks at at once
+ROW_WORDS, CHUNK_PHRASES, SALTS = 4_096, 4_096, 64  # words and counts in a row, and groups of tasks whose counts are summed first
 BREAKS = bytes.maketrans(b"\t,;:!?\n\x0b\x0c\r", b" .........")
 BREAK, UNKNOWN = -1, 0
 
@@ -147,16 +149,22 @@ def _encoded(texts: DataFrame, words: DataFrame, n_words: int) -> DataFrame:
     spark, shards = texts.sparkSession, max(1, -(-n_words // VOCABULARY))
     coded, ends = texts.withColumn("words", F.lit(None).cast("binary")), {b".": BREAK}
     for shard in range(shards):
-        lists: dict[str, dict[bytes, int]] = {}
-        for row in words.where((F.col("id") - 1) % shards == shard).select("lang", "word", "id").toLocalIterator():
-            lists.setdefault(row.lang, dict(ends))[row.word.encode("utf-8", "surrogatepass")] = row.id
-        known, last = spark.sparkContext.broadcast(lists), shard == shards - 1
+        # Words travel as text, a few thousand in a row, which tasks make their dictionaries of.
+        some = words.where((F.col("id") - 1) % shards == shard).groupBy("lang", F.floor(F.col("id") / ROW_WORDS).alias("row"))
+        listed = some.agg(F.collect_list(F.struct("word", "id")).alias("l"))
+        rows = listed.select("lang", F.array_join(F.col("l")["word"], "\n").alias("words"), F.col("l")["id"].alias("ids")).collect()
+        known = spark.sparkContext.broadcast([(r.lang, r.words, np.array(r.ids, np.int32)) for r in rows])
+        last = shard == shards - 1
 
         def encode(batches: Iterator[pd.DataFrame], known=known) -> Iterator[pd.DataFrame]:
+            lists: dict[str, dict[bytes, int]] = {}
+            for lang, joined, numbers in known.value:
+                own = zip(joined.encode("utf-8", "surrogatepass").split(b"\n"), numbers.tolist(), strict=True)
+                lists.setdefault(lang, dict(ends)).update(own)
             for batch in batches:
                 out = []
                 for lang, text, before in zip(batch["lang"], batch["text"], batch["words"], strict=True):
-                    ids = known.value.get(lang, ends)
+                    ids = lists.get(lang, ends)
                     own = np.array([ids.get(t, UNKNOWN) for t in tokens(text)], np.int32)
                     if before is not None:
                         own = np.where(own == UNKNOWN, np.frombuffer(before, np.int32), own)
@@ -286,17 +294,33 @@ def _counted(coded: DataFrame, candidates: DataFrame, n: int, least: int) -> Dat
             for words, starting in (x for batch in batches for x in _slices(batch, LONGEST)):
                 total = total + walker.count(words, starting)
             if not np.isscalar(total):
-                no = np.nonzero(total)[0]
-                yield pd.DataFrame({"shard": shard, "no": no, "a": total[no]})
+                salt = TaskContext.get().partitionId() % SALTS
+                cuts = [total[at : at + CHUNK_PHRASES] for at in range(0, len(total), CHUNK_PHRASES)]
+                some = [k for k, cut in enumerate(cuts) if cut.any()]
+                yield pd.DataFrame({"shard": shard, "chunk": some, "salt": salt, "counts": [cuts[k].tobytes() for k in some]})
 
-        parts.append(coded.mapInPandas(count, "shard int, no int, a long"))
+        parts.append(coded.mapInPandas(count, "shard int, chunk int, salt int, counts binary"))
     if not parts:
         return spark.createDataFrame([], "phrase array<int>, a long")
-    sums = reduce(DataFrame.unionByName, parts).groupBy("shard", "no").agg(F.sum("a").alias("a")).where(F.col("a") >= least)
+    # A task's counts travel as rows of CHUNK_PHRASES, summed first by groups of tasks and then over those.
+    vectors = reduce(DataFrame.unionByName, parts).groupBy("shard", "chunk", "salt")
+    vectors = vectors.applyInPandas(_summed, "shard int, chunk int, salt int, counts binary").groupBy("shard", "chunk")
+    sums = vectors.applyInPandas(_numbered, "shard int, no int, a long").where(F.col("a") >= least)
     phrase = F.filter(F.array(*names), lambda w: w > 0)
     return numbered.join(sums, ["shard", "no"]).select(phrase.alias("phrase"), "a")
 
 
+def _summed(rows: pd.DataFrame) -> pd.DataFrame:
+    total = sum(np.frombuffer(counts, np.int64) for counts in rows["counts"])
+    return rows.iloc[:1].assign(counts=[total.tobytes()])
+
+
+def _numbered(rows: pd.DataFrame) -> pd.DataFrame:
+    total = sum(np.frombuffer(counts, np.int64) for counts in rows["counts"])
+    first = int(rows["chunk"].iloc[0]) * CHUNK_PHRASES
+    return pd.DataFrame({"shard": rows["shard"].iloc[0], "no": first + np.arange(len(total)), "a": total})
+
+
 def _packed(rows: pd.DataFrame) -> pd.DataFrame:
     phrases = rows.sort_values("no")[[f"w{k + 1}" for k in range(LONGEST)]].to_numpy(np.int32)
     trie = DoubleArray(phrases)
