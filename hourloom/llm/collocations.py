@@ -79,10 +79,10 @@ class DoubleArray:
             if counts[node] < 2:
                 break
             own = step[starts[node] : starts[node + 1]]
-            while end + 2 * size + 2 >= len(taken):
-                taken = np.concatenate([taken, np.zeros(len(taken), bool)])
             while taken[low]:
                 low += 1
+            while max(low + 128, end) + 2 * size + 2 >= len(taken):
+                taken = np.concatenate([taken, np.zeros(len(taken), bool)])
             spots = np.concatenate([np.arange(low, low + 128), rng.integers(low, max(low + 1, end), 128), [end + own[0]]])
             bases = np.maximum(spots - own[0], size + 1 - own[0])
             fits = ~taken[bases[:, None] + own].any(axis=1)
