@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from hourloom.catalog import inputs as i
 from hourloom.catalog.inputs import with_tables
 from hourloom.catalog.registry import query
@@ -20,7 +22,13 @@ from hourloom.operators.profile import (
     table_summary,
     within,
 )
-from hourloom.operators.quality import model_input_suite, validate, warehouse_suite
+from hourloom.operators.quality import (
+    expect_not_null,
+    expect_unique,
+    model_input_suite,
+    validate,
+    warehouse_suite,
+)
 from hourloom.operators.series import facets_wide, fill_grid, full_index_check, typed_raw
 from hourloom.sources.holidays import us_holidays
 
@@ -56,6 +64,23 @@ def dq_suite_model_input(spark, sf_dir):
     return rounded(validate(frame, "model_input", suite), "unexpected_pct")
 
 
+@query("dq_suite_two_keys", with_tables("he", """
+    with twice as (select * from he union all select series_id, ts, d + 1 from he where hour(ts) = 12),
+    c as (select count(*) as n, count(d) as nd from twice),
+    t as (select coalesce(sum(k) filter (k > 1), 0)::bigint as u from (select count(*) as k from twice group by series_id, ts)),
+    v as (select coalesce(sum(k) filter (k > 1), 0)::bigint as u from (select count(*) as k from twice where d is not null group by series_id, d))
+    select 'two_keys' as suite, 'unique' as expectation, 'ts' as "column", n, u as n_unexpected,
+      round(u * 100.0 / n, 6) as unexpected_pct, u = 0 as success from c, t
+    union all select 'two_keys', 'unique', 'd', nd, u, round(u * 100.0 / nd, 6), u = 0 from c, v
+    union all select 'two_keys', 'not_null', 'd', n, n - nd, round((n - nd) * 100.0 / n, 6), n = nd from c"""))
+def dq_suite_two_keys(spark, sf_dir):
+    """Times and values are both to be unique within a series; noon comes twice, with another value."""
+    frame = i.hourly_types(spark, sf_dir)
+    twice = frame.unionByName(frame.filter(F.hour("ts") == 12).withColumn("d", F.col("d") + 1))
+    suite = [expect_unique("ts"), expect_unique("d"), expect_not_null("d")]
+    return rounded(validate(twice, "two_keys", suite), "unexpected_pct")
+
+
 @query("full_index_check", with_tables("he", """
     select series_id, min(ts) as start_ts, max(ts) as end_ts, count(*) as n_rows, date_diff('hour', min(ts), max(ts)) + 1 as n_expected,
       count(*) = date_diff('hour', min(ts), max(ts)) + 1 as full_index

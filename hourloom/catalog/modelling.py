@@ -141,18 +141,32 @@ def _variants_sql() -> str:
     return "with " + ",".join(ctes) + ", scores as (" + " union all ".join(parts) + ")"
 
 
-@query("cv_rank", with_tables("he_full", _variants_sql() + """,
-    t as (select series_id, param_set, avg(cast(score as decimal(20,9))) as mean_score, stddev_pop(score) as std_score from scores group by 1, 2)
-    select series_id, param_set, round(mean_score, 6) as mean_score, round(std_score, 6) as std_score,
-      cast(rank() over (partition by series_id order by mean_score desc) as integer) as rank from t"""))
-def cv_rank(spark, sf_dir):
+CV_TABLE_SQL = _variants_sql() + """,
+    t as (select series_id, param_set, avg(cast(score as decimal(20,9))) as mean_score, stddev_pop(score) as std_score from scores group by 1, 2),
+    ranked as (select *, cast(rank() over (partition by series_id order by mean_score desc) as integer) as rank from t)"""
+
+
+def _cv_table(spark, sf_dir):
     frame = staged(add_calendar_features(fill_grid(i.hourly_types(spark, sf_dir))), "cv")
     scores = evaluate.baseline_variant_scores(frame, n_splits=SPLITS, test_size=TEST_HOURS)
     path = work_path(spark, "cv-results")
     # Decimals have exact means, so that equal scores stay equal in either engine.
     evaluate.cv_results(scores.withColumn("score", F.col("score").cast("decimal(20,9)"))).write.parquet(path)
-    table = spark.read.parquet(path).withColumn("mean_score", F.col("mean_score").cast("double"))
-    return rounded(table, "mean_score", "std_score")
+    return spark.read.parquet(path)
+
+
+@query("cv_rank", with_tables("he_full", CV_TABLE_SQL + """
+    select series_id, param_set, round(mean_score, 6) as mean_score, round(std_score, 6) as std_score, rank from ranked"""))
+def cv_rank(spark, sf_dir):
+    table = _cv_table(spark, sf_dir)
+    return rounded(table.withColumn("mean_score", F.col("mean_score").cast("double")), "mean_score", "std_score")
+
+
+@query("best_params", with_tables("he_full", CV_TABLE_SQL + """
+    select series_id, min(param_set) as param_set from ranked where rank = 1 group by 1"""))
+def best_params(spark, sf_dir):
+    """The baseline variant that wins the cross-validation of each series."""
+    return evaluate.best_params(_cv_table(spark, sf_dir))
 
 
 @query("compare_runs", with_tables("runs", """
@@ -306,6 +320,19 @@ def gbt_cv(spark, sf_dir):
     )
 
 
+@query("gbt_folds", with_tables("dord_full", f"""
+    with cut as (select series_id, max(ts) - interval {SPLITS * TREE_TEST_DAYS} day as cut from dord_full group by 1),
+    seg as (select f.series_id, case when ts <= cut then 0 else (date_diff('day', cut, ts) - 1) // {TREE_TEST_DAYS} + 1 end as s
+      from dord_full f join cut c on c.series_id = f.series_id),
+    sized as (select series_id, s, count(*) as n from seg group by 1, 2)
+    select series_id, cast(s as integer) as fold,
+      cast(sum(n) over (partition by series_id order by s rows between unbounded preceding and 1 preceding) as bigint) as n_train, n as n_test
+    from sized qualify s > 0"""))
+def gbt_folds(spark, sf_dir):
+    """How many rows each of the folds of `gbt_cv` and `train_pipeline` trains on and is scored on."""
+    return boosting.fold_sizes(_gbt_frame(spark, sf_dir), SPLITS, TREE_TEST_DAYS, DAY)
+
+
 @query("gbt_early_stop")
 def gbt_early_stop(spark, sf_dir):
     """The validation error of every number of trees up to the stop, with the best one."""

@@ -17,7 +17,7 @@ from hourloom.plans.pipelines import requests_for, training_params
 from hourloom.functions.time import range_key
 from hourloom.session import work_path
 from hourloom.sources import files, paged
-from hourloom.sources.holidays import us_holidays
+from hourloom.sources.holidays import holidays_from_json, load_holidays, us_holidays
 from hourloom.sources.store import (
     fetch_range,
     read_chunk_index,
@@ -150,6 +150,25 @@ def holiday_dim(spark, sf_dir):
     )
 
 
+@query("holiday_files", """
+    with dim(holiday_date, name) as (values (date '2024-01-01', 'New Year''s Day'), (date '2024-01-15', 'Martin Luther King Jr. Day'))
+    select source, holiday_date, name, count(event_id) as n_events
+    from dim cross join (values ('csv'), ('json')) t(source) left join events on cast(ts as date) = holiday_date
+    group by all having count(event_id) > 0""")
+def holiday_files(spark, sf_dir):
+    """The dimension written as a CSV file and as yearly JSON answers and loaded from both, with the events of each holiday."""
+    path = work_path(spark, "holidays")
+    dim = us_holidays(spark)
+    dim.select(F.col("holiday_date").alias("date"), "name").write.option("header", True).csv(path)
+    entry = F.struct("name", F.struct(F.col("holiday_date").cast("string").alias("iso")).alias("date"))
+    years = dim.groupBy(F.year("holiday_date")).agg(F.collect_list(entry).alias("holidays"))
+    pages = years.select(F.to_json(F.struct(F.struct("holidays").alias("response"))).alias("body"))
+    loaded = {"csv": load_holidays(spark, path), "json": holidays_from_json(pages)}
+    both = concat([rows.select(F.lit(source).alias("source"), "holiday_date", "name") for source, rows in loaded.items()])
+    days = i.table(spark, sf_dir, "events").groupBy(F.to_date("ts").alias("holiday_date")).agg(F.count("*").alias("n_events"))
+    return both.join(days, "holiday_date").select("source", "holiday_date", "name", "n_events")
+
+
 @query("holidays_hit", """
     with dim(holiday_date, name) as (values (date '2024-01-01', 'New Year''s Day'),
       (date '2024-01-15', 'Martin Luther King Jr. Day'))

@@ -31,7 +31,7 @@ from hourloom.operators.folds import holdout_split, trailing_window, ts_folds
 from hourloom.operators.intervals import intersect_intervals, merge_intervals
 from hourloom.sources.store import staged
 from hourloom.operators.numbering import missing_ranges
-from hourloom.operators.profile import list_duplicates, reconcile
+from hourloom.operators.profile import list_duplicates, reconcile, reconcile_counts
 from hourloom.operators.chunks import chunk_index
 from hourloom.operators.series import (
     concat_series,
@@ -228,6 +228,22 @@ def concat_series_query(spark, sf_dir):
     return sort_series(concat_series([stored, fresh]))
 
 
+@query("reconcile_counts", with_tables("ds", """
+    with a as (select series_id, ts, case when day(ts) % 10 = 1 then d + 1 else d end as d, case when d >= 20000 then d end as adjusted_d from ds),
+    b as (select series_id, ts, case when d >= 40000 then d end as d from ds where day(ts) <> 5)
+    select series_id, count(*) as n_shared, count(*) filter (a.d is distinct from b.d) as n_different,
+      count(*) filter (b.d is null) as n_null_raw, count(*) filter (b.d is null and adjusted_d is null) as n_not_adjusted
+    from a join b using (series_id, ts) group by 1"""))
+def reconcile_counts_query(spark, sf_dir):
+    """A published extract with adjusted values against raw values: days missing on one side, nulls and differing values."""
+    series, d = i.daily_parts(spark, sf_dir), F.col("d")
+    published = series.select(
+        "series_id", "ts", F.when(F.dayofmonth("ts") % 10 == 1, d + 1).otherwise(d).alias("d"), F.when(d >= 20000, d).alias("adjusted_d")
+    )
+    raw = series.filter(F.dayofmonth("ts") != 5).withColumn("d", F.when(d >= 40000, d))
+    return reconcile_counts(published, raw)
+
+
 @query("reconcile_sources", with_tables("hu_raw", f"""
     select a.series_id, a.ts, a.value as d, b.value as other_d
     from ({TYPED_SQL.format(raw="hu_raw")}) a join ({TYPED_SQL.format(raw="hu_raw")}) b

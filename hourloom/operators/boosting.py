@@ -197,6 +197,17 @@ def cross_validate(
     return spark.createDataFrame(scores, "param_set string, fold int, score double, fit_seconds double")
 
 
+def fold_sizes(
+    df: DataFrame, n_splits: int = CV_SPLITS, test_size: int = TEST_SET_HOURS, step: timedelta | None = HOUR
+) -> DataFrame:
+    """(series_id, fold, n_train, n_test): the rows of each series that every fold trains on and is scored on."""
+    segments = with_segment(df, n_splits, test_size, step).groupBy("series_id", "segment").agg(F.count("*").alias("n_test"))
+    # At most n_splits + 1 rows a series.
+    before = Window.partitionBy("series_id").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
+    sized = segments.withColumn("n_train", F.coalesce(F.sum("n_test").over(before), F.lit(0)))
+    return sized.filter("segment > 0").select("series_id", F.col("segment").alias("fold"), "n_train", "n_test")
+
+
 def search_results(scores: DataFrame) -> DataFrame:
     """The cross-validation table over parameter sets, best first, with mean fit time."""
     times = scores.groupBy("param_set").agg(F.avg("fit_seconds").alias("mean_fit_seconds"))

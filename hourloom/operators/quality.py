@@ -118,12 +118,13 @@ REPORT = T.StructType(
 
 
 def report(df: DataFrame, suite: str, expectations: Sequence[Expectation]) -> DataFrame:
-    """One result row per expectation."""
+    """One result row per expectation.
+
+    All counts come from one pass and one shuffle: rows are grouped by the columns of a unique check, or, if the suite has
+    unique checks on several keys, by grouping sets over all of them; other checks count the groups of the first key.
+    """
     checks = [e for e in expectations if e.schema_test is None and e.column in df.columns]
-    unique = [e for e in checks if e.unique_on]
-    keys = {e.unique_on for e in unique}
-    if len(keys) > 1:
-        raise ValueError("a suite can check one unique key")
+    keys = list(dict.fromkeys(tuple(sorted(set(e.unique_on))) for e in checks if e.unique_on))
 
     firsts = [F.count("*").alias("_n")]
     for i, e in enumerate(checks):
@@ -132,16 +133,29 @@ def report(df: DataFrame, suite: str, expectations: Sequence[Expectation]) -> Da
             counted = F.lit(True) if e.count_nulls else column.isNotNull()
             firsts.append(F.count_if(counted).alias(f"_n{i}"))
             firsts.append(F.count_if(counted & e.unexpected(column)).alias(f"_u{i}"))
-    first = df.groupBy(*next(iter(keys), ())).agg(*firsts)
+    if len(keys) > 1:
+        columns = sorted({c for key in keys for c in key})
+        first = df.groupingSets([[F.col(c) for c in key] for key in keys], *columns).agg(
+            F.grouping_id().alias("_set"), *firsts
+        )
+        # The bits of grouping_id are the columns that a set leaves out, the last column lowest.
+        sets = [sum(1 << k for k, c in enumerate(reversed(columns)) if c not in key) for key in keys]
+    else:
+        first = df.groupBy(*next(iter(keys), ())).agg(F.lit(0).alias("_set"), *firsts)
+        sets = [0]
+
+    def own(number: int, value: Column) -> Column:
+        return F.when(F.col("_set") == number, value)
 
-    totals = [F.coalesce(F.sum("_n"), F.lit(0)).alias("_n")]
+    totals = [F.coalesce(F.sum(own(sets[0], F.col("_n"))), F.lit(0)).alias("_n")]
     for i, e in enumerate(checks):
         if e.unique_on:
+            group = own(sets[keys.index(tuple(sorted(set(e.unique_on))))], F.col("_n"))
             present = F.col(e.column).isNotNull()
-            n = F.sum(F.when(present, F.col("_n")))
-            u = F.sum(F.when(present & (F.col("_n") > 1), F.col("_n")))
+            n = F.sum(F.when(present, group))
+            u = F.sum(F.when(present & (F.col("_n") > 1), group))
         else:
-            n, u = F.sum(f"_n{i}"), F.sum(f"_u{i}")
+            n, u = F.sum(own(sets[0], F.col(f"_n{i}"))), F.sum(own(sets[0], F.col(f"_u{i}")))
         totals.append(F.coalesce(n, F.lit(0)).alias(f"_n{i}"))
         totals.append(F.coalesce(u, F.lit(0)).alias(f"_u{i}"))
     total = first.agg(*totals)

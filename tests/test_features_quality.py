@@ -149,6 +149,20 @@ def test_not_null_with_a_required_share(series, caplog):
         q.validate(eight, "w", q.warehouse_suite(), on_fail="raise")
 
 
+def test_several_unique_keys_take_one_shuffle(spark):
+    rows = [("a", 1, 1.0, "x"), ("a", 1, 2.0, "x"), ("b", 1, 2.0, None), ("b", 2, 2.0, "y"), (None, 2, None, "y"), (None, 2, 3.0, "z")]
+    df = spark.createDataFrame(rows, "series_id string, ts int, d double, k string")
+    suite = [q.expect_unique("ts"), q.expect_unique("d"), q.expect_unique("k", within=()), q.expect_not_null("k"), q.expect_between("d", 2, 9)]
+    result = q.report(df, "s", suite)
+    got = [(r.expectation, r.column, r.n, r.n_unexpected) for r in result.collect()]
+    assert got == [("unique", "ts", 6, 4), ("unique", "d", 5, 2), ("unique", "k", 5, 4), ("not_null", "k", 6, 1), ("between", "d", 5, 1)]
+    alone = [(r.n, r.n_unexpected) for e in suite for r in q.report(df, "s", [e]).collect()]
+    assert [g[2:] for g in got] == alone
+    plan = q.report(df, "s", suite)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Expand") == 1
+    assert [r.n for r in q.report(df.limit(0), "s", suite).collect()] == [0] * 5
+
+
 def test_model_input_suite(series, spark):
     ts = hours("2024-01-01", 5)
     frame = f.add_features(series([(ts[0], 50), (ts[0], 60), (ts[1], None), (ts[2], 500), (ts[3], 100)]), h.us_holidays(spark))
