@@ -12,12 +12,14 @@ from hourloom.catalog.registry import query
 from hourloom.consts import DAY, HOUR
 from hourloom.operators.chunks import chunk_index, update_chunk_index
 from hourloom.operators.features import holidays_hit
+from hourloom.operators.lookup import lookup
 from hourloom.operators.series import concat, fill_grid, time_bounds, typed_raw
 from hourloom.plans.pipelines import requests_for, training_params
 from hourloom.functions.time import range_key
 from hourloom.session import work_path
 from hourloom.sources import files, paged
 from hourloom.sources.holidays import holidays_from_json, load_holidays, us_holidays
+from hourloom.sources.sketches import RANK_ERROR, stored_quantiles, write_sketches
 from hourloom.sources.store import (
     fetch_range,
     read_chunk_index,
@@ -221,6 +223,34 @@ def upsert_result(spark, sf_dir):
     return read_chunks(spark, store).select("series_id", "ts", "d")
 
 
+QUANTILES = (0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0)
+
+
+@query("sketch_quantiles", with_tables("ds_full", f"""
+    select series_id, p, count(d) as n, true as within_error from ds_full, (values {", ".join(f"({p:.2f}::double)" for p in QUANTILES)}) t(p)
+    group by all having count(d) > 0"""))
+def sketch_quantiles(spark, sf_dir):
+    """Quantiles from the chunk sketches of a store that was updated once, and whether their true rank among the stored
+    rows is as near as promised."""
+    filled = fill_grid(i.daily_parts(spark, sf_dir), DAY)
+    store = i.new_store(i.until(filled, OLD_END), DAY)
+    write_sketches(spark, store)
+    upsert_chunks(i.since(filled, NEW_START), store, DAY)
+    wide = staged(stored_quantiles(spark, store, QUANTILES), "quantiles")
+    pairs = F.array(*[F.struct(F.lit(p).alias("p"), F.col(f"q{k}").alias("q")) for k, p in enumerate(QUANTILES)])
+    rows = read_chunks(spark, store).filter("d is not null").select("series_id", "d")
+    ranked = lookup(rows, wide.select("series_id", "n", pairs.alias("_pairs")), ["series_id"], how="inner")
+    counts = [
+        F.struct(F.count_if(F.col("d") < F.col("_pairs")[k]["q"]).alias("below"), F.count_if(F.col("d") <= F.col("_pairs")[k]["q"]).alias("upto"))
+        for k in range(len(QUANTILES))
+    ]
+    sums = ranked.groupBy("series_id", "n").agg(*[c.alias(f"c{k}") for k, c in enumerate(counts)])
+    each = F.array(*[F.struct(F.lit(p).alias("p"), F.col(f"c{k}").alias("c")) for k, p in enumerate(QUANTILES)])
+    p, n = F.col("x.p"), F.col("n")
+    near = (F.col("x.c.below") / n <= p + RANK_ERROR) & (F.col("x.c.upto") / n >= p - RANK_ERROR)
+    return sums.select("series_id", "n", F.explode(each).alias("x")).select("series_id", p.alias("p"), "n", near.alias("within_error"))
+
+
 @query("chunk_index_update", with_tables("ds_bounds", CHUNK_SQL.format(bounds="ds_bounds")))
 def chunk_index_update(spark, sf_dir):
     filled = fill_grid(i.daily_parts(spark, sf_dir), DAY)

@@ -112,6 +112,16 @@ def read_chunks(spark: SparkSession, store: str, parts: Collection[Part] | None
     return rows.filter(current).select(*[f.name for f in STORED_SERIES])
 
 
+def current_parts(spark: SparkSession, store: str) -> dict[Part, int]:
+    """The data version that readers use of each part."""
+    return _places(spark, store)[0]
+
+
+def data_of_version(spark: SparkSession, store: str, version: int) -> DataFrame:
+    """All rows that one update wrote, with year, quarter and bucket."""
+    return spark.read.schema(_STORED).parquet(f"{store}/data/version={version}")
+
+
 def _quarter_no(ts: datetime) -> int:
     return ts.year * 10 + (ts.month + 2) // 3
 
@@ -173,8 +183,7 @@ def write_store(df: DataFrame, store: str, step: timedelta = HOUR, buckets: int
     spark = df.sparkSession
     version = _index_versions(spark, store)[1] + 1
     write_chunks(df, store, version, buckets)
-    rows = spark.read.schema(_STORED).parquet(f"{store}/data/version={version}")
-    index = staged(chunk_index(time_bounds(rows), step), "chunk-index")
+    index = staged(chunk_index(time_bounds(data_of_version(spark, store, version)), step), "chunk-index")
     write_chunk_index(index, store, version, dict.fromkeys(_parts(index, buckets), version), buckets)
 
 

@@ -91,6 +91,32 @@ def test_history_is_read_from_the_parts_of_its_series(spark, series):
     assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
 
 
+def test_sketches_merge_follow_updates_and_stay_within_their_error(spark, series):
+    from hourloom.sources import sketches as sk
+
+    rnd = __import__("random").Random(1)
+    path = work_path(spark, "store")
+    values = {sid: [(t, None if k % 50 == 3 else rnd.lognormvariate(3, 2)) for k, (t, _) in enumerate(days("2015-01-01", 2500, 0))] for sid in "abc"}
+    values["d"] = days("2015-01-01", 5, 2.5)
+    values["e"] = days("2015-01-01", 5, None)
+    st.write_store(series({sid: rows[:2000] for sid, rows in values.items()}), path, DAY, buckets=3)
+    assert sk.write_sketches(spark, path) == [1] and sk.write_sketches(spark, path) == []
+    st.upsert_chunks(series({"a": values["a"][1990:]}), path, DAY)
+    stored = {sid: [v for _, v in (rows if sid == "a" else rows[:2000]) if v is not None] for sid, rows in values.items()}
+    probs = (0.0, 0.01, 0.3, 0.5, 0.9, 1.0)
+    got = {r.series_id: r for r in sk.stored_quantiles(spark, path, probs).collect()}
+    assert set(got) == set("abcd") and {s: r.n for s, r in got.items()} == {s: len(stored[s]) for s in "abcd"}
+    assert (got["d"].q0, got["d"].q3, got["d"].q5) == (2.5, 2.5, 2.5)
+    for sid in "abc":
+        own = sorted(stored[sid])
+        assert (got[sid].q0, got[sid].q5) == (own[0], own[-1])
+        for k, p in enumerate(probs):
+            below, upto = sum(v < got[sid][f"q{k}"] for v in own), sum(v <= got[sid][f"q{k}"] for v in own)
+            assert below / len(own) <= p + sk.RANK_ERROR and upto / len(own) >= p - sk.RANK_ERROR
+    bucket = spark.range(1).select(st.bucket_of(F.lit("a"), 3)).first()[0]
+    assert {r.bucket for r in spark.read.parquet(f"{path}/sketches/version=2").select("bucket").collect()} == {bucket}
+
+
 def test_upserting_twice_changes_nothing(spark, series, stored):
     fresh = series(days("2016-12-01", 60, 2))
     st.upsert_chunks(fresh, stored, DAY)
