@@ -69,16 +69,15 @@ def number_rows(
     )
 
 
-def missing_ranges(df: DataFrame, step: timedelta) -> DataFrame:
-    """Maximal runs of missing steps between the first and last row of each series.
+def _step_bucket(step: timedelta) -> Column:
+    """Stretches of BUCKET_STEPS steps, so that no group of ordered rows is larger."""
+    return F.floor(epoch_seconds("ts") / (int(step.total_seconds()) * BUCKET_STEPS))
 
-    A bucket spans BUCKET_STEPS steps, so that no group of ordered rows is larger.
-    """
-    seconds = int(step.total_seconds()) * BUCKET_STEPS
-    rows = df.select("series_id", "ts", F.floor(epoch_seconds("ts") / seconds).alias("_bucket"))
-    within = Window.partitionBy("series_id", "_bucket").orderBy("ts")
-    inside = rows.select("series_id", "ts", F.lead("ts").over(within).alias("next_ts"))
-    across = (
+
+def _between_buckets(df: DataFrame, step: timedelta) -> DataFrame:
+    """(series_id, ts, next_ts): the last row of each bucket and the first of the series' next one that has any."""
+    rows = df.select("series_id", "ts", _step_bucket(step).alias("_bucket"))
+    return (
         rows.groupBy("series_id", "_bucket")
         .agg(F.min("ts").alias("first_ts"), F.max("ts").alias("ts"))
         .select(
@@ -89,14 +88,44 @@ def missing_ranges(df: DataFrame, step: timedelta) -> DataFrame:
             .alias("next_ts"),
         )
     )
+
+
+def _next_in_bucket(df: DataFrame, step: timedelta) -> DataFrame:
+    """`df` with ``_next``, the next ts of the series in the row's bucket."""
+    within = Window.partitionBy("series_id", "_bucket").orderBy("ts")
+    rows = df.withColumn("_bucket", _step_bucket(step))
+    return rows.withColumn("_next", F.lead("ts").over(within)).drop("_bucket")
+
+
+def _missing(rows: DataFrame, step: timedelta) -> DataFrame:
+    """The runs of missing steps between ts and next_ts."""
     width = F.lit(step)
-    return (
-        inside.unionByName(across)
-        .filter(F.col("next_ts") > F.col("ts") + width)
-        .select(
-            "series_id",
-            (F.col("ts") + width).alias("start_ts"),
-            (F.col("next_ts") - width).alias("end_ts"),
-            (steps_between("ts", "next_ts", step) - 1).alias("n_missing"),
-        )
+    return rows.filter(F.col("next_ts") > F.col("ts") + width).select(
+        "series_id",
+        (F.col("ts") + width).alias("start_ts"),
+        (F.col("next_ts") - width).alias("end_ts"),
+        (steps_between("ts", "next_ts", step) - 1).alias("n_missing"),
+    )
+
+
+def missing_ranges(df: DataFrame, step: timedelta) -> DataFrame:
+    """Maximal runs of missing steps between the first and last row of each series."""
+    inside = _next_in_bucket(df.select("series_id", "ts"), step).withColumnRenamed("_next", "next_ts")
+    return _missing(inside.unionByName(_between_buckets(df, step)), step)
+
+
+def with_missing_steps(df: DataFrame, step: timedelta) -> tuple[DataFrame, DataFrame]:
+    """`df`, each row followed by the steps missing behind it in its bucket, their other columns null; and the runs of steps
+    missing between buckets, which can be of any length.
+
+    One shuffle and one sort of the rows there are; missing steps are made where they belong and never move.
+    """
+    others = [c for c in df.columns if c not in ("series_id", "ts")]
+    lacking = F.greatest(F.lit(0), F.coalesce(steps_between("ts", "_next", step) - 1, F.lit(0)))
+    stepped = _next_in_bucket(df, step).withColumn("_k", F.explode(F.sequence(F.lit(0).cast("bigint"), lacking.cast("bigint"))))
+    rows = stepped.select(
+        "series_id",
+        (F.col("ts") + F.lit(step) * F.col("_k")).alias("ts"),
+        *[F.when(F.col("_k") == 0, F.col(c)).alias(c) for c in others],
     )
+    return rows.select(*df.columns), _missing(_between_buckets(df, step), step)

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from hourloom.consts import HOUR
 from hourloom.functions.time import epoch_seconds, ntz, steps_between, to_utc
 from hourloom.functions.values import strict_numeric
+from hourloom.operators.lookup import lookup
+from hourloom.operators.numbering import with_missing_steps
 from hourloom.session import shuffle_partitions
 
 #: Steps generated by one input row of the second grid level.
@@ -37,7 +39,7 @@ def make_grid(bounds: DataFrame, step: timedelta = HOUR) -> DataFrame:
         steps_between("start_ts", "end_ts", step).alias("_last"),
     ).withColumn("_block", F.explode(F.sequence(F.lit(0), F.floor(F.col("_last") / GRID_BLOCK))))
     spread = blocks.repartition(
-        shuffle_partitions(bounds.sparkSession), "series_id", "_block"
+        shuffle_partitions(bounds.sparkSession), "series_id", "start_ts", "_block"
     )
     first = F.col("_block") * GRID_BLOCK
     return spread.select(
@@ -50,12 +52,34 @@ def make_grid(bounds: DataFrame, step: timedelta = HOUR) -> DataFrame:
 def fill_grid(df: DataFrame, step: timedelta = HOUR, bounds: DataFrame | None = None) -> DataFrame:
     """Every step of each series, with nulls where `df` has no row.
 
-    The grid spans the data unless `bounds` (series_id, start_ts, end_ts) says otherwise.
-    The data are of the grid's own order of size, so they are sort-merged, which can
-    spill, and never broadcast.
+    The grid spans the data unless `bounds` (series_id, start_ts, end_ts), one row a series, says otherwise; rows that are
+    not on it are left out. Rows are ordered once, in stretches of time, and each is followed by the steps that are missing
+    behind it; only what is missing between stretches and at the ends of `bounds` is generated apart. No grid is joined.
     """
-    grid = make_grid(time_bounds(df) if bounds is None else bounds, step)
-    return grid.join(df.hint("merge"), ["series_id", "ts"], "left").select(*df.columns)
+    spans = (time_bounds(df) if bounds is None else bounds).select(
+        "series_id", F.col("start_ts").alias("_start"), F.col("end_ts").alias("_end")
+    )
+    on_grid = F.pmod(epoch_seconds("ts") - epoch_seconds("_start"), F.lit(step.total_seconds())) == 0
+    known = lookup(df, spans, ["series_id"], how="inner").filter(on_grid & F.col("ts").between(F.col("_start"), F.col("_end")))
+    known = known.drop("_start", "_end")
+    rows, gaps = with_missing_steps(known, step)
+    gaps = gaps.select("series_id", "start_ts", "end_ts")
+    if bounds is not None:
+        ends = known.groupBy("series_id").agg(F.min("ts").alias("_first"), F.max("ts").alias("_last"))
+        width = F.lit(step)
+        sides = lookup(spans, ends, ["series_id"]).select(
+            "series_id",
+            F.explode(
+                F.when(F.col("_first").isNull(), F.array(F.struct(F.col("_start").alias("start_ts"), F.col("_end").alias("end_ts")))).otherwise(
+                    F.array(
+                        F.struct(F.col("_start").alias("start_ts"), (F.col("_first") - width).alias("end_ts")),
+                        F.struct((F.col("_last") + width).alias("start_ts"), F.col("_end").alias("end_ts")),
+                    )
+                )
+            ).alias("g"),
+        )
+        gaps = gaps.unionByName(sides.select("series_id", "g.start_ts", "g.end_ts").filter("start_ts <= end_ts"))
+    return rows.unionByName(make_grid(gaps, step), allowMissingColumns=True).select(*df.columns)
 
 
 def dedupe_first(df: DataFrame, keys: Sequence[str], priority: str) -> DataFrame:
