@@ -33,44 +33,6 @@ def test_fill_grid_keeps_every_step_and_drops_rows_off_the_grid(series):
     assert collected(s.fill_grid(df), "ts", "d") == list(zip(ts, [1.0, None, None, None, 5.0]))
 
 
-def test_fill_grid_against_brute_force(spark, monkeypatch):
-    """Also over many stretches, with long gaps, repeated rows, rows off the grid or outside, and bounds of series without rows."""
-    from hourloom.operators import numbering
-
-    monkeypatch.setattr(numbering, "BUCKET_STEPS", 7)
-    rnd = random.Random(6)
-    t0 = at("2024-01-01T03:00")
-    rows = []
-    for sid in "abc":
-        for k in sorted(rnd.sample(range(400), {"a": 250, "b": 5, "c": 1}[sid])):
-            rows += [(sid, t0 + k * HOUR, float(k))] * (1 + (k % 9 == 0))
-    rows += [("a", t0 + 13.5 * HOUR, 1.0), (None, t0, 2.0), ("a", None, 3.0)]
-    df = spark.createDataFrame(rows, "series_id string, ts timestamp_ntz, d double")
-
-    def want(spans):
-        out = []
-        for sid, start, end in spans:
-            t = start
-            while t <= end:
-                out += [r for r in rows if r[:2] == (sid, t)] or [(sid, t, None)]
-                t += HOUR
-        return ordered(out)
-
-    own = [(sid, min(r[1] for r in rows if r[0] == sid and r[1]), max(r[1] for r in rows if r[0] == sid and r[1])) for sid in "abc"]
-    assert collected(s.fill_grid(df)) == want(own)
-    asked = [("a", t0 + 100 * HOUR, t0 + 120 * HOUR), ("b", t0 - 20 * HOUR, t0 + 500 * HOUR), ("z", t0, t0 + 9 * HOUR), ("c", t0 + 900 * HOUR, t0 + 901 * HOUR)]
-    bounds = spark.createDataFrame(asked, "series_id string, start_ts timestamp_ntz, end_ts timestamp_ntz")
-    assert collected(s.fill_grid(df, bounds=bounds)) == want(asked)
-    assert s.fill_grid(df.limit(0)).count() == 0
-
-
-def test_fill_grid_joins_no_grid(spark):
-    df = spark.createDataFrame([("a", at("2024-01-01"), 1.0)], "series_id string, ts timestamp_ntz, d double")
-    plan = s.fill_grid(df)._jdf.queryExecution().executedPlan().toString()
-    joins = [line for line in plan.splitlines() if "Join" in line]
-    assert joins and all("ts#" not in line.split("Join")[1].split("]")[0] for line in joins)  # by series only
-
-
 def test_fill_grid_with_request_bounds(spark, series):
     ts = hours("2024-01-01T00:00", 4)
     bounds = spark.createDataFrame([("a", ts[0], ts[3])], "series_id string, start_ts timestamp_ntz, end_ts timestamp_ntz")
