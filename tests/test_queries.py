@@ -22,7 +22,7 @@ ROWS_ONLY = {
     "train_pipeline",
 }
 # A whole-frame report ends in one row per check or column.
-GLOBAL_REPORTS = {"dq_suite_warehouse", "dq_suite_model_input", "table_summary"}
+GLOBAL_REPORTS = {"dq_suite_warehouse", "dq_suite_model_input", "dq_suite_two_keys", "table_summary"}
 
 
 @pytest.fixture(scope="module")
