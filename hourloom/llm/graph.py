@@ -165,6 +165,7 @@ def index(vectors: DataFrame, members: int = NEAREST + 1, shard_rows: int = SHAR
     sized = nodes.withColumn("dim", F.size("e"))
     dims = sized.groupBy("dim").agg(F.ceil(F.count("*") / shard_rows).alias("shards"))
     dealt = sized.join(dims, "dim").withColumn("shard", F.pmod(F.xxhash64("node", "dim"), F.col("shards")).cast("int"))
+    tasks = max(1, dims.agg(F.sum("shards")).first()[0] or 0)  # small in bytes, long in work: one task a shard
 
     def build(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("node", kind="stable")
@@ -182,7 +183,7 @@ def index(vectors: DataFrame, members: int = NEAREST + 1, shard_rows: int = SHAR
         )
 
     e_type = nodes.schema["e"].dataType.simpleString()
-    return dealt.groupBy("dim", "shard").applyInPandas(
+    return dealt.repartition(tasks, "dim", "shard").groupBy("dim", "shard").applyInPandas(
         build, f"dim int, shard int, no int, start int, ids array<long>, e {e_type}, edges array<int>"
     )
 
@@ -232,7 +233,9 @@ def search(graph: DataFrame, queries: DataFrame, nearest: int = NEAREST, beam: i
                         out["score"].append(score)
         return pd.DataFrame(out)
 
-    pairs = sides.groupBy("dim", "shard", "block").cogroup(wanted.groupBy("dim", "shard", "block"))
+    key = ["dim", "shard", "block"]
+    tasks = max(1, sides.select(*key).distinct().count())
+    pairs = sides.repartition(tasks, *key).groupBy(*key).cogroup(wanted.repartition(tasks, *key).groupBy(*key))
     found = pairs.applyInPandas(answer, "query long, query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= nearest).select("query", "query_id", "rank", "vec_id", "score")
