@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
@@ -202,6 +203,7 @@ def _supported(coded: DataFrame, lengths: tuple[int, ...], pairs, least: int) ->
 
     def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         heads, tails, held = np.empty(BUFFER, np.int64), np.zeros(BUFFER, np.int64), 0
+        known = None if pairs is None else _opened(pairs.value, PAIR_BITS)
 
         def rows() -> Iterator[pd.DataFrame]:
             head, tail = heads[:held], tails[:held]
@@ -221,9 +223,9 @@ def _supported(coded: DataFrame, lengths: tuple[int, ...], pairs, least: int) ->
         for words, starting in (x for batch in batches for x in _slices(batch, longest)):
             good = words > 0
             link = good[:-1] & good[1:]
-            if pairs is not None and len(words) > 1:
+            if known is not None and len(words) > 1:
                 spots = _spot(words[:-1], words[1:], PAIR_BITS)
-                link &= (pairs.value[spots >> np.uint64(3)] >> (spots & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+                link &= (known[spots >> np.uint64(3)] >> (spots & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
             run = link
             for k in range(2, longest + 1):
                 if k > 2:
@@ -261,14 +263,22 @@ def _pair_bits(pairs: DataFrame, bits: int):
     def pack(rows: pd.DataFrame) -> pd.DataFrame:
         chunk = np.zeros(CHUNK_BITS, bool)
         chunk[rows["spot"]] = True
-        return pd.DataFrame({"chunk": rows["chunk"].iloc[:1], "bits": [np.packbits(chunk, bitorder="little").tobytes()]})
+        packed = zlib.compress(np.packbits(chunk, bitorder="little").tobytes(), 1)
+        return pd.DataFrame({"chunk": rows["chunk"].iloc[:1], "bits": [packed]})
 
     chunks = pairs.mapInPandas(spots, "chunk long, spot long").distinct().groupBy("chunk").applyInPandas(pack, "chunk long, bits binary")
+    rows = chunks.collect()  # at most bits / CHUNK_BITS rows, `bits` in all, and packed
+    return pairs.sparkSession.sparkContext.broadcast([(row.chunk, bytes(row.bits)) for row in rows])
+
+
+def _opened(packed: list[tuple[int, bytes]], bits: int) -> np.ndarray:
+    """The broadcast set as an array of bytes."""
     size = CHUNK_BITS // 8
     whole = np.zeros(bits // 8, np.uint8)
-    for row in chunks.collect():  # at most bits / CHUNK_BITS rows, `bits` in all
-        whole[row.chunk * size : (row.chunk + 1) * size] = np.frombuffer(row.bits, np.uint8)
-    return pairs.sparkSession.sparkContext.broadcast(whole)
+    for chunk, data in packed:
+        own = np.frombuffer(zlib.decompress(data), np.uint8)
+        whole[chunk * size : chunk * size + len(own)] = own
+    return whole
 
 
 def _counted(coded: DataFrame, candidates: DataFrame, n: int, least: int) -> DataFrame:
@@ -287,7 +297,7 @@ def _counted(coded: DataFrame, candidates: DataFrame, n: int, least: int) -> Dat
         arrays = numbered.where(F.col("shard") == shard).groupBy("shard").applyInPandas(_packed, "trie binary").collect()
         if not arrays:
             continue
-        trie = spark.sparkContext.broadcast(arrays[0].trie)
+        trie = spark.sparkContext.broadcast(bytes(arrays[0].trie))
 
         def count(batches: Iterator[pd.DataFrame], trie=trie, shard=shard) -> Iterator[pd.DataFrame]:
             walker, total = _unpacked(trie.value), 0
@@ -326,11 +336,11 @@ def _packed(rows: pd.DataFrame) -> pd.DataFrame:
     trie = DoubleArray(phrases)
     head = np.array([len(trie.words), len(trie.base), trie.size, trie.depth], np.int32)
     arrays = (head, trie.words.astype(np.int32), trie.labels.astype(np.int32), trie.base, trie.check, trie.accepts)
-    return pd.DataFrame({"trie": [b"".join(a.tobytes() for a in arrays)]})
+    return pd.DataFrame({"trie": [zlib.compress(b"".join(a.tobytes() for a in arrays), 1)]})
 
 
 def _unpacked(data: bytes) -> DoubleArray:
-    trie, values = DoubleArray.__new__(DoubleArray), np.frombuffer(data, np.int32)
+    trie, values = DoubleArray.__new__(DoubleArray), np.frombuffer(zlib.decompress(data), np.int32)
     n, slots, trie.size, trie.depth = (int(x) for x in values[:4])
     cuts = np.cumsum([4, n, n, slots, slots])
     _, trie.words, labels, trie.base, trie.check, trie.accepts = np.split(values, cuts)

@@ -63,10 +63,10 @@ def mined(spark, rows, least):
 @pytest.mark.parametrize("least, shard", [(30, 500_000), (5, 7), (2, 3)])
 def test_against_brute_force(spark, monkeypatch, least, shard):
     """Also with vocabulary and candidates in many shards, few bits, and words looked at in small slices."""
-    for name, value in (("VOCABULARY", shard), ("TRIE", 10 * shard), ("PAIR_BITS", 1 << 16 if shard > 100 else 1 << 9)):
+    for name, value in (("VOCABULARY", shard), ("TRIE", 10 * shard), ("PAIR_BITS", 1 << 18 if shard > 100 else 1 << 16)):
         monkeypatch.setattr(c, name, value)
     if shard < 100:
-        for name, value in (("CHUNK_BITS", 1 << 6), ("SLICE", 11), ("ROWS", 5), ("BUFFER", 64), ("HELD_WORDS", 9), ("ROW_WORDS", 4), ("SALTS", 2)):
+        for name, value in (("SLICE", 11), ("ROWS", 5), ("BUFFER", 64), ("HELD_WORDS", 9), ("ROW_WORDS", 4), ("SALTS", 2)):
             monkeypatch.setattr(c, name, value)
     rows = some_rows(least, 400)
     phrases = mined(spark, rows, least)
