@@ -19,7 +19,7 @@ SF_DIR = "/root/testdata/sf0.001"
 
 def test_every_query_is_registered():
     names = driver.queries()
-    assert {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in queries.QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in queries.QUERIES}
     assert set(queries.QUERIES) | {"pipeline"} <= set(names)
     assert set(queries.ORACLES) <= set(driver.oracle_sql())
 
