@@ -1,5 +1,5 @@
-"""Mixing sources to target weights: blocks of sources by the time at which their exact weight is due, or, for weights given as
-whole parts, in windows of a fair schedule, earliest deadline first."""
+"""Mixing sources to target weights: blocks of sources in the windows of a fair (Pfair) schedule, earliest deadline first. Frames of
+the schedule take whole blocks by exact weights or by given whole parts."""
 
 from __future__ import annotations
 
@@ -9,9 +9,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourloom.llm.common import find, pick, staged
+from hourloom.session import shuffle_partitions
 
 BLOCK_ROWS = 4
-FRAME_BLOCKS = 100  # slots of a frame in the SQL of op5, which rounds weights to whole parts
+FRAME_BLOCKS = 100  # slots of a frame, about; the SQL of op5 rounds weights to whole parts of as many
+RUN_BLOCKS = 1024  # blocks made by one row
 BUCKET_ROWS, RUN_BUCKETS, MAX_SOURCES = 512, 1024, 2_000
 SPREAD = 2_654_435_761  # odd, so that spread() has no repeats among ids below 2**31
 
@@ -52,23 +54,60 @@ def numbered(rows: DataFrame, groups: DataFrame) -> DataFrame:
     )
 
 
-def _by_weight(placed: DataFrame, top: float, dense: float) -> DataFrame:
-    """(g, slot, place, row) of `placed` (g, v, place, row): slot is the block's rank by v and g.
+def _by_weight(blocks: DataFrame, ends: DataFrame, top: float, dense: float) -> DataFrame:
+    """(g, block, rank, ended) of `blocks` (g, block, v): the block's rank by v and g, from 0, and how many of `ends` (v) are not
+    behind it.
 
-    v is below `top`. The axis of v is cut into buckets that would hold about 512 blocks each if the density of
-    its start, `dense` blocks in all, held to the end; blocks are counted by their first rows.
+    v is up to `top`. The axis of v is cut into buckets that would hold about 512 blocks each if the density of
+    its start, `dense` blocks in all, held to the end. Both numbers are summed as one, the ends in the bits from 40 on.
     """
     cuts = max(1, -int(-dense // BUCKET_ROWS))
-    placed = placed.withColumn("bucket", F.floor(F.col("v") / F.lit(top) * F.lit(cuts)).cast("long"))
-    sizes = placed.where("place = 0").groupBy("bucket").agg(F.count("*").alias("size"))
+    marks = ends.select(F.lit(None).cast("string").alias("g"), F.lit(-1).cast("long").alias("block"), "v")
+    one = F.when(F.col("block") < 0, F.lit(1 << 40)).otherwise(F.lit(1).cast("long"))
+    cut = blocks.select("g", F.col("block").cast("long").alias("block"), "v").unionByName(marks).withColumns(
+        {"bucket": F.floor(F.col("v") / F.lit(top) * F.lit(cuts)).cast("long"), "one": one}
+    )
+    sizes = cut.groupBy("bucket").agg(F.sum("one").alias("size"))
     starts = _starts(sizes.select(F.lit(0).alias("g"), "bucket", "size")).select("bucket", "start")
-    opened = F.sum(F.when(F.col("place") == 0, 1).otherwise(0)).over(
-        Window.partitionBy("bucket").orderBy("v", "g", "place").rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy("bucket").orderBy("v", F.col("block") >= 0, "g", "block").rowsBetween(Window.unboundedPreceding, -1)
+    cut = cut.withColumn("before", F.coalesce(F.sum("one").over(before), F.lit(0))).where("block >= 0").join(starts, "bucket")
+    both = F.col("start") + F.col("before")
+    return cut.select("g", "block", F.pmod(both, F.lit(1 << 40)).alias("rank"), F.shiftright(both, 40).alias("ended"))
+
+
+def frame_slots(sources: int) -> int:
+    """Slots of a frame: about FRAME_BLOCKS, of which so many equal sources get whole parts."""
+    return sources * max(1, int(FRAME_BLOCKS / sources + 0.5)) if 0 < sources <= FRAME_BLOCKS else FRAME_BLOCKS
+
+
+def _fair(groups: DataFrame, block_rows: int) -> DataFrame:
+    """(g, block, slot) of every block of `groups` (g, n, phase) by exact weights, the square roots of n.
+
+    A frame's blocks are those of its ranks by (block + phase) / weight, so it takes of each source what is due to its exact weight,
+    in whole blocks; a frame is cut where a source ends. In the frame they are released and due as frame_order() says, each
+    frame by itself; a frame holds at most as many sources as slots, however many there are.
+    """
+    weight, blocks = F.sqrt("n"), F.ceil(F.col("n") / block_rows)
+    total, top, sources = groups.agg(F.sum(weight), F.max(blocks / weight), F.count("*")).first()
+    size = frame_slots(sources)
+    run = F.explode(F.sequence(F.lit(0), F.floor((blocks - 1) / RUN_BLOCKS))).alias("run")
+    runs = groups.select("g", "phase", weight.alias("w"), blocks.alias("b"), run)
+    first = F.col("run") * RUN_BLOCKS
+    made = runs.repartition(shuffle_partitions(groups.sparkSession), "g", "run").select(
+        "g", "phase", "w", F.explode(F.sequence(first, F.least(first + RUN_BLOCKS, "b") - 1)).alias("block")
     )
-    return (
-        placed.withColumn("opened", opened)
-        .join(starts, "bucket")
-        .select("g", (F.col("start") + F.col("opened") - 1).alias("slot"), "place", "row")
+    made = made.select("g", "block", ((F.col("block") + F.col("phase")) / F.col("w")).alias("v"))
+    ends = groups.select((blocks / weight).alias("v"))
+    ranked = _by_weight(made, ends, top or 1.0, (total or 0.0) * (top or 0.0))
+    ranked = ranked.withColumn("frame", F.struct(F.floor(F.col("rank") / size).alias("no"), "ended"))
+    taken = ranked.groupBy("frame", "g").agg(
+        F.min("rank").alias("rank"), F.count("*").cast("int").alias("m"), F.min("block").alias("block")
+    )
+    frames = taken.groupBy("frame").agg(F.sort_array(F.collect_list(F.struct("rank", "g", "m", "block"))).alias("who"))
+    order = frames.select("frame", "who", F.posexplode(frame_order(F.transform("who", lambda x: x["m"]))).alias("at", "x"))
+    one = F.get("who", F.col("x.s"))
+    return order.select(
+        one["g"].alias("g"), (one["block"] + F.col("x.k")).alias("block"), (F.get("who", F.lit(0))["rank"] + F.col("at")).alias("slot")
     )
 
 
@@ -86,16 +125,21 @@ def frame_order(blocks: Column) -> Column:
     def slot(state: Column, t: Column) -> Column:
         def due(n: Column, s: Column) -> Column:
             k = F.get(state["next"], s)
-            open_ = (k < n) & (F.floor(k * total / n) <= t)
-            return F.when(open_, F.struct(F.ceil((k + 1) * total / n).alias("due"), s.alias("s"), k.alias("k")))
+            open_ = (k < n) & (F.floor(k * state["total"] / n) <= t)
+            return F.when(open_, F.struct(F.ceil((k + 1) * state["total"] / n).alias("due"), s.alias("s"), k.alias("k")))
 
-        first = F.array_min(F.transform(blocks, due))
-        return F.struct(
-            F.transform(state["next"], lambda k, s: k + F.when(s == first["s"], 1).otherwise(0)).alias("next"),
-            F.concat(state["order"], F.array(F.struct(first["s"].alias("s"), first["k"].alias("k")))).alias("order"),
-        )
+        def take(first: Column) -> Column:
+            return F.struct(
+                state["total"].alias("total"),
+                F.transform(state["next"], lambda k, s: k + F.when(s == first["s"], 1).otherwise(0)).alias("next"),
+                F.concat(state["order"], F.array(F.struct(first["s"].alias("s"), first["k"].alias("k")))).alias("order"),
+            )
+
+        # An array of one, so that the choice is made once and not for each use.
+        return F.get(F.transform(F.array(F.array_min(F.transform(blocks, due))), take), 0)
 
     start = F.struct(
+        total.alias("total"),
         F.transform(blocks, lambda n: n * 0).alias("next"),
         F.array().cast("array<struct<s:int,k:int>>").alias("order"),
     )
@@ -139,11 +183,12 @@ def schedule(docs: DataFrame, parts: Mapping | None = None, block_rows: int = BL
     is dropped or repeated; a null source is a source of its own. Repeated rows get places of their own; an empty table gives
     an empty one.
 
-    Without `parts` the weight w of a source is the square root of its rows, not rounded. Block k is at (k + phase) / w and the
-    blocks are ordered by that. At any point v a source has had w v blocks, less than one more or less, so no error grows. The
-    number of slots is the sum over the sources, whose errors nearly cancel since the phases are spread evenly; a source is away from
-    its share of the slots by less than a block and its share of what is left of them. Where a source ends, the others go on in their own proportion. Any number of sources: a table of up to
-    2,000 is broadcast, a larger one is joined and has its phases by hash.
+    Without `parts` the weight w of a source is the square root of its rows, not rounded. The schedule is made of frames of about
+    100 slots, cut where a source ends. Block k is at (k + phase) / w; the blocks of a frame are the next ones by that, so at its
+    ends every source has had its exact share, less than one block more or less, and no error grows (the phases are spread evenly,
+    so the errors of the sources nearly cancel). In the frame every block has its release and its deadline and each slot goes to
+    the released block that is due first: another block away at most. Where a source ends, the others go on in their own
+    proportion. Any number of sources: a table of up to 2,000 is broadcast, a larger one is joined and has its phases by hash.
 
     `parts` gives whole parts of the mixture to sources (others get 1). Then the schedule is made of frames with as many slots
     as there are parts: until a source ends, every source is less than one block away from its share after any number of
@@ -173,13 +218,11 @@ def schedule(docs: DataFrame, parts: Mapping | None = None, block_rows: int = BL
     else:
         phase = (F.pmod(F.xxhash64("g"), F.lit(1 << 20)) + 0.5) / (1 << 20)
         groups = staged(counted.select("g", "n", phase.alias("phase")), "sources")
-    weight = F.sqrt("n")
-    total, top = groups.agg(F.sum(weight), F.max(F.ceil(F.col("n") / block_rows) / weight)).first()
     block = F.floor(F.col("index") / block_rows)
-    placed = numbered(rows, groups).join(groups, "g").select(
-        "g", ((block + F.col("phase")) / weight).alias("v"), F.pmod("index", F.lit(block_rows)).cast("long").alias("place"), "row"
+    placed = numbered(rows, groups).select(
+        "g", block.alias("block"), F.pmod("index", F.lit(block_rows)).cast("long").alias("place"), "row"
     )
-    return _by_weight(placed, top or 1.0, (total or 0.0) * (top or 0.0))
+    return placed.join(_fair(groups, block_rows), ["g", "block"]).select("g", "slot", "place", "row")
 
 
 def _in_frames(rows: DataFrame, counts: list[tuple], parts: Mapping, block_rows: int) -> DataFrame:

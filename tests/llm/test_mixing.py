@@ -98,3 +98,28 @@ def test_default_weights_are_exact_with_many_sources_and_a_hot_one(spark, monkey
         taken[owner[t]] += 1
         share = {s: (t + 1) * roots[s] / sum(roots.values()) for s in ("hot", "s000", "s111")}
         assert all(abs(taken[s] - x) < 2 for s, x in share.items())
+
+
+@pytest.mark.parametrize("counts", [{"a": 400, "b": 100}, {"a": 3_000, "b": 3, None: 40}, {f"s{k:02}": 20 + 9 * k for k in range(30)}])
+def test_default_frames_are_played_earliest_deadline_first(spark, monkeypatch, counts):
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 16)
+    monkeypatch.setattr(mixing, "RUN_BLOCKS", 5)
+    rows = [(k * 10_000 + d, s) for k, (s, n) in enumerate(counts.items()) for d in range(n)]
+    got = mixing.schedule(spark.createDataFrame(rows, "doc_id long, source string")).select("slot", "place", "row.*").collect()
+    assert sorted(r.c0 for r in got) == sorted(d for d, _ in rows)
+    owner = {r.slot: r.c1 for r in got}
+    names = {"" if s is None else "=" + s: s for s in counts}
+    phased = mixing.phases({g: counts[s] for g, s in names.items()})
+    by_weight = sorted(((b + phase) / n**0.5, g, b) for g, n, phase in phased for b in range(-(-n // 4)))
+    size, want = mixing.frame_slots(len(counts)), []
+    ends = {-(-n // 4) / n**0.5 for n in counts.values()}
+    cuts = sorted({*range(0, len(by_weight), size), len(by_weight), *(sum(v < e for v, *_ in by_weight) for e in ends)})
+    for start, after in zip(cuts, cuts[1:], strict=False):
+        taken = Counter(g for _, g, _ in by_weight[start:after])  # in the order in which they come first
+        want += [names[list(taken)[s]] for s, _ in plan(list(taken.values()))]
+    assert [owner[t] for t in range(len(owner))] == want
+    done = Counter()
+    whole = int(min(-(-n // 4) / n**0.5 for n in counts.values()) * sum(n**0.5 for n in counts.values()))  # before any source ends
+    for t in range(whole):
+        done[owner[t]] += 1
+        assert all(abs(done[s] - (t + 1) * n**0.5 / sum(m**0.5 for m in counts.values())) < 2 for s, n in counts.items())
