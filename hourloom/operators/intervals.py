@@ -78,7 +78,7 @@ def intersect_intervals(a: DataFrame, b: DataFrame) -> DataFrame:
     seconds wide, are as long as it is, so that it lies in two of them at most, and two intervals meet on the level of the longer
     one: each set's intervals, on their own level, are equi-joined on (series_id, level, slot) with the other set's shorter ones,
     placed in the slots of that level. So ten years among seconds are two rows, and seconds are one or two rows for each
-    level in use above theirs. A pair is kept in the slot in which its intersection starts.
+    level above theirs that the other set has. A pair is kept in the slot in which its intersection starts.
     """
     seconds = epoch_seconds("end_ts") - epoch_seconds("start_ts")
     level = F.ceil(F.log2(seconds + 1) / 2).cast("int")
@@ -88,14 +88,14 @@ def intersect_intervals(a: DataFrame, b: DataFrame) -> DataFrame:
         return distinct.withColumn("_own", level)
 
     sides = {"a": levelled(a), "b": levelled(b)}
-    used = sides["a"].select("_own").unionByName(sides["b"].select("_own")).distinct()
-    levels = F.array(*[F.lit(row._own) for row in sorted(used.collect())]).cast("array<int>")  # about twenty at most
+    found = [check_intervals(df).select(F.lit(side).alias("side"), level.alias("own")) for side, df in (("a", a), ("b", b))]
+    used = found[0].unionByName(found[1]).filter("own is not null").distinct().collect()  # about twenty a side at most
+    levels = {side: sorted(row.own for row in used if row.side == side) for side in sides}
 
     def slot(ts: Column | str) -> Column:
         return F.floor(epoch_seconds(ts) / F.pow(F.lit(4.0), F.col("_level")))
 
-    def placed(side: str, where: Column) -> DataFrame:
-        rows = sides[side].withColumn("_level", F.explode(levels)).filter(where)
+    def placed(side: str, rows: DataFrame) -> DataFrame:
         return rows.select(
             "series_id",
             F.col("start_ts").alias(f"{side}_start"),
@@ -104,11 +104,23 @@ def intersect_intervals(a: DataFrame, b: DataFrame) -> DataFrame:
             F.explode(F.sequence(slot("start_ts"), slot("end_ts"))).alias("_slot"),
         )
 
-    own, shorter = F.col("_level") == F.col("_own"), F.col("_level") > F.col("_own")
+    def on_own(side: str, meets: Column) -> DataFrame:
+        return placed(side, sides[side].withColumn("_level", F.col("_own")).filter(meets))
+
+    def on_levels(side: str, other: str, meets: Column) -> DataFrame:
+        theirs = F.array(*[F.lit(x) for x in levels[other]]).cast("array<int>")
+        return placed(side, sides[side].withColumn("_level", F.explode(theirs)).filter(meets))
+
+    def least(side: str) -> Column:
+        return F.lit(min(levels[side], default=None)).cast("int")
+
+    own = F.col("_own")
     key = ["series_id", "_level", "_slot"]
-    meetings = placed("a", own).join(placed("b", own | shorter), key)
+    # Only levels on which the other set can have a row: a's own ones not below b's lowest, b's own ones above a's lowest.
+    meetings = on_own("a", own >= least("b")).join(on_levels("b", "a", F.col("_level") >= own), key)
     columns = [*key, "a_start", "a_end", "b_start", "b_end"]
-    meetings = meetings.select(*columns).unionByName(placed("b", own).join(placed("a", shorter), key).select(*columns))
+    others = on_own("b", own > least("a")).join(on_levels("a", "b", F.col("_level") > own), key)
+    meetings = meetings.select(*columns).unionByName(others.select(*columns))
     start = F.greatest("a_start", "b_start")
     return (
         meetings.filter("a_start <= b_end and b_start <= a_end")

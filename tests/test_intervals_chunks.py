@@ -193,3 +193,18 @@ def test_index_update_extends_and_rejects_gaps(spans, old_and_new):
         c.update_chunk_index(old, spans([(at("2016-12-21T01:00"), at("2017-06-15T10:00"))])).collect()
     shorter = c.update_chunk_index(old, spans([(at("2016-07-01"), at("2016-08-01"))]))
     assert collected(shorter) == collected(old)
+
+
+def test_intervals_are_placed_only_on_levels_of_the_other_set(spark):
+    """Days of many lengths against quarters: own levels below the quarters' are not joined at all."""
+    def made(spans):
+        rows = [("a", at("2024-01-01") + timedelta(days=x), at("2024-01-01") + timedelta(days=y)) for x, y in spans]
+        return spark.createDataFrame(rows, "series_id string, start_ts timestamp_ntz, end_ts timestamp_ntz")
+
+    days, quarters = made([(k, k + n) for k in range(0, 300, 3) for n in (0, 1, 2, 9, 30)]), made([(0, 90), (91, 181), (182, 365)])
+    got = iv.intersect_intervals(days, quarters)
+    want = days.alias("a").join(quarters.alias("b"), F.expr("a.start_ts <= b.end_ts and b.start_ts <= a.end_ts")).count()
+    assert got.count() == want == got.distinct().count()
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("explode([12])") == 1 and plan.count("explode([0,9,10,11])") == 1  # each set on the other's levels
+    assert iv.intersect_intervals(days, quarters.limit(0)).count() == iv.intersect_intervals(days.limit(0), quarters).count() == 0
