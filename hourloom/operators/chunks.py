@@ -122,10 +122,14 @@ def hit_miss(index: DataFrame, requests: DataFrame, step: timedelta = HOUR) -> D
 
 
 def chunk_diff(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Chunks to write: `update` = partial in old and present in new, `append` = only in new."""
+    """Chunks to write: `update` = partial in old and present in new, `append` = only in new.
+
+    Both have a row per series and quarter. Their files are so small for their rows that Spark would broadcast millions of
+    rows through the driver, so they are sort-merged.
+    """
     key = ["series_id", "start_ts"]
-    update = old.filter(~F.col("complete")).join(new, key, "left_semi")
-    append = new.join(old, key, "left_anti")
+    update = old.filter(~F.col("complete")).join(new.hint("merge"), key, "left_semi")
+    append = new.join(old.hint("merge"), key, "left_anti")
     return (
         update.withColumn("action", F.lit("update"))
         .unionByName(append.withColumn("action", F.lit("append")))

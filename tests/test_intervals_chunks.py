@@ -183,6 +183,16 @@ def test_chunk_diff(old_and_new):
     ]
 
 
+def test_chunk_diff_broadcasts_no_index(old_and_new, spark, tmp_path):
+    read = []
+    for name, index in zip(("old", "new"), old_and_new, strict=True):
+        index.write.parquet(str(tmp_path / name))
+        read.append(spark.read.parquet(str(tmp_path / name)))
+    diff = c.chunk_diff(*read)
+    assert "Broadcast" not in diff._jdf.queryExecution().executedPlan().toString()
+    assert collected(diff) == collected(c.chunk_diff(*old_and_new)) != []
+
+
 def test_index_update_extends_and_rejects_gaps(spans, old_and_new):
     old, _ = old_and_new
     merged = c.update_chunk_index(old, spans([(at("2016-12-21"), at("2017-06-15T10:00"))]))
