@@ -239,7 +239,8 @@ def sketch_quantiles(spark, sf_dir):
     wide = staged(stored_quantiles(spark, store, QUANTILES), "quantiles")
     pairs = F.array(*[F.struct(F.lit(p).alias("p"), F.col(f"q{k}").alias("q")) for k, p in enumerate(QUANTILES)])
     rows = read_chunks(spark, store).filter("d is not null").select("series_id", "d")
-    ranked = lookup(rows, wide.select("series_id", "n", pairs.alias("_pairs")), ["series_id"], how="inner")
+    # A row per series that is seven pairs wide: never sent through the driver.
+    ranked = lookup(rows, wide.select("series_id", "n", pairs.alias("_pairs")).hint("merge"), ["series_id"], how="inner")
     counts = [
         F.struct(F.count_if(F.col("d") < F.col("_pairs")[k]["q"]).alias("below"), F.count_if(F.col("d") <= F.col("_pairs")[k]["q"]).alias("upto"))
         for k in range(len(QUANTILES))

@@ -87,3 +87,8 @@ def test_entry(spark):
     df = driver.entry(spark)
     assert {"series_id", "ts", "d", "hour", "is_holiday"} <= set(df.columns)
     assert df.count() > 0
+
+
+def test_sketch_quantiles_broadcasts_no_quantiles(spark):
+    plan = QUERIES["sketch_quantiles"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "SortMergeJoin" in plan
