@@ -1,15 +1,16 @@
 """SimHash near-dedup: fingerprints compared exactly in tiles, tiles of too different bit counts left out; on demand the
-fingerprints only choose what is compared by its shingle sets."""
+fingerprints of sets that share a key only choose what is compared by its shingle sets."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import product
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
@@ -18,6 +19,8 @@ from hourloom.llm.components import components
 
 SEED, SHINGLE, RADIUS = 42, 3, 2
 TILE_ROWS = 4096
+# Pairs of first words that are compared at once: they stay in a core's cache.
+BLOCK_PAIRS = 32_768
 # A tile of shingle sets: rows, hashes; rows compared at once, hashes counted at once.
 SET_ROWS, SET_HASHES, BLOCK_ROWS, BLOCK_HASHES = 1024, 400_000, 128, 8192
 # ASCII letters lower-cased, the white space characters made spaces.
@@ -146,7 +149,7 @@ def _tile(nodes, fs, nodes2, fs2, radius: int, full_radius: int | None) -> np.nd
     x = np.asarray(fs, np.int64).view(np.uint64).reshape(len(nodes), -1)
     y = np.asarray(fs2, np.int64).view(np.uint64).reshape(len(nodes2), -1)
     rows, columns = [], []
-    step = max(1, 4_000_000 // max(1, len(y)))
+    step = max(1, BLOCK_PAIRS // max(1, len(y)))
     for at in range(0, len(x), step):
         i, j = np.nonzero(np.bitwise_count(x[at : at + step, :1] ^ y[None, :, 0]) <= radius)
         if full_radius is not None and len(i):
@@ -179,6 +182,80 @@ def spanning(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.stack([names[other], names[root[other]]], axis=1)
 
 
+def set_keys(h: np.ndarray, similarity: float) -> np.ndarray:
+    """The smallest hashes of a set (in order), as many as it can lack of a similar one and one more.
+
+    Sets of a Jaccard similarity of at least `similarity` share that part of the larger one at least, so the smallest hash that
+    they share is among these of both: no similar pair is without a common key.
+    """
+    return h[: len(h) - math.ceil(similarity * len(h) - 1e-9) + 1]
+
+
+def keyed_links(prints: DataFrame, keys: DataFrame, full_radius: int, tile_rows: int = TILE_ROWS) -> DataFrame:
+    """Pairs (a, b) that connect all nodes of `prints` (node, f) that share a key of `keys` (node, key) and link.
+
+    Fingerprints link if all their words together differ in at most `full_radius` bits. Most keys have one node and are
+    dropped by one shuffle of the keys alone; only the others get their fingerprints. A key is cut by hash into tiles of about
+    `tile_rows`, and each tile compared with itself and with the later ones, so a common key is dealt like many others.
+    `prints` needs distinct nodes; a (node, key) may repeat.
+    """
+    own = Window.partitionBy("key")
+    marked = keys.select("node", "key", F.min("node").over(own).alias("low"), F.max("node").over(own).alias("high"))
+    shared = staged(marked.where("low < high").select("node", "key").distinct(), "shared-keys")
+    cuts = shared.groupBy("key").agg(F.ceil(F.count("*") / tile_rows).cast("int").alias("cuts"))
+    tiles = staged(
+        shared.join(prints.select("node", "f"), "node")
+        .join(cuts, "key")
+        .withColumn("cut", F.pmod(F.xxhash64("node"), F.col("cuts")).cast("int"))
+        .groupBy("key", "cut", "cuts")
+        .agg(F.collect_list("node").alias("nodes"), F.flatten(F.collect_list("f")).alias("fs")),
+        "key-tiles",
+    )
+
+    def alone(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = _small_tiles(batch["nodes"], batch["fs"], full_radius)
+            if len(found):
+                yield pd.DataFrame(found, columns=["a", "b"])
+
+    def across(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.itertuples(index=False, name=None):
+                found = _tile(*row, 64, full_radius)
+                if len(found):
+                    yield pd.DataFrame(found, columns=["a", "b"])
+
+    # The pairs of tiles are made from the keys, as in set_links.
+    later = tiles.where("cut + 1 < cuts").select("key", "cut", F.explode(F.sequence(F.col("cut") + 1, F.col("cuts") - 1)).alias("cut2"))
+    first = tiles.where("cuts > 1").select("key", "cut", "nodes", "fs")
+    second = first.toDF("key", "cut2", "nodes2", "fs2")
+    pairs = later.join(first, ["key", "cut"]).join(second, ["key", "cut2"]).select("nodes", "fs", "nodes2", "fs2")
+    schema = "a long, b long"
+    return tiles.select("nodes", "fs").mapInPandas(alone, schema).unionByName(pairs.mapInPandas(across, schema))
+
+
+def _small_tiles(nodes, fs, full_radius: int) -> np.ndarray:
+    """Edges (node, node) that connect whatever links inside each of many tiles; tiles of one size are compared together."""
+    sizes = np.array([len(n) for n in nodes], np.int64)
+    found = [np.empty((0, 2), np.int64)]
+    for size in np.unique(sizes[sizes > 1]).tolist():
+        at = np.flatnonzero(sizes == size)
+        if size > 64:
+            found += [_tile(nodes.iloc[k], fs.iloc[k], nodes.iloc[k], fs.iloc[k], 64, full_radius) for k in at]
+            continue
+        names = np.stack([np.asarray(nodes.iloc[k], np.int64) for k in at])
+        bits = np.stack([np.asarray(fs.iloc[k], np.int64) for k in at]).view(np.uint64).reshape(len(at), size, -1)
+        i, j = np.triu_indices(size, 1)
+        step = max(1, 100_000 // len(i))
+        for k in range(0, len(at), step):
+            part = bits[k : k + step]
+            near = np.bitwise_count(part[:, i] ^ part[:, j]).sum(axis=2, dtype=np.int64) <= full_radius
+            tile, pair = np.nonzero(near)
+            found.append(np.stack([names[k + tile, i[pair]], names[k + tile, j[pair]]], axis=1))
+    edges = np.concatenate(found)
+    return spanning(edges[:, 0], edges[:, 1])
+
+
 def near_duplicates(
     docs: DataFrame,
     shingle: int = SHINGLE,
@@ -301,28 +378,27 @@ def set_links(families: DataFrame, full_radius: int, similarity: float) -> DataF
     return tiles.select(fields).mapInPandas(compare, schema).unionByName(pairs.mapInPandas(compare, schema))
 
 
-def similar_documents(
-    docs: DataFrame, similarity: float, shingle: int, words: int, radius: int, full_radius: int, parts: int = 1
-) -> DataFrame:
+def similar_documents(docs: DataFrame, similarity: float, shingle: int, words: int, full_radius: int) -> DataFrame:
     """(doc_id, component_id) of every row of `docs` (doc_id, text): the smallest doc_id that links reach.
 
     Rows link if the sets of their shingles have a Jaccard similarity of at least `similarity`, counted exactly. Fingerprints
-    (`radius` on the first word, `full_radius` on all) only choose what is counted, so they can miss a pair but never link one;
-    radii have to leave room for the spread of the bits. What the fingerprints connect is a family; the texts of families
-    are read again for their sets, all others never leave their task. Rows of equal sets are put together first. Texts
+    (`full_radius` on all words) only choose what is counted, so they can miss a pair but never link one; the radius has to leave
+    room for the spread of the bits. Fingerprints are compared where sets share one of their `set_keys`, which no similar pair
+    is without. What the fingerprints connect is a family; the texts of families are read again for their sets, of all
+    others only fingerprints and keys leave their task. Rows of equal sets are put together first. Texts
     without words (null, empty, blank) have the empty set and link with each other only. Null and shared doc_ids are treated as
     by near_duplicates.
     """
     rows = pick(docs, doc_id="doc_id", text="text").withColumn("mark", F.xxhash64("text"))
 
-    @pandas_udf("node long, size int, f array<long>")
+    @pandas_udf("node long, size int, f array<long>, keys array<long>")
     def printed(texts: pd.Series) -> pd.DataFrame:
         out = []
         for text in texts:
             h = np.unique(shingle_hashes(text, shingle))
             f = [_signed(majority(_mixed(h, k) if k else h)) for k in range(words)]
-            out.append((_signed(xxhash.xxh64_intdigest(h.tobytes(), SEED)), len(h), f))
-        return pd.DataFrame(out, columns=["node", "size", "f"])
+            out.append((_signed(xxhash.xxh64_intdigest(h.tobytes(), SEED)), len(h), f, set_keys(h, similarity).view(np.int64)))
+        return pd.DataFrame(out, columns=["node", "size", "f", "keys"])
 
     @pandas_udf("array<long>")
     def hashes(texts: pd.Series) -> pd.Series:
@@ -338,7 +414,8 @@ def similar_documents(
         ),
         "classes",
     )
-    bits = components(links(classes.where("size > 0").select("node", "f"), radius, parts, full_radius))
+    keys = prints.where("size > 0").select("node", F.explode("keys").alias("key"))
+    bits = components(keyed_links(classes.select("node", "f"), keys, full_radius))
     members = classes.join(bits, "node").select("node", "size", "f", "chosen", F.col("component").alias("family"))
     same = F.col("doc_id").eqNullSafe(F.col("chosen.doc_id")) & (F.col("mark") == F.col("chosen.mark"))
     texts = members.join(rows, same).select("node", "size", "f", "family", "text").dropDuplicates(["node"])

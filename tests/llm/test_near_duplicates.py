@@ -89,6 +89,43 @@ def test_wide_fingerprints_find_near_copies(spark):
     assert {r.doc_id: r.component_id for r in got} == {r[0]: r[0] // 10 * 10 for r in rows}
 
 
+def test_similar_sets_share_a_key():
+    rng = np.random.default_rng(9)
+    for n in range(1, 60):
+        whole = rng.integers(0, 2**63, n, dtype=np.uint64)
+        for lost in range(n):
+            h, part = np.unique(whole), np.unique(whole[lost:])
+            if len(part) / len(h) >= 0.8:
+                assert set(simhash.set_keys(h, 0.8)) & set(simhash.set_keys(part, 0.8))
+
+
+@pytest.mark.parametrize("tile_rows", [3, 4096])
+def test_keyed_links_compare_where_a_key_is_shared(spark, tile_rows):
+    rng = random.Random(tile_rows)
+    base = [[rng.getrandbits(63) for _ in range(2)] for _ in range(3)]
+    prints = {k: [w ^ (1 << rng.randrange(60)) for w in rng.choice(base)] for k in range(90)}
+    keys = [(k, rng.randrange(40)) for k in prints] + [(k, 100) for k in range(80) if k % 3 == 0]
+    keys += keys[:10]
+    shared = {k: {key for node, key in keys if node == k} for k in prints}
+    near = lambda a, b: sum((x ^ y).bit_count() for x, y in zip(prints[a], prints[b], strict=True)) <= 4
+    want = groups(list(prints), lambda a, b: bool(shared[a] & shared[b]) and near(a, b))
+    assert want != groups(list(prints), near)
+    nodes = spark.createDataFrame(list(prints.items()), "node long, f array<long>")
+    found = components(simhash.keyed_links(nodes, spark.createDataFrame(keys, "node long, key long"), 4, tile_rows))
+    got = {r.node: r.component for r in found.collect()}
+    assert {n: got.get(n, n) for n in prints} == want
+
+
+def test_unrelated_documents_are_not_compared(spark, monkeypatch):
+    seen, write = {}, simhash.staged
+    monkeypatch.setattr(simhash, "staged", lambda df, name: seen.setdefault(name, write(df, name)))
+    texts = [" ".join(f"d{k}w{w}" for w in range(60)) for k in range(40)]
+    rows = [(k, t, "en", "a", None, 0) for k, t in enumerate([*texts, texts[7] + " more"])]
+    got = simhash.similar_documents(spark.createDataFrame(rows, DOC), 0.8, 5, 8, 150).collect()
+    assert {r.doc_id: r.component_id for r in got} == {r[0]: 7 if r[0] == 40 else r[0] for r in rows}
+    assert seen["shared-keys"].select("node").distinct().count() == 2
+
+
 VECTOR = "vec_id long, embedding array<float>, label int, Label2 int"
 
 
