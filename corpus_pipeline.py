@@ -15,11 +15,10 @@ from hourloom.llm.common import find, staged, text_marks
 
 MODEL = "piece_bpe_32k.model"
 # Near duplicates: sets of five-word shingles of a Jaccard similarity of 0.8. Fingerprints of 64-bit words choose the pairs that
-# are counted, by the bits in which the first word and all of them differ. Two large sets of similarity 0.8 differ in 78 of 512
-# bits on average, sets of 4 and 5 shingles (the most) in 96, unrelated ones in 256: the radii miss 3 pairs in a million
-# of large sets and 1 in 8,000 of those small ones.
+# are counted, by the bits in which all of them differ. Two large sets of similarity 0.8 differ in 78 of 512 bits on average,
+# sets of 4 and 5 shingles (the most) in 96, unrelated ones in 256.
 SIMILARITY = 0.8
-SHINGLE, WORDS, FIRST_RADIUS, FULL_RADIUS = 5, 8, 24, 150
+SHINGLE, WORDS, FULL_RADIUS = 5, 8, 150
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,9 +44,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, the one of the smallest doc_id. Rows without a doc_id stay."""
-    groups = simhash.similar_documents(
-        docs, SIMILARITY, shingle=SHINGLE, words=WORDS, radius=FIRST_RADIUS, full_radius=FULL_RADIUS
-    )
+    groups = simhash.similar_documents(docs, SIMILARITY, shingle=SHINGLE, words=WORDS, full_radius=FULL_RADIUS)
     dropped = groups.where("doc_id <> component_id").select("doc_id").distinct()
     names = [f"c{k}" for k in range(len(docs.columns))]
     kept = docs.toDF(*names).join(dropped, F.col(names[find(docs, "doc_id")]) == F.col("doc_id"), "left_anti")
