@@ -220,8 +220,8 @@ def keyed_links(prints: DataFrame, keys: DataFrame, full_radius: int, tile_rows:
 
     def across(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for row in batch.itertuples(index=False, name=None):
-                found = _tile(*row, 64, full_radius)
+            for nodes, fs, nodes2, fs2 in batch.itertuples(index=False, name=None):
+                found = _reached(np.concatenate([nodes, nodes2]), np.concatenate([fs, fs2]), full_radius)
                 if len(found):
                     yield pd.DataFrame(found, columns=["a", "b"])
 
@@ -234,6 +234,27 @@ def keyed_links(prints: DataFrame, keys: DataFrame, full_radius: int, tile_rows:
     return tiles.select("nodes", "fs").mapInPandas(alone, schema).unionByName(pairs.mapInPandas(across, schema))
 
 
+def _reached(nodes, fs, full_radius: int) -> np.ndarray:
+    """Edges (node, node) that connect whatever links among `nodes`: a node that is reached is not compared as a target again,
+    so a large group of near copies costs little more than one row of its pairs."""
+    names = np.asarray(nodes, np.int64)
+    bits = np.asarray(fs, np.int64).view(np.uint64).reshape(len(names), -1)
+    left, rest = np.arange(len(names)), bits.T.copy()
+    waiting, found = [], [np.empty((0, 2), np.int64)]
+    while len(left):
+        if waiting:
+            at = waiting.pop()
+        else:
+            at, left, rest = left[0], left[1:], rest[:, 1:]
+        near = np.bitwise_count(rest ^ bits[at][:, None]).sum(axis=0, dtype=np.uint16) <= full_radius
+        if near.any():
+            new = left[near]
+            waiting.extend(new.tolist())
+            found.append(np.stack([names[new], np.full(len(new), names[at])], axis=1))
+            left, rest = left[~near], rest[:, ~near]
+    return np.concatenate(found)
+
+
 def _small_tiles(nodes, fs, full_radius: int) -> np.ndarray:
     """Edges (node, node) that connect whatever links inside each of many tiles; tiles of one size are compared together."""
     sizes = np.array([len(n) for n in nodes], np.int64)
@@ -241,7 +262,7 @@ def _small_tiles(nodes, fs, full_radius: int) -> np.ndarray:
     for size in np.unique(sizes[sizes > 1]).tolist():
         at = np.flatnonzero(sizes == size)
         if size > 64:
-            found += [_tile(nodes.iloc[k], fs.iloc[k], nodes.iloc[k], fs.iloc[k], 64, full_radius) for k in at]
+            found += [_reached(nodes.iloc[k], fs.iloc[k], full_radius) for k in at]
             continue
         names = np.stack([np.asarray(nodes.iloc[k], np.int64) for k in at])
         bits = np.stack([np.asarray(fs.iloc[k], np.int64) for k in at]).view(np.uint64).reshape(len(at), size, -1)

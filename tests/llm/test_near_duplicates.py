@@ -116,6 +116,19 @@ def test_keyed_links_compare_where_a_key_is_shared(spark, tile_rows):
     assert {n: got.get(n, n) for n in prints} == want
 
 
+def test_reached_connects_what_links():
+    rng = random.Random(8)
+    base = [[rng.getrandbits(63) for _ in range(2)] for _ in range(4)]
+    prints = [[w ^ sum(1 << b for b in rng.sample(range(63), 3)) for w in rng.choice(base)] for _ in range(200)]
+    prints += [[rng.getrandbits(63) for _ in range(2)] for _ in range(50)]
+    linked = lambda a, b: sum((x ^ y).bit_count() for x, y in zip(prints[a], prints[b], strict=True)) <= 6
+    edges = simhash._reached(list(range(250)), [w for f in prints for w in f], 6).tolist()
+    assert all(linked(a, b) for a, b in edges)
+    pairs = {frozenset(e) for e in edges}
+    want = groups(list(range(250)), linked)
+    assert groups(list(range(250)), lambda a, b: frozenset((a, b)) in pairs) == want and len(edges) == 250 - len(set(want.values()))
+
+
 def test_unrelated_documents_are_not_compared(spark, monkeypatch):
     seen, write = {}, simhash.staged
     monkeypatch.setattr(simhash, "staged", lambda df, name: seen.setdefault(name, write(df, name)))
